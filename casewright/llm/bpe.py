@@ -23,7 +23,7 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + WS + r"\p{L}\p{N}]+|
 SLOTS = 16384
 #: Words of more bytes than this are merged by a heap in Python: the fold takes time square in the length.
 LONG_WORD = 96
-#: A table of distinct words is broadcast below these sizes and joined by shuffle above them.
+#: A table of distinct words is held by every worker below these sizes and joined by shuffle above them.
 BROADCAST_ROWS, BROADCAST_BYTES = 400_000, 32 << 20
 
 
@@ -135,53 +135,84 @@ def tokens_of(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORDS), F.lit(0)).alias("words"))
 
 
-def vocabulary(docs: DataFrame, key: str, text: str, ranks: dict[bytes, int]) -> DataFrame:
+def vocabulary(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """(word, ids) of all distinct words of a corpus, checkpointed."""
-    words = tokens_of(docs, key, text).select(F.explode(F.array_distinct("words")).alias("word")).distinct()
+    words = checkpointed(tokens.select(F.explode(F.array_distinct("words")).alias("word")).distinct())
     # few bytes but much work: spread by number, which adaptive execution leaves alone
-    spread = words.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return checkpointed(word_ids(spread, ranks))
+    return checkpointed(word_ids(words.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))), ranks))
 
 
-def joined(words: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Attach ids to rows with a column word. A small vocabulary is broadcast; beyond, frequent words are salted."""
-    if fits(vocab, BROADCAST_ROWS, BROADCAST_BYTES, F.octet_length("word") + 4 * F.size("ids") + 40):
-        return words.join(F.broadcast(vocab), "word")
-    salts = 32
+class Lookup:
+    """A small vocabulary as arrays, sent to the workers once."""
+
+    def __init__(self, rows: list):
+        import numpy as np
+
+        self.words = [r[0] for r in rows]
+        self.sizes = np.array([len(r[1]) for r in rows], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.ids = np.array([i for r in rows for i in r[1]], np.int32)
+
+    def places(self) -> dict[str, int]:
+        return {w: i for i, w in enumerate(self.words)}
+
+
+def _by_lookup(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(doc, ids) by a vocabulary that every worker holds: no row leaves its partition."""
+    shared = tokens.sparkSession.sparkContext.broadcast(Lookup(vocab.select("word", "ids").collect()))
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        look, places = shared.value, shared.value.places()
+        for batch in batches:
+            words = batch.column(1)
+            ends = words.offsets.to_numpy()
+            coded = words.flatten().dictionary_encode()
+            at = np.array([places[w] for w in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+            sizes = look.sizes[at]
+            total = np.concatenate([[0], np.cumsum(sizes)])
+            gather = np.repeat(look.starts[at] - total[:-1], sizes) + np.arange(total[-1])
+            lists = pa.ListArray.from_arrays(pa.array(total[ends - ends[0]], pa.int32()), pa.array(look.ids[gather], pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc", "ids"])
+
+    return tokens.mapInArrow(run, f"doc {dict(tokens.dtypes)['doc']}, ids array<int>")
+
+
+def _by_join(tokens: DataFrame, vocab: DataFrame, salts: int = 32) -> DataFrame:
+    """(doc, ids) by a shuffle join with the vocabulary, frequent words salted; places and ids travel as one long.
+
+    A long holds the word's place (26 bits), the place in the word (20 bits) and the id (17 bits).
+    """
+    words = tokens.select("doc", F.posexplode("words").alias("pos", "word")).withColumn("salt", F.pmod(F.xxhash64("doc", "pos"), F.lit(salts)).cast("int"))
     many = vocab.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return words.withColumn("salt", F.pmod(F.xxhash64("doc", "pos"), F.lit(salts)).cast("int")).join(many, ["word", "salt"]).drop("salt")
+    code = F.shiftleft(F.col("pos").cast("long"), 37) + F.shiftleft(F.col("at").cast("long"), 17) + F.col("id")
+    coded = words.join(many, ["word", "salt"]).select("doc", "pos", F.posexplode("ids").alias("at", "id")).select("doc", code.alias("code"))
+    lists = coded.groupBy("doc").agg(F.transform(F.array_sort(F.collect_list("code")), lambda x: x.bitwiseAND(F.lit((1 << 17) - 1)).cast("int")).alias("ids"))
+    empty = tokens.where(F.size("words") == 0).select("doc", F.array().cast("array<int>").alias("ids"))
+    return lists.unionByName(empty)
 
 
-def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken") -> DataFrame:
+def encode(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken", broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """(key, ids) for each row of docs, without special tokens.
 
-    A null and an empty text get the empty list. Text that looks like a special token is ordinary text. Rows with
-    equal keys are each encoded if their keys differ only; the key must be unique, as the rows are regrouped by it.
-    Other columns are ignored, whatever their names.
+    A null and an empty text get the empty list. Text that looks like a special token is ordinary text. The key must be
+    unique if the vocabulary is larger than broadcast_rows, as rows are then regrouped by it. Other columns are ignored,
+    whatever their names.
     """
     ranks = load_ranks(path)
-    docs = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
-    vocab = vocabulary(docs, "doc", "text", ranks)
-    words = tokens_of(docs, "doc", "text").select("doc", F.posexplode("words").alias("pos", "word"))
-    some = (
-        joined(words, vocab)
-        .groupBy("doc")
-        .agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "ids"))), lambda x: x["ids"])).alias("ids"))
-    )
-    none = docs.where(F.col("text").isNull() | (F.col("text") == "")).select("doc", F.array().cast("array<int>").alias("ids"))
-    return some.unionByName(none).select(F.col("doc").alias(key), "ids")
+    tokens = tokens_of(docs.select(F.col(key).alias("doc"), F.col(text).alias("text")), "doc", "text")
+    vocab = vocabulary(tokens, ranks)
+    small = fits(vocab, broadcast_rows, BROADCAST_BYTES, F.octet_length("word") + 4 * F.size("ids"))
+    return (_by_lookup if small else _by_join)(tokens, vocab).select(F.col("doc").alias(key), "ids")
 
 
-def token_counts(docs: DataFrame, key: str, text: str, path: str) -> DataFrame:
-    """(key, tokens): the number of ids of each text; sums are combined before the shuffle."""
-    ranks = load_ranks(path)
-    docs = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
-    vocab = vocabulary(docs, "doc", "text", ranks)
-    words = tokens_of(docs, "doc", "text").select("doc", F.posexplode_outer("words").alias("pos", "word"))
-    sizes = vocab.select("word", F.size("ids").alias("n"), "ids")
-    counted = joined(words.where(F.col("word").isNotNull()), sizes).groupBy("doc").agg(F.sum("n").cast("long").alias("tokens"))
-    empty = docs.where(F.col("text").isNull() | (F.col("text") == "")).select("doc", F.lit(0).cast("long").alias("tokens"))
-    return counted.unionByName(empty).select(F.col("doc").alias(key), "tokens")
+def token_counts(docs: DataFrame, key: str, text: str, path: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken") -> DataFrame:
+    """(key, tokens): the number of ids of each text."""
+    return encode(docs, key, text, path).select(key, F.size("ids").cast("long").alias("tokens"))
 
 
 def decode(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", path: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken") -> DataFrame:
