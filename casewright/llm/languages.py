@@ -22,7 +22,7 @@ BITS, BUCKETS, ORDERS = 16, 1 << 16, (2, 3, 4)
 #: Documents of each label, about, that the classifiers are fitted on; sentences of each label at most.
 SAMPLE_DOCUMENTS, SAMPLE_SENTENCES = 250, 900
 LEAST_WORDS = 4
-AMBIGUOUS = 0.75
+AMBIGUOUS = 0.97
 SCRIPTS = r"[ऀ-ॿ꣠-ꣿ]|[஀-௿]|[؀-ۿݐ-ݿﭐ-﷿ﹰ-﻿]"
 #: Endings of words that a full stop follows inside a sentence.
 SHORT = r"(?<!\bNo)(?<!\bRs)(?<!\bv)(?<!\bDr)(?<!\bMr)(?<!\bMs)(?<!\bArt)(?<!\bSec)(?<!\bLtd)(?<!\bOrs)(?<!\b[A-Z])(?<!\.[A-Z])"
@@ -232,14 +232,14 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def sentence_languages(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, sentences, chars, confidence): the languages in which a document has a whole sentence.
+    """(doc_id, lang, sentences, chars, confidence): the languages of a document, with its whole sentences in each.
 
-    A document with letters but no whole sentence has the language of its longest stretch, with 0 sentences. Null, empty
+    Ambiguous stretches are no whole sentences. A document with letters but without whole sentences has 0 sentences. Null, empty
     and letterless texts have none. doc_id must be unique; other columns are ignored.
     """
     each = identify(docs, fit(docs))
     by = each.groupBy("doc_id", "lang").agg(
-        F.count_if("whole").alias("sentences"),
+        F.count_if("whole AND NOT ambiguous").alias("sentences"),
         F.sum(F.col("end") - F.col("start")).alias("chars"),
         (F.sum(F.col("confidence") * (F.col("end") - F.col("start"))) / F.sum(F.col("end") - F.col("start"))).alias("confidence"),
     )
