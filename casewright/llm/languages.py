@@ -239,7 +239,7 @@ def sentence_languages(docs: DataFrame) -> DataFrame:
     """
     each = identify(docs, fit(docs))
     by = each.groupBy("doc_id", "lang").agg(
-        F.count_if("whole AND NOT ambiguous").alias("sentences"),
+        F.count_if(F.expr("whole AND NOT ambiguous")).alias("sentences"),
         F.sum(F.col("end") - F.col("start")).alias("chars"),
         (F.sum(F.col("confidence") * (F.col("end") - F.col("start"))) / F.sum(F.col("end") - F.col("start"))).alias("confidence"),
     )
