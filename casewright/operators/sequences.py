@@ -62,17 +62,22 @@ def pack(df: DataFrame, target: int = 200, most: int = 384, tiny: int = 30) -> D
 
     df: case_id, segment, para_seq, number, label, page, text, role, heading. A chunk holds whole neighbouring paragraphs of
     one role and heading up to `target` tokens; tiny unlabelled ones at its head ride with what follows; a paragraph of
-    more than `most` tokens stands alone, marked long, to be cut by a splitter. Null texts count as empty. Out: case_id, segment, chunk (position),
+    more than `most` tokens (para_seq is unique in its opinion) stands alone, marked long, to be cut by a splitter. Null texts count as empty. Out: case_id, segment, chunk (position),
     first, last (labels), para_start, para_end, page_start, text, role, heading, labels, long.
     """
-    item = F.struct("para_seq", "number", F.coalesce("label", F.col("number").cast("string")).alias("label"), "page", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("role", F.lit("unlabelled")).alias("role"), "heading")
+    df = df.select(
+        "case_id", F.coalesce("segment", F.lit(0)).alias("segment"), "para_seq", "number", F.coalesce("label", F.col("number").cast("string")).alias("label"), "page",
+        F.coalesce("text", F.lit("")).alias("text"), F.coalesce("role", F.lit("unlabelled")).alias("role"), "heading",
+    )
+    # the fold sees a few bytes a paragraph; texts stay where they are and are joined back
+    item = F.struct("para_seq", F.length("text").alias("chars"), "role", "heading")
     lists = df.groupBy("case_id", "segment").agg(F.array_sort(F.collect_list(item)).alias("ps"))
     tokens = lambda n: F.greatest(F.lit(1), F.bround(n / F.lit(4.0))).cast("int")
     kind = "struct<n:int,chars:int,tiny:boolean,role:string,heading:string>"
     state = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(None).cast(kind).alias("g"))
 
     def step(a: Column, p: Column) -> Column:
-        g, chars = a["g"], F.length(p["text"])
+        g, chars = a["g"], p["chars"]
         size = tokens(chars)
         fits = (tokens(g["chars"]) + size <= target) & (size <= most)
         alike = g["tiny"] | ((p["role"] == g["role"]) & p["heading"].eqNullSafe(g["heading"]))
@@ -89,9 +94,9 @@ def pack(df: DataFrame, target: int = 200, most: int = 384, tiny: int = 30) -> D
 
     starts = F.aggregate("ps", state, step, lambda a: a["starts"])
     flat = lists.select("case_id", "segment", F.posexplode(F.arrays_zip(F.col("ps"), starts.alias("starts"))).alias("at", "x"))
-    flat = flat.select("case_id", "segment", "at", "x.ps.*", F.col("x.starts").alias("new"))
+    flat = flat.select("case_id", "segment", "at", F.col("x.ps.para_seq").alias("para_seq"), F.col("x.starts").alias("new"))
     w = Window.partitionBy("case_id", "segment").orderBy("at")
-    flat = flat.withColumn("chunk", F.sum("new").over(w) - 1)
+    flat = flat.withColumn("chunk", F.sum("new").over(w) - 1).join(df, ["case_id", "segment", "para_seq"])
     return flat.groupBy("case_id", "segment", "chunk").agg(
         F.min_by("label", "at").alias("first"), F.max_by("label", "at").alias("last"), F.min_by("number", "at").alias("para_start"), F.max_by("number", "at").alias("para_end"),
         F.min_by("page", "at").alias("page_start"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]), " ").alias("text"),
