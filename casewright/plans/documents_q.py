@@ -136,3 +136,84 @@ def ext_acts(spark, sf_dir):
     return full.groupBy("para_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+
+
+@query("rec_titles", """
+    SELECT DISTINCT ON (file) file, string_split(title, ' versus ')[1] AS raw, CASE WHEN regexp_matches(decision_date, '^\\d{4}') THEN decision_date ELSE regexp_replace(decision_date, '^(\\d{2})-(\\d{2})-(\\d{4})$', '\\3-\\2-\\1') END AS date
+    FROM judgment_sample WHERE file IS NOT NULL AND title IS NOT NULL AND decision_date IS NOT NULL""")
+def rec_titles(spark, sf_dir):
+    """Parties and dates printed in title blocks are read back from them."""
+    from ..functions import dates
+    from ..operators import records
+
+    s = one_per_key(table(spark, sf_dir, "judgment_sample"), "file").where("title IS NOT NULL AND decision_date IS NOT NULL")
+    parties = F.split("title", " versus ")
+    day = F.date_format(F.try_to_date(dates.iso_date(c("decision_date"))), "MMMM d, yyyy")
+    head = F.array(parties[0], F.lit("v."), F.get(parties, F.lit(1)), day, F.lit("[RAO, SEN, JJ.]"))
+    block = s.select("file", parties[0].alias("raw"), records.title_block(head).alias("t"))
+    return block.where(F.size("t.bench") == 2).select("file", "raw", c("t.date").cast("string").alias("date"))
+
+
+@query("rec_reports")
+def rec_reports(spark, sf_dir):
+    """Title blocks of the reported cases."""
+    from ..operators import records
+
+    r = one_per_key(table(spark, sf_dir, "law_reports").select("case_id", "header"), "case_id")
+    t = r.select("case_id", records.title_block(F.slice(F.split("header", "\n"), 1, 6)).alias("t"))
+    return t.select("case_id", "t.petitioner", "t.respondent", c("t.date").cast("string").alias("date"), F.array_join("t.bench", "; ").alias("bench"))
+
+
+@query("rec_merged")
+def rec_merged(spark, sf_dir):
+    """Records of the cases merged with the index's by file."""
+    from ..functions import dates
+    from ..operators import records
+
+    a = one_per_key(table(spark, sf_dir, "cases"), "file").select("file", F.lower("case_name").alias("parties"), c("case_date").alias("date"), "bench", "citations", F.lit(None).cast("string").alias("author"))
+    s = one_per_key(table(spark, sf_dir, "judgment_sample"), "file")
+    b = s.select("file", F.lower(F.regexp_replace("title", " versus ", " v. ")).alias("parties"), F.try_to_date(dates.iso_date(c("decision_date"))).alias("date"), F.split("bench", "; ").alias("bench"), F.array_compact(F.array("citation", "neutral_citation")).alias("citations"), "author")
+    m = records.merged(a, b, "file")
+    return m.select("file", c("date").cast("string").alias("date"), F.array_join("citations", "|").alias("citations"), c("field_sources")["date"].alias("date_source"), F.size("conflicts").alias("n_conflicts"))
+
+
+@query("rec_kinds", """
+    SELECT DISTINCT opinion_id, CASE WHEN opinion_type IN ('partly_dissenting', 'dissenting', 'concurring', 'majority') THEN opinion_type ELSE 'unknown' END AS kind FROM opinions WHERE opinion_type IS NOT NULL""")
+def rec_kinds(spark, sf_dir):
+    from ..operators import records
+
+    o = one_per_key(table(spark, sf_dir, "opinions").select("opinion_id", "opinion_type"), "opinion_id").where("opinion_type IS NOT NULL")
+    said = F.when(c("opinion_type") == "partly_dissenting", "A, J. (dissenting in part)").otherwise(F.concat(F.lit("A, J. ("), "opinion_type", F.lit(")")))
+    return o.select("opinion_id", records.opinion_kind(said).alias("kind"))
+
+
+@query("qua_verdicts")
+def qua_verdicts(spark, sf_dir):
+    """Verdict on each case from its measures."""
+    from ..operators import quality
+
+    cases = one_per_key(table(spark, sf_dir, "cases"), "case_id").select("case_id", "source", "missing", "conflicts", "court", "layout")
+    ch, pa = chunks(spark, sf_dir), paragraphs(spark, sf_dir)
+    words = quality.words_lost(quality.word_counts(pa, "case_id", "text"), quality.word_counts(ch, "case_id", "text"), "case_id").select("case_id", c("total").alias("words"), "lost")
+    pages = one_per_key(table(spark, sf_dir, "case_pages").select("page_id", "case_id", "page_number", "ocr", "needs_ocr", "n_columns", F.array_join("lines", " ").alias("t")), "page_id")
+    read = pages.groupBy("case_id").agg(F.count(F.lit(1)).alias("pages"), F.count_if("needs_ocr").alias("unread"), F.count_if("ocr").alias("scanned"), F.count_if(c("n_columns") == 2).alias("two_columns"))
+    bad = quality.garbled_share(pages, "case_id", "page_number", "t").select("case_id", "garbled")
+    ops = one_per_key(table(spark, sf_dir, "opinions"), "opinion_id").groupBy("case_id").agg(F.count(F.lit(1)).alias("opinions"), F.count_if(c("numbering") == "synthetic").alias("unnumbered"), F.count_if(c("opinion_type") == "unknown").alias("unknown_kinds"), F.count_if(c("author_line").isNull()).alias("nameless"))
+    sizes = ch.groupBy("case_id").agg(F.count(F.lit(1)).alias("chunks"), F.count_if(tx.tokens(c("text")) > 384).alias("over"))
+    counted = pa.groupBy("case_id").agg(F.count(F.lit(1)).alias("paragraphs"))
+    gaps = sequences.number_gaps(pa, ["case_id", "segment"], "number").groupBy("case_id").agg(F.count(F.lit(1)).alias("gap_opinions"))
+    df = cases
+    for part in (words, read, bad, ops, sizes, counted, gaps):
+        df = df.join(part, "case_id", "left")
+    df = df.withColumn("outside", F.lit(0.0)).withColumn("rough", F.lit(0)).fillna(0, ["gap_opinions", "chunks", "words"])
+    return quality.verdict(df).select("case_id", "status", F.size("reasons").alias("n_reasons"))
+
+
+@query("str_windows", """
+    SELECT epoch_us(time_bucket(INTERVAL 5 MINUTE, ts)) // 1000000 AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2""")
+def str_windows(spark, sf_dir):
+    """Windowed counts of the event table as a batch; the same plan runs as a stream."""
+    from ..streaming import ingest
+
+    out = ingest.counts_by_window(table(spark, sf_dir, "events"))
+    return out.select(F.unix_timestamp("start").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
