@@ -3,7 +3,8 @@
 Each language has a codeword of bits. For each bit a binary logistic classifier over hashed character n-grams tells
 on which side of the bit the text's language lies; the decoder takes the codeword with the least total logistic loss
 over the bits, and the gap to the next one gives the confidence. Classifiers are fitted on a bounded sample of labelled
-documents in two rounds, the second without the sentences whose label the first contradicts.
+documents in two rounds, the second without the sentences whose label the first contradicts. N-grams lie within words, so
+a word is scored once and a text is the sum of its words.
 """
 
 from __future__ import annotations
@@ -24,11 +25,12 @@ SAMPLE_DOCUMENTS, SAMPLE_SENTENCES = 250, 900
 LEAST_WORDS = 4
 AMBIGUOUS = 0.97
 SCRIPTS = r"[ऀ-ॿ꣠-ꣿ]|[஀-௿]|[؀-ۿݐ-ݿﭐ-﷿ﹰ-﻿]"
-#: Endings of words that a full stop follows inside a sentence.
-SHORT = r"(?<!\bNo)(?<!\bRs)(?<!\bv)(?<!\bDr)(?<!\bMr)(?<!\bMs)(?<!\bArt)(?<!\bSec)(?<!\bLtd)(?<!\bOrs)(?<!\b[A-Z])(?<!\.[A-Z])"
-SENTENCE = re.compile(r"(?:[।۔॥?!]|" + SHORT + r"\.(?!\d))[”\"’»)]*(?=\s|$|[“\"«])|\n+|[“”«»]|(?<=\s)\"|\"(?=\s)")
+#: Words that a full stop follows inside a sentence.
+SHORT = frozenset("No Rs v Dr Mr Ms Art Sec Ltd Ors".split())
+STOP = re.compile(r"[.।۔॥?!][”\"’»)]*(?=\s|$|[“\"«])|\n+|[“”«»\"]")
 PREFIX = re.compile(r"^[\s\W]*(?:\(?\d{1,4}[.)]\s*)?")
 WORD = re.compile(r"[^\W\d_]+(?:[’'ऀ-ःऺ-ॏஂா-்‌‍ً-ْ-][^\W\d_]*)*")
+ANY_OTHER = re.compile(SCRIPTS)
 OTHER = re.compile(r"(?:(?:" + SCRIPTS + r"|[‌‍])+[\s\d,;:()।۔./-]*)+")
 
 
@@ -55,37 +57,69 @@ def codebook(n: int, bits: int = BITS):
 
 
 def features(texts: list[str]):
-    """(bucket numbers, text numbers) of the character n-grams of all texts, sorted by text for each order."""
+    """(bucket numbers, text numbers) of the character n-grams of all texts, in order of the texts; an n-gram holds a space
+    only at its ends, so a text's n-grams are those of its words."""
     import numpy as np
 
-    joined = np.frombuffer((" ".join(texts) + "    ").encode("utf-32-le", "surrogatepass"), np.uint32)
-    sizes = np.array([len(t) + 1 for t in texts])
+    joined = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = np.array([len(t) for t in texts])
     owner = np.repeat(np.arange(len(texts)), sizes)
-    n = len(owner)
-    out, hashed = [], joined.astype(np.uint32)
+    blank = joined == 32
+    hashes, places, hashed, inside = [], [], joined.astype(np.uint32), np.ones(len(joined), bool)
     for k in range(2, max(ORDERS) + 1):
-        hashed = (hashed[: len(joined) - k + 1] * np.uint32(0x01000193)) ^ (joined[k - 1 :] * np.uint32(0x9E3779B1))
-        if k in ORDERS:
-            h = hashed[:n]
-            out.append(((h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B) >> np.uint32(16)).astype(np.int64) % BUCKETS)
-    return np.stack(out, axis=1), owner
+        n = len(joined) - k + 1
+        if n <= 0:
+            break
+        hashed = (hashed[:n] * np.uint32(0x01000193)) ^ (joined[k - 1 :] * np.uint32(0x9E3779B1))
+        inside = inside[:n] & (~blank[k - 2 : k - 2 + n] if k > 2 else True)
+        at = np.flatnonzero(inside & (owner[:n] == owner[k - 1 :]) & ~(blank[:n] & blank[k - 1 :]))
+        h = hashed[at]
+        hashes.append(((h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B) >> np.uint32(16)).astype(np.int64) % BUCKETS)
+        places.append(owner[at])
+    where, own = np.concatenate(hashes), np.concatenate(places)
+    order = np.argsort(own, kind="stable")
+    return where[order], own[order]
+
+
+def sums(texts: list[str], weights):
+    """(sum of the n-grams' weights, number of n-grams) of each text."""
+    import numpy as np
 
+    out, count = np.zeros((len(texts), BITS), np.float32), np.zeros(len(texts), np.int64)
+    where, own = features(texts)
+    if len(own):
+        starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        out[own[starts]] = np.add.reduceat(weights[where], starts, axis=0)
+        count[own[starts]] = np.diff(np.append(starts, len(own)))
+    return out, count
 
-def outputs(texts: list[str], model: Model, batch: int = 400):
-    """Bit scores of each text: mean weight of its n-grams, scaled."""
-    import numpy as np
 
-    out = np.empty((len(texts), BITS), np.float32)
-    for i in range(0, len(texts), batch):
-        part = texts[i : i + batch]
-        where, owner = features(part)
-        rows = model.weights[where[:, 0]]
-        for k in range(1, where.shape[1]):
-            rows += model.weights[where[:, k]]
-        starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-        size = np.diff(np.append(starts, len(owner)))
-        out[i : i + len(part)] = np.add.reduceat(rows, starts, axis=0) / np.sqrt(size)[:, None] + model.bias
-    return out
+class Scorer:
+    """Bit scores of texts as sums over their words, which are scored once."""
+
+    def __init__(self, model: Model, most: int = 200_000):
+        import numpy as np
+
+        self.model, self.most = model, most
+        self.at: dict[str, int] = {}
+        self.rows, self.count = np.zeros((0, BITS), np.float32), np.zeros(0, np.int64)
+
+    def outputs(self, texts: list[list[str]]):
+        import numpy as np
+
+        new = list({w for ws in texts for w in ws} - self.at.keys())
+        if len(self.at) + len(new) > self.most and self.at:
+            self.__init__(self.model, self.most)
+            new = list({w for ws in texts for w in ws})
+        if new:
+            rows, count = sums([f" {w} " for w in new], self.model.weights)
+            self.at.update(zip(new, range(len(self.at), len(self.at) + len(new)), strict=True))
+            self.rows, self.count = np.concatenate([self.rows, rows]), np.concatenate([self.count, count])
+        flat = np.array([self.at[w] for ws in texts for w in ws], np.int64)
+        size = np.array([len(ws) for ws in texts])
+        starts = np.cumsum(size) - size
+        total = np.add.reduceat(self.count[flat], starts)
+        return np.add.reduceat(self.rows[flat], starts, axis=0) / np.sqrt(np.maximum(total, 1))[:, None] + self.model.bias
 
 
 def decode(scores, codes):
@@ -99,7 +133,7 @@ def decode(scores, codes):
     return order[:, 0], p[np.arange(len(p)), order[:, 0]], order[:, 1]
 
 
-def fit_once(texts: list[str], labels, codes, epochs: int = 5, batch: int = 200) -> Model:
+def fit_once(texts: list[list[str]], labels, codes, epochs: int = 5, batch: int = 200) -> Model:
     import numpy as np
 
     model = Model(np.zeros((BUCKETS, BITS), np.float32), np.zeros(BITS, np.float32), codes)
@@ -110,11 +144,11 @@ def fit_once(texts: list[str], labels, codes, epochs: int = 5, batch: int = 200)
         for i in range(0, len(order), batch):
             part = order[i : i + batch]
             target = codes[labels[part]]
-            z = outputs([texts[j] for j in part], model)
-            slope = -target / (1 + np.exp(target * z)) / len(part)
-            where, owner = features([texts[j] for j in part])
-            scale = 1 / np.sqrt(np.bincount(owner, minlength=len(part)))[:, None]
-            flat, own = where.ravel(), np.repeat(owner, where.shape[1])
+            batch_ = [f" {' '.join(texts[j])} " for j in part]
+            total, count = sums(batch_, model.weights)
+            scale = 1 / np.sqrt(np.maximum(count, 1))[:, None]
+            slope = -target / (1 + np.exp(target * (total * scale + model.bias))) / len(part)
+            flat, own = features(batch_)
             by = np.argsort(flat, kind="stable")
             starts = np.flatnonzero(np.append(True, flat[by][1:] != flat[by][:-1]))
             hit = flat[by][starts]
@@ -125,19 +159,19 @@ def fit_once(texts: list[str], labels, codes, epochs: int = 5, batch: int = 200)
     return model
 
 
-def prepared(text: str) -> str:
-    """Lower case letters with single spaces around words; digits and marks are left out."""
-    return " " + " ".join(WORD.findall(text.lower())) + " "
-
-
-def segments(text: str) -> list[tuple[int, int, bool]]:
-    """(start, end, whole) of the stretches of a text that are classified: sentences, parts in quotation marks, and runs
+def segments(text: str) -> list[tuple[int, int, bool, list[str]]]:
+    """(start, end, whole, words) of the stretches of a text that are classified: sentences, parts in quotation marks, and runs
     in another script; whole tells whether it can be a whole sentence."""
     out, start = [], 0
-    marks = [(m.start(), m.end()) for m in SENTENCE.finditer(text)] + [(len(text), len(text))]
-    for _, end in marks:
-        _stretch(text, start, end, out)
-        start = end
+    for m in STOP.finditer(text):
+        at = m.start()
+        if text[at] == ".":
+            word = re.split(r"[\s(\[“.]", text[max(start, at - 8) : at])[-1]
+            if word in SHORT or (len(word) == 1 and word.isupper()):
+                continue
+        _stretch(text, start, m.end(), out)
+        start = m.end()
+    _stretch(text, start, len(text), out)
     return out
 
 
@@ -145,7 +179,7 @@ def _stretch(text: str, start: int, end: int, out: list) -> None:
     part = text[start:end]
     if not part.strip():
         return
-    if not part.isascii():
+    if not part.isascii() and ANY_OTHER.search(part):
         runs = [m for m in OTHER.finditer(part) if len(WORD.findall(m.group())) >= LEAST_WORDS]
         latin = re.findall(r"[A-Za-zÀ-ɏ]{2,}", part)
         if runs and len(latin) >= LEAST_WORDS:
@@ -162,12 +196,9 @@ def _stretch(text: str, start: int, end: int, out: list) -> None:
 def _put(text: str, start: int, end: int, out: list) -> None:
     part = text[start:end]
     body = part[PREFIX.match(part).end() :]
-    words = WORD.findall(body)
-    if not words:
-        return
-    letters = [c for c in body if c.isalpha()]
-    capital = sum(c.isupper() for c in letters) > 0.7 * len(letters)
-    out.append((start, end, len(words) >= LEAST_WORDS and not capital and sum(len(w) > 1 for w in words) >= LEAST_WORDS - 1))
+    words = WORD.findall(body.lower())
+    if words:
+        out.append((start, end, len(words) >= LEAST_WORDS and not body.isupper(), words))
 
 
 def label_of(column: Column) -> Column:
@@ -188,16 +219,16 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Model:
     if share is not None:
         picked = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(span)) < share[F.col("label")]).select("text", "label", F.xxhash64("doc_id").alias("h"))
         for text, label, _ in sorted(picked.collect(), key=lambda r: (r[2], r[1], r[0])):
-            for a, b, whole in segments(text):
+            for _, _, whole, words in segments(text):
                 if whole and taken.get(label, 0) < SAMPLE_SENTENCES:
                     taken[label] = taken.get(label, 0) + 1
-                    texts.append(prepared(text[a:b]))
+                    texts.append(words)
                     labels.append(LANGUAGES.index(label))
     codes, y = codebook(len(LANGUAGES)), np.array(labels, int)
     if not texts:
         return Model(np.zeros((BUCKETS, BITS), np.float32), np.zeros(BITS, np.float32), codes)
     model = fit_once(texts, y, codes, epochs=3)
-    agree = np.flatnonzero(decode(outputs(texts, model), codes)[0] == y)
+    agree = np.flatnonzero(decode(Scorer(model).outputs(texts), codes)[0] == y)
     if len(agree):
         model = fit_once([texts[i] for i in agree], y[agree], codes)
     return model
@@ -211,15 +242,16 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         import numpy as np
         import pandas as pd
 
+        scorer = Scorer(shared.value)
         for pdf in batches:
             rows, texts = [], []
             for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                for k, (a, b, whole) in enumerate(segments(text)):
+                for k, (a, b, whole, words) in enumerate(segments(text)):
                     rows.append((doc, k, a, b, whole))
-                    texts.append(prepared(text[a:b]))
+                    texts.append(words)
             if not rows:
                 continue
-            best, sure, _ = decode(outputs(texts, shared.value), shared.value.codes)
+            best, sure, _ = decode(scorer.outputs(texts), shared.value.codes)
             out = pd.DataFrame(rows, columns=["doc_id", "segment", "start", "end", "whole"])
             out["lang"] = np.array(LANGUAGES, dtype=object)[best]
             out["confidence"] = sure.astype(float)
