@@ -17,8 +17,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import table
-from .encoding import classify, fit, page_entries, sampled
+from ..sources.tables import checkpointed, table
+from .encoding import classify, fit, non_ascii, page_entries, sampled
 
 ACCENT_COST, MOST_COST = 0.3, 0.9
 FLUSH = 400_000
@@ -42,6 +42,8 @@ LATIN = "[A-Za-zÀ-ɏ]"
 ACCENT = LATIN + "[̀-ͯ]"
 MIXED = LATIN + "[Ͱ-ԯ]|[Ͱ-ԯ]" + LATIN
 SUSPECT = f"{ODD}|{JOINER}|{ACCENT}|{MIXED}"
+#: A plain class of all characters that can make an entry suspect: cheap for the JVM; the exact test follows in Python.
+COARSE = "[" + INVISIBLE + SPACES + HYPHENS + "\uff01-\uff5e\ufb00-\ufb06\u0300-\u036f\u0370-\u052f]"
 HAS_LATIN = "[A-Za-zＡ-Ｚａ-ｚÀ-ɏﬀ-ﬆ]"
 GAP = re.compile(f"[ \n\t{SPACES}]+")
 _SUSPECT = re.compile(SUSPECT)
@@ -146,6 +148,11 @@ def tokens(text: str) -> list[str]:
     return [t for t in GAP.split(text) if t]
 
 
+def coarse(text: Column) -> Column:
+    """Whether a text holds a character that can make it suspect."""
+    return non_ascii(text) & text.rlike(COARSE)
+
+
 def suspects(entries: DataFrame) -> DataFrame:
     """Entries with their suspect tokens; unusual spaces alone give an entry with none."""
 
@@ -153,8 +160,9 @@ def suspects(entries: DataFrame) -> DataFrame:
         for pdf in batches:
             found, spaced = [], []
             for text in pdf["text"]:
-                found.append(list(dict.fromkeys(t for t in tokens(text) if is_suspect(t))))
-                spaced.append(any(c in SPACES for c in text))
+                latin = bool(_SUSPECT.search(text)) and bool(_LATIN.search(text))
+                found.append(list(dict.fromkeys(t for t in tokens(text) if is_suspect(t))) if latin else [])
+                spaced.append(latin and any(c in SPACES for c in text))
             pdf["tokens"], pdf["spaced"] = found, spaced
             yield pdf[[bool(f) or s for f, s in zip(found, spaced, strict=True)]]
 
@@ -226,7 +234,7 @@ def canonical_texts(entries: DataFrame, texts: DataFrame) -> DataFrame:
     Null and empty texts are left as they are. Repeated entries give one row. Words wholly of another script, and the
     joiners between their letters, stay.
     """
-    found = suspects(entries.where(F.col("text").rlike(SUSPECT) & F.col("text").rlike(HAS_LATIN)).dropDuplicates(["record_table", "record_id", "pos"]))
+    found = checkpointed(suspects(entries.where(coarse(F.col("text")))).dropDuplicates(["record_table", "record_id", "pos"]))
     key = ["record_table", "record_id", "pos"]
     mapped = (
         found.select(*key, F.explode("tokens").alias("token"))
@@ -255,7 +263,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate lines of pages without those that are wrongly decoded."""
     pages = table(spark, sf_dir, "case_pages")
     every = page_entries(pages, ("lines",))
-    odd = page_entries(pages, ("lines",), lambda x: x.rlike(SUSPECT) & x.rlike(HAS_LATIN)).dropDuplicates(["page_id", "pos"])
+    odd = checkpointed(page_entries(pages, ("lines",), coarse).dropDuplicates(["page_id", "pos"]))
     garbled = classify(odd, fit(sampled(every, ["page_id", "field", "pos"]))).select("page_id", "pos")
     kept = odd.join(garbled, ["page_id", "pos"], "left_anti")
     return kept.select(F.lit("case_pages").alias("record_table"), F.col("page_id").alias("record_id"), "pos", "text")
