@@ -181,13 +181,12 @@ def link_names(names: DataFrame, register: DataFrame) -> DataFrame:
     """
     names = names.where(F.trim("name") != "").select("name").distinct()
     people = one_per_key(register, "judge_id").where(F.col("full_name").isNotNull()).select("judge_id", F.col("full_name").alias("name"))
-    count = people.agg(F.count(F.lit(1)).alias("people"))
+    count = people.count()
     weights = (
         people.select(F.explode(grams(F.col("name"))).alias("gram"))
         .groupBy("gram")
         .agg(F.count(F.lit(1)).alias("df"))
-        .crossJoin(F.broadcast(count))  # one row
-        .select("gram", (F.log((F.col("people") + 1.0) / F.col("df")) + 0.1).alias("idf"))
+        .select("gram", (F.log(F.lit(count + 1.0) / F.col("df")) + 0.1).alias("idf"))
     )
     variants = checkpointed(vectors(names, weights))
     known = checkpointed(vectors(people.select("name").distinct(), weights))
