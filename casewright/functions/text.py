@@ -51,8 +51,7 @@ def quoted_share(text: Column) -> Column:
     """Share of a text inside double quotation marks; an open mark runs to the end. Null and empty give 0."""
     parts = F.regexp_extract_all(text, F.lit(OPEN_QUOTES), F.lit(0))
     n = F.aggregate(F.transform(parts, lambda p: F.length(p)), F.lit(0), lambda a, x: a + x)
-    share = F.round(F.least(F.lit(1.0), n / F.when(F.length(text) > 0, F.length(text))), 2)
-    return F.coalesce(share, F.lit(0.0))
+    return F.when(F.length(text) > 0, F.round(F.least(F.lit(1.0), n / F.length(text)), 2)).otherwise(0.0)
 
 
 def caps_share(text: Column) -> Column:

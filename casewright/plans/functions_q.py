@@ -50,7 +50,7 @@ over("fn_point_id", "chunks", "chunk_id", lambda: {"point": ids.point_id(c("chun
 TOK = "greatest(1, round_even(len(text) / 4.0, 0))::INT"
 over("fn_tokens", "paragraphs", "para_id", lambda: {"tokens": tx.tokens(c("text")), "chars": F.length("text")}, {"tokens": f"CASE WHEN text IS NULL THEN 1 ELSE {TOK} END", "chars": "len(text)::INT"})
 over("fn_quoted_share", "chunks", "chunk_id", lambda: {"quoted": tx.quoted_share(c("text"))},
-     {"quoted": "coalesce(round(least(1.0, coalesce(list_sum(list_transform(regexp_extract_all(text, '“[^”]*(?:”|$)|\"[^\"]*(?:\"|$)'), lambda x: len(x))), 0)::DOUBLE / nullif(len(text), 0)), 2), 0.0)"})
+     {"quoted": "CASE WHEN coalesce(len(text), 0) = 0 THEN 0.0 ELSE coalesce(round(least(1.0, coalesce(list_sum(list_transform(regexp_extract_all(text, '“[^”]*(?:”|$)|\"[^\"]*(?:\"|$)'), lambda x: len(x))), 0)::DOUBLE / nullif(len(text), 0)), 2), 0.0) END"})
 over("fn_caps_share", "paragraphs", "para_id", lambda: {"caps": F.round(tx.caps_share(c("text")), 6)},
      {"caps": "CASE WHEN text IS NULL THEN 0.0 ELSE round(coalesce(len(regexp_replace(text, '[^\\p{Lu}]', '', 'g'))::DOUBLE / nullif(len(regexp_replace(text, '[^\\p{L}]', '', 'g')), 0), 0.0), 6) END"})
 over("fn_surname", "judges", "judge_id", lambda: {"surname": tx.surname(c("full_name"))}, {"surname": "regexp_replace(lower(string_split(full_name, ' ')[-1]), '[^a-z]', '', 'g')"})
