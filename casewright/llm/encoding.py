@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from ..sources.tables import table
 
 BUCKETS = 1 << 14
-#: Most texts of the corpus that the classifier is fitted on.
-SAMPLE = 3000
+#: Pages of the corpus, about, whose texts the classifier is fitted on.
+SAMPLE = 500
 STEPS = 120
 #: Chains: each step is (encoding of the bytes, encoding they were read with).
 CHAINS: dict[str, tuple[tuple[str, str], ...]] = {
@@ -252,9 +252,12 @@ def page_entries(pages: DataFrame, fields: tuple[str, ...] = ("lines", "footnote
     return found
 
 
-def sampled(entries: DataFrame, key: list[str], n: int = SAMPLE) -> list[str]:
-    """At most n texts, the first by a hash of their place."""
-    return [r[0] for r in entries.select("text", F.xxhash64(*key).alias("h")).orderBy("h", "text").limit(n).collect()]
+def sampled(pages: DataFrame, n: int = SAMPLE) -> list[str]:
+    """The texts with other than ASCII characters on about n pages, picked by a hash of the page."""
+    span = 1 << 30
+    share = int(span * min(1.0, n / max(1, pages.count())))
+    some = pages.where(F.pmod(F.xxhash64("page_id"), F.lit(span)) < share)
+    return sorted({r[0] for r in page_entries(some).select("text").collect()})
 
 
 def classify(entries: DataFrame, model: Model) -> DataFrame:
@@ -304,8 +307,7 @@ def find_garbled(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     Null arrays, null and empty entries and pure ASCII entries are never cases. Repeated rows give repeated results; an
     empty table gives none. Other columns are ignored.
     """
-    entries = page_entries(pages)
-    return classify(entries, fit(sampled(entries, ["page_id", "field", "pos"], sample)))
+    return classify(page_entries(pages), fit(sampled(pages, sample)))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -262,9 +262,8 @@ def canonical_texts(entries: DataFrame, texts: DataFrame) -> DataFrame:
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate lines of pages without those that are wrongly decoded."""
     pages = table(spark, sf_dir, "case_pages")
-    every = page_entries(pages, ("lines",))
     odd = checkpointed(page_entries(pages, ("lines",), coarse).dropDuplicates(["page_id", "pos"]))
-    garbled = classify(odd, fit(sampled(every, ["page_id", "field", "pos"]))).select("page_id", "pos")
+    garbled = classify(odd, fit(sampled(pages))).select("page_id", "pos")
     kept = odd.join(garbled, ["page_id", "pos"], "left_anti")
     return kept.select(F.lit("case_pages").alias("record_table"), F.col("page_id").alias("record_id"), "pos", "text")
 

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from casewright.llm import encoding, languages, lookalikes, scans
 
 
@@ -79,6 +81,10 @@ def test_scan_frame(spark):
     assert {(f"pg{p}", 3, "hyphen") for p in range(1, 41)} <= got and ("pg9", 5, "hyphen") not in got
     assert ("pg7", 2, "misread") in got and sum(k == "misread" for *_, k in got) == 1
     assert scans.findings(df.where("false"))[0].count() == 0
+    with_places = df.withColumn("x0", F.lit(None).cast("array<double>")).withColumn("gap", F.lit(None).cast("array<boolean>"))
+    text = " ".join(r["text"] for r in scans.paragraphs(with_places).orderBy("nth").collect())
+    assert "broken the lease before the day" in text and "the court rejected the claim of the tenant" in text and "courl" not in text
+    assert "accepted by the self-defence plea of the company" in text and "REGISTER" not in text and "- 7 -" not in text
 
 
 def test_languages(spark):
