@@ -217,3 +217,53 @@ def str_windows(spark, sf_dir):
 
     out = ingest.counts_by_window(table(spark, sf_dir, "events"))
     return out.select(F.unix_timestamp("start").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query("pay_pipeline")
+def pay_pipeline(spark, sf_dir):
+    """Passages of all cases, from the printed lines to the payload."""
+    from . import pipeline
+    from .relational_q import examples
+
+    cases = one_per_key(table(spark, sf_dir, "cases"), "case_id").select("case_id", "case_name", "court", "case_date", "citations", "bench", "summary")
+    rows = pipeline.passages(page_lines(spark, sf_dir), cases, examples(spark))
+    return rows.select("chunk_id", "case_id", "role", "tokens", "substantive", "block_id", "block_index", "prev_chunk_id", "next_chunk_id", F.length("context").alias("context_chars"))
+
+
+@query("pay_cards", f"""
+    WITH s AS (SELECT case_id, rhetorical_role AS section, count(*) AS mentions, min(para_start) AS first FROM {CHUNKS} WHERE case_id IS NOT NULL AND rhetorical_role IS NOT NULL GROUP BY 1, 2),
+         r AS (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY mentions DESC, first, section) AS k FROM s),
+         t AS (SELECT case_id, string_agg('role ' || section, ', ' ORDER BY k) AS provisions FROM r WHERE k <= 8 GROUP BY 1), m AS (SELECT DISTINCT ON (case_id) * FROM cases)
+    SELECT m.case_id, concat_ws(' ', case_name || '. ' || coalesce(court, '') || coalesce(', decided ' || strftime(case_date, '%-d %B %Y'), '') || '.',
+        CASE WHEN len(array_to_string(citations, '; ')) > 0 THEN 'Citations: ' || array_to_string(citations, '; ') || '.' END,
+        CASE WHEN len(array_to_string(bench, ', ')) > 0 THEN 'Bench: ' || array_to_string(bench, ', ') || '.' END,
+        CASE WHEN len(regexp_replace(summary, '\\.+$', '')) > 0 THEN regexp_replace(summary, '\\.+$', '') || '.' END,
+        CASE WHEN len(provisions) > 0 THEN 'Provisions discussed: ' || provisions || '.' END) AS text FROM m LEFT JOIN t ON m.case_id = t.case_id""")
+def pay_cards(spark, sf_dir):
+    """Cards of all cases; the roles of their passages stand in for provisions, which these tables hardly cite."""
+    from ..operators import cards
+
+    cases = one_per_key(table(spark, sf_dir, "cases"), "case_id")
+    roles_ = chunks(spark, sf_dir).where("case_id IS NOT NULL AND rhetorical_role IS NOT NULL").groupBy("case_id", c("rhetorical_role").alias("section")).agg(F.count(F.lit(1)).alias("mentions"), F.min("para_start").alias("first"))
+    none = spark.createDataFrame([], "case_id string, first_key string, name_hint string, paragraphs array<int>")
+    return cards.cards(cases, roles_.withColumn("code", F.lit("role")), none)
+
+
+@query("agg_build_figures", f"""
+    WITH p AS (SELECT case_id, greatest(1, round_even(len(text) / 4.0, 0))::INT AS tokens FROM {CHUNKS} WHERE text IS NOT NULL AND case_id IS NOT NULL AND rhetorical_role IS NOT NULL)
+    SELECT case_id, count(*) AS chunks, min(tokens) AS tokens_min, floor(median(tokens))::INT AS tokens_median, max(tokens) AS tokens_max, count(*) FILTER (WHERE tokens < 25) AS not_substantive FROM p GROUP BY 1""")
+def agg_build_figures(spark, sf_dir):
+    from ..operators import cards
+
+    p = chunks(spark, sf_dir).where("text IS NOT NULL AND case_id IS NOT NULL AND rhetorical_role IS NOT NULL")
+    p = p.select("case_id", c("rhetorical_role").alias("role"), tx.tokens(c("text")).alias("tokens")).withColumn("substantive", c("tokens") >= 25)
+    return cards.build_figures(p).drop("roles")
+
+
+@query("seg_footnotes", "SELECT case_id, '1st note goes on|second' AS notes FROM (SELECT DISTINCT case_id FROM cases WHERE case_id IS NOT NULL)")
+def seg_footnotes(spark, sf_dir):
+    """Notes joined from the lines of a page's foot, by construction."""
+    from ..operators import cards
+
+    lines = F.array(F.lit("stray"), F.lit("1"), F.lit("1st note"), F.lit("goes on"), F.lit("2 second"), F.lit(""))
+    return table(spark, sf_dir, "cases").where("case_id IS NOT NULL").select("case_id").distinct().select("case_id", F.array_join(cards.footnotes(lines), "|").alias("notes"))
