@@ -21,6 +21,8 @@ from pyspark.sql.window import Window
 from ..sources.tables import checkpointed, fits, one_per_key, table
 
 TOP, LEAST_COSINE, LEAST_LINKAGE, ROUNDS = 12, 0.12, 0.05, 2
+#: Cost of all parts together beyond which a spelling is another name: about one error a part.
+MOST_COST = 4.5
 BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32 << 20
 
 #: Titles before and after names.
@@ -89,7 +91,7 @@ def word_cost(a: str, b: str) -> float | None:
     """Cost of reading a as a misspelt b; None if they are different words."""
     if a == b:
         return 0.0
-    most = 1 if min(len(a), len(b)) < 5 else 2 if min(len(a), len(b)) < 10 else 3
+    most = 1 if min(len(a), len(b)) < 5 else 2
     d = distance(a, b, most)
     if d <= most:
         return 0.5 + d
@@ -141,7 +143,7 @@ def agreement(words: list[str], comma: bool, judge: bool, full: list[str]) -> fl
             else:
                 total += 0.05 * (len(given) - len(names)) if names else 0.0
                 best = total if best is None else min(best, total)
-    return best
+    return best if best is not None and best <= MOST_COST else None
 
 
 def grams(name: Column, n: int = 3) -> Column:
