@@ -1,11 +1,20 @@
-"""Operators on ordered passages and paragraphs: neighbours, blocks, gaps, as-of notes."""
+"""Operators on ordered passages and paragraphs: neighbours, blocks, gaps, as-of notes, packing, cutting of long ones."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.text import ABBREVIATIONS
+
+#: Ends of sentences, the last word behind which they go on, marks of a clause's end.
+STOP = re.compile(r"[.?!][\"”’)\]]*\s+(?=[A-Z0-9(\[\"“‘])")
+SHORT = re.compile(r"[a-z]|\d{1,4}")
+CLAUSE = ";:,—"
+
 
 def neighbours(df: DataFrame, group: str, order: list[str], key: str) -> DataFrame:
     """Adds prev_<key> and next_<key> in the order within a group."""
@@ -62,7 +71,7 @@ def pack(df: DataFrame, target: int = 200, most: int = 384, tiny: int = 30) -> D
 
     df: case_id, segment, para_seq, number, label, page, text, role, heading. A chunk holds whole neighbouring paragraphs of
     one role and heading up to `target` tokens; tiny unlabelled ones at its head ride with what follows; a paragraph of
-    more than `most` tokens (para_seq is unique in its opinion) stands alone, marked long, to be cut by a splitter. Null texts count as empty. Out: case_id, segment, chunk (position),
+    more than `most` tokens (para_seq is unique in its opinion) stands alone, marked long; `cut_long` cuts it. Null texts count as empty. Out: case_id, segment, chunk (position),
     first, last (labels), para_start, para_end, page_start, text, role, heading, labels, long.
     """
     df = df.select(
@@ -105,3 +114,92 @@ def pack(df: DataFrame, target: int = 200, most: int = 384, tiny: int = 30) -> D
         F.transform(F.array_sort(F.collect_list(F.struct("at", "label"))), lambda x: x["label"]).alias("labels"),
         (F.max(tokens(F.length("text"))) > most).alias("long"),
     )
+
+
+def _tokens(chars: int) -> int:
+    return max(1, round(chars / 4))
+
+
+def _sentences(text: str) -> list[str]:
+    """Sentences of a text, as `functions.text.sentences` cuts them."""
+    out, start = [], 0
+    for m in STOP.finditer(text):
+        before = text[start : m.start()].split()
+        last = before[-1].strip("([\"“‘").lower() if before else ""
+        if last not in ABBREVIATIONS and not SHORT.fullmatch(last):
+            out.append(text[start : m.end()].strip())
+            start = m.end()
+    tail = text[start:].strip()
+    return [*out, tail] if tail else out
+
+
+def _slices(word: str, most: int) -> list[str]:
+    """A word above `most` tokens cut behind a mark in the last tenth of what the limit holds, else at the limit."""
+    out, size = [], 4 * most
+    while len(word) > size:
+        at = next((i for i in range(size, size - size // 10, -1) if not word[i - 1].isalnum()), size)
+        out.append(word[:at])
+        word = word[at:]
+    return [*out, word]
+
+
+def _clauses(sentence: str, most: int) -> list[tuple[str, str]]:
+    """(space before, piece) of a sentence above `most` tokens, cut at words: near the limit, or at a clause's end from six
+    tenths of it. Only words above the limit are cut themselves."""
+    out: list[tuple[str, str]] = []
+    piece: list[str] = []
+    chars = -1
+    for word in sentence.split():
+        if piece and _tokens(chars + 1 + len(word)) > most:
+            out.append((" ", " ".join(piece)))
+            piece, chars = [], -1
+        if _tokens(len(word)) > most:
+            out += [("" if k else " ", x) for k, x in enumerate(_slices(word, most))]
+            continue
+        piece.append(word)
+        chars += len(word) + 1
+        size = _tokens(chars)
+        if size >= most * 0.9 or (size >= most * 0.6 and word[-1] in CLAUSE):
+            out.append((" ", " ".join(piece)))
+            piece, chars = [], -1
+    return [*out, (" ", " ".join(piece))] if piece else out
+
+
+def parts_of(text: str, most: int = 384, overlap: int = 2) -> list[str]:
+    """Parts of a long text, packed from its sentences up to `most` tokens; each repeats the last `overlap` sentences of the one
+    before, as far as they leave room for the next sentence."""
+    pieces = [x for s in _sentences(text) for x in ([(" ", s)] if _tokens(len(s)) <= most else _clauses(s, most))]
+    said = lambda xs: "".join(space + x for space, x in xs)[len(xs[0][0]) :]
+    over = lambda xs: _tokens(len(said(xs))) > most
+    out: list[str] = []
+    now: list[tuple[str, str]] = []
+    fresh = 0  # sentences of `now` that no part has yet
+    for piece in pieces:
+        if now and over([*now, piece]):
+            carry = now[-overlap:] if fresh and overlap else []
+            if fresh:
+                out.append(said(now))
+            while carry and over([*carry, piece]):
+                carry = carry[1:]
+            now, fresh = carry, 0
+        now.append(piece)
+        fresh += 1
+    return [*out, said(now)] if fresh else out
+
+
+def cut_long(packed: DataFrame, most: int = 384, overlap: int = 2) -> DataFrame:
+    """The chunks of `pack` with chunk_part: a long one leaves as its parts, numbered from 0; chunk_part is null for all others.
+
+    Only long texts go to Python. A long text without a word has no part.
+    """
+
+    @F.pandas_udf("array<string>")
+    def cut(texts):
+        import pandas as pd
+
+        return pd.Series([None if t is None else parts_of(t, most, overlap) for t in texts], dtype=object)
+
+    names = packed.columns
+    parts = packed.withColumn("_parts", cut(F.when(F.col("long"), F.col("text"))))
+    flat = parts.select(*names, F.posexplode_outer("_parts").alias("chunk_part", "_part")).where(~F.col("long") | F.col("chunk_part").isNotNull())
+    return flat.withColumn("text", F.coalesce("_part", "text")).drop("_part")

@@ -89,10 +89,10 @@ def role_construction(spark, sf_dir):
 
 @query("chk_pack")
 def chk_pack(spark, sf_dir):
-    """Chunks packed from all labelled paragraphs."""
-    packed = sequences.pack(labelled(spark, sf_dir))
-    name = ids.chunk_id(c("case_id"), c("segment"), c("first"), c("last"), F.lit(None).cast("int"))
-    return packed.select(name.alias("chunk_id"), "case_id", "segment", "para_start", "para_end", tx.tokens(c("text")).alias("tokens"), "role", "heading", "long")
+    """Chunks packed from all labelled paragraphs, long ones cut."""
+    packed = sequences.cut_long(sequences.pack(labelled(spark, sf_dir)))
+    name = ids.chunk_id(c("case_id"), c("segment"), c("first"), c("last"), c("chunk_part"))
+    return packed.select(name.alias("chunk_id"), "case_id", "segment", "para_start", "para_end", "chunk_part", tx.tokens(c("text")).alias("tokens"), "role", "heading", "long")
 
 
 @query("chk_pack_tokens", """
@@ -227,7 +227,7 @@ def pay_pipeline(spark, sf_dir):
 
     cases = one_per_key(table(spark, sf_dir, "cases"), "case_id").select("case_id", "case_name", "court", "case_date", "citations", "bench", "summary")
     rows = pipeline.passages(page_lines(spark, sf_dir), cases, examples(spark))
-    return rows.select("chunk_id", "case_id", "role", "tokens", "substantive", "block_id", "block_index", "prev_chunk_id", "next_chunk_id", F.length("context").alias("context_chars"))
+    return rows.select("chunk_id", "case_id", "chunk_part", "long", "role", "tokens", "substantive", "block_id", "block_index", "prev_chunk_id", "next_chunk_id", F.length("context").alias("context_chars"))
 
 
 @query("pay_cards", f"""

@@ -8,25 +8,27 @@ from pyspark.sql import functions as F
 from ..functions import ids
 from ..functions import text as tx
 from ..operators import extract, layout, mapping, roles, segmentation, sequences
+from ..sources.tables import checkpointed
 
 
 def passages(lines: DataFrame, cases: DataFrame, table: DataFrame) -> DataFrame:
     """Passages with their payload from lines(doc_id, page, line, text, gap, x0), cases(case_id, case_name, court, case_date, citations,
-    bench, summary) and a mapping table. doc_id is the case_id. Passages above 384 tokens are marked long; a splitter cuts them.
+    bench, summary) and a mapping table. doc_id is the case_id. A paragraph above 384 tokens is cut into
+    parts (chunk_part) at sentences. Paragraphs, their roles and the passages are checkpointed, as each is read several times.
     """
     kept = layout.without_furniture(lines).withColumn("line_no", F.col("page") * 100_000 + F.col("line"))
     paras = segmentation.paragraphs(kept.select("doc_id", "line_no", "page", "text", "x0", "gap")).withColumnRenamed("doc_id", "case_id")
-    paras = paras.join(cases.select("case_id", "case_name"), "case_id", "left")
+    paras = checkpointed(paras.join(cases.select("case_id", "case_name"), "case_id", "left"))
     labelled = roles.label(paras, F.col("text").rlike(extract.SIGNS), F.col("text").rlike(r"\d{4}.*(?:SCC|AIR|SCR|INSC)"))
-    packed = sequences.pack(labelled)
-    name = ids.chunk_id(F.col("case_id"), F.col("segment"), F.col("first"), F.col("last"), F.lit(None).cast("int"))
-    packed = packed.withColumn("chunk_id", name).withColumn("tokens", tx.tokens(F.col("text")))
+    packed = sequences.cut_long(sequences.pack(checkpointed(labelled)))
+    name = ids.chunk_id(F.col("case_id"), F.col("segment"), F.col("first"), F.col("last"), F.col("chunk_part"))
+    packed = checkpointed(packed.withColumn("chunk_id", name).withColumn("tokens", tx.tokens(F.col("text"))))
     refs = extract.statute_refs(packed.select("chunk_id", "text"), "text").select("chunk_id", F.col("ref.code").alias("code"), F.col("ref.section").alias("section"), F.col("ref.start").alias("start"))
     looked = mapping.lookup(refs, table)
     order = lambda v: F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("start", v.alias("v")))), lambda x: x["v"]))
     cited = looked.withColumn("id", ids.statute_id(F.col("code"), F.col("section"))).groupBy("chunk_id").agg(order(F.col("id")).alias("statutes"), F.array_distinct(F.flatten(order(F.col("successors")))).alias("statutes_current"))
-    linked = sequences.neighbours(packed, "case_id", ["segment", "chunk"], "chunk_id")
-    blocked = sequences.blocks(linked, "case_id", ["segment", "chunk"], ["segment", "role", "heading"])
+    linked = sequences.neighbours(packed, "case_id", ["segment", "chunk", "chunk_part"], "chunk_id")
+    blocked = sequences.blocks(linked, "case_id", ["segment", "chunk", "chunk_part"], ["segment", "role", "heading"])
     df = blocked.join(cited, "chunk_id", "left").join(cases, "case_id", "left")
     some = F.coalesce(F.size("statutes"), F.lit(0)) > 0
     plain = F.col("text").rlike(r"(?i)^\W*\d*\W*(?:leave granted|delay condoned|issue notice)\b[^.]{0,120}\.?\s*$")

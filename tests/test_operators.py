@@ -96,6 +96,49 @@ def test_pack_against_brute_force(spark):
     assert sequences.pack(df.where("false")).count() == 0
 
 
+def test_long_paragraphs_are_cut(spark):
+    tok = lambda t: max(1, round(len(t) / 4))
+    said = [f"Sentence {chr(97 + i % 26)}x number {'w' * (i % 40)} stands in the case of A v. B here." for i in range(90)]
+    endless = " ".join(f"word{i}," if i % 50 == 49 else f"word{i}" for i in range(900))
+    table = "~".join(f"ledger|{i}|Town" for i in range(300))
+    texts = {"1": " ".join(said), "2": "Short one.", "3": endless, "4": " " * 1700, "5": table, "6": "x" * 1600}
+    rows = [("c", 0, i, int(n), n, 1, t, "facts", None) for i, (n, t) in enumerate(texts.items())]
+    df = spark.createDataFrame(rows, "case_id string, segment int, para_seq int, number int, label string, page int, text string, role string, heading string")
+    got = sequences.cut_long(sequences.pack(df)).orderBy("chunk", "chunk_part").collect()
+    parts = {n: [(r["chunk_part"], r["text"]) for r in got if r["first"] == n] for n in texts}
+    assert parts["2"] == [(None, "Short one.")] and parts["4"] == []
+    for n in "1356":
+        assert len(parts[n]) > 1 and [k for k, _ in parts[n]] == list(range(len(parts[n]))) and all(tok(t) <= 384 for _, t in parts[n])
+    assert all("".join(t for _, t in parts[n]) == texts[n] for n in "56") and parts["5"][0][1][-1] in "~|"
+    # two sentences are repeated, and without them the parts are the text
+    first, whole = [t for _, t in parts["1"]], ""
+    for k, t in enumerate(first):
+        new = t
+        if k:
+            carried = " ".join(sequences._sentences(first[k - 1])[-2:])
+            assert t.startswith(carried)
+            new = t[len(carried) :]
+        whole += new
+    assert whole == texts["1"]
+    assert set(endless.split()) == {w for _, t in parts["3"] for w in t.split()} and all(t.endswith((",", endless[-7:])) or tok(t) >= 345 for _, t in parts["3"])
+
+
+def test_passages_carry_parts(spark):
+    from casewright.plans import pipeline
+
+    long = ["2. It is said that the matter went on for long."] + ["The court heard the parties at length and went on. It then rose for the day and the week."] * 30
+    said = ["A v. B", "JUDGMENT", "1. First para of the case.", *long, "3. Third para of the case.", "4. Fourth para of the case."]
+    lines = spark.createDataFrame([("k", 1, i, t, False, 72.0) for i, t in enumerate(said)], "doc_id string, page int, line int, text string, gap boolean, x0 double")
+    cases = spark.createDataFrame([("k", "A v. B", "Supreme Court", dt.date(2000, 1, 1), ["c"], ["X"], "s")], "case_id string, case_name string, court string, case_date date, citations array<string>, bench array<string>, summary string")
+    got = pipeline.passages(lines, cases, relational_q.examples(spark)).collect()
+    names = [r["chunk_id"] for r in got]
+    cut = sorted((r["chunk_part"], r["chunk_id"], r["parent_id"]) for r in got if r["chunk_part"] is not None)
+    assert len(set(names)) == len(names) and len(cut) > 1 and max(r["tokens"] for r in got) <= 384
+    assert cut == [(k, f"k_o0_p2_{k}", "k_o0_p2") for k in range(len(cut))]
+    after = {r["chunk_id"]: r["next_chunk_id"] for r in got}
+    assert after["k_o0_p2_0"] == "k_o0_p2_1" and after[cut[-1][1]] == next(n for n in names if n.startswith("k_o0_p3"))
+
+
 def test_roles(spark):
     said = ["Learned counsel for the appellant submitted that it is bad.", "Per contra, it is good.", "He further submitted more.", "The facts of the case are short.", None, "We are of the view that this fails. “The appeal is dismissed.”", "The appeal is dismissed."]
     df = spark.createDataFrame([("c", 0, i, t, None, "A v. State of B") for i, t in enumerate(said)], "case_id string, segment int, para_seq int, text string, heading string, case_name string")
