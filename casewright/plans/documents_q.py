@@ -48,6 +48,14 @@ def seg_paragraphs(spark, sf_dir):
     return segmentation.paragraphs(lines.select("doc_id", "line_no", "page", "text", "x0", "gap")).select("doc_id", "para_seq", "segment", "number", "page", "heading", "numbering", F.length("text").alias("chars"))
 
 
+@query("seg_headers")
+def seg_headers(spark, sf_dir):
+    """What stands before the first opinion of each case."""
+    kept = layout.without_furniture(page_lines(spark, sf_dir))
+    lines = kept.withColumn("line_no", c("page") * 10_000 + c("line"))
+    return segmentation.headers(lines.select("doc_id", "line_no", "page", "text", "x0", "gap"))
+
+
 @query("seg_by_construction", """
     SELECT case_id AS doc_id, n AS number, 'Para ' || n || ' of the case stands here.' AS text FROM (SELECT DISTINCT case_id FROM cases WHERE case_id IS NOT NULL), (SELECT unnest(range(1, 7)) AS n)""")
 def seg_by_construction(spark, sf_dir):

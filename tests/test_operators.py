@@ -161,6 +161,46 @@ def test_numbering():
     assert len(plain) > 1 and plain[0]["numbering"] == "synthetic"
 
 
+def test_no_word_of_an_opinion_is_lost(spark):
+    import re
+    from collections import Counter
+
+    said = """A v. B
+    JUDGMENT
+    We have read the record with care.
+    1. First para.
+    2. Second para
+    2.1. one limb of it
+    2.2. another limb.
+    FACTS
+    THE APPEAL
+    3. Third para.
+    4. Fourth para ends here.
+    5. Fifth para ends here.
+    6. Sixth para ends here.
+    7. Seventh para ends here.
+    KHANNA, J. (dissenting)
+    I regret that I cannot agree
+    with my learned brother.
+    REASONS
+    1. Own first.
+    2. Own second.
+    3. Own third.
+    POSTSCRIPT""".split("\n")
+    lines = [Line(1, x) for x in said]
+    found, head = segmentation.segment(lines)
+    got = {(p["segment"], p["label"]): p for p in found}
+    assert got[1, "0"]["text"] == "I regret that I cannot agree with my learned brother." and got[1, "0"]["numbering"] == "synthetic"
+    assert got[1, "1"]["heading"] == "REASONS" and got[0, "0"]["text"] == "We have read the record with care." and head == "A v. B"
+    assert got[0, "2.1"]["text"].endswith("one limb of it") and got[0, "2.2"]["number"] == 2 and got[0, "3"]["heading"] == "FACTS — THE APPEAL"
+    words = lambda t: Counter(re.findall(r"[A-Za-z]+", t))
+    heads = {p["heading"] for p in found if p["heading"]} | {p["author"] for p in found if p["author"]}
+    kept = words(" ".join([head, *heads, *(p["text"] for p in found)]))
+    assert words(" ".join(said)) - kept == words("JUDGMENT J dissenting")
+    df = spark.createDataFrame([("d", i, 1, x, None, None) for i, x in enumerate(said)], "doc_id string, line_no int, page int, text string, x0 double, gap boolean")
+    assert [tuple(r) for r in segmentation.headers(df).collect()] == [("d", "A v. B")] and segmentation.paragraphs(df).count() == len(found)
+
+
 def test_segmentation_frame(spark):
     rows = [("d", i, 1, t, None, None) for i, t in enumerate(["JUDGMENT", "1. A.", None, "2. B.", "3. C."])]
     df = spark.createDataFrame(rows, "doc_id string, line_no int, page int, text string, x0 double, gap boolean")
