@@ -1,7 +1,8 @@
 """P6: noise in lines of scanned pages: broken words, misread characters, running headers and page numbers.
 
 A hidden Markov model labels the lines of a page as header, page number, break (a paragraph begins) or body, from layout
-features; it is fitted by Viterbi training on a bounded sample of pages. The corpus's own words judge broken and
+features; it is fitted by Viterbi training on a bounded sample of pages, while the shapes and opening words of page tops
+are counted over all pages. The corpus's own words judge broken and
 misread words: a rare word whose letters are confusable with those of a much more frequent word is a misreading of it;
 a word broken at a line end is rejoined unless the corpus knows it as a compound. Paragraphs are put together from the
 labels, across pages.
@@ -76,14 +77,16 @@ def distance(a: str, b: str, most: int) -> int:
     return row[-1]
 
 
+def word_kind(w: str) -> str:
+    """Kind of a word with the marks around it."""
+    core = w.strip(STRIP)
+    kind = "#" if core and 2 * sum(map(str.isdigit, core)) > len(core) else "A" if len(core) > 1 and sum(c.isupper() or c.isdigit() for c in core) > 0.6 * len(core) else "a" if core[:1].islower() else "Aa" if core else ""
+    return (w[0] if w[0] in "([“" else "") + kind + (w[-1] if w[-1] in ".,;:)]”" else "")
+
+
 def shape(line: str) -> str:
-    """Kinds of the words of a line."""
-    out = []
-    for w in line.split():
-        core = w.strip(STRIP)
-        kind = "#" if core and 2 * sum(map(str.isdigit, core)) > len(core) else "A" if len(core) > 1 and sum(c.isupper() or c.isdigit() for c in core) > 0.6 * len(core) else "a" if core[:1].islower() else "Aa" if core else ""
-        out.append((w[0] if w[0] in "([“" else "") + kind + (w[-1] if w[-1] in ".,;:)]”" else ""))
-    return " ".join(out[:8])
+    """Kinds of the first words of a line."""
+    return " ".join(map(word_kind, line.split()[:8]))
 
 
 def opening(line: str) -> str:
@@ -172,16 +175,18 @@ def guess(f: tuple[int, ...], line: str) -> int:
     return BREAK if numbered or (caps == 2 and place != 6) else BODY
 
 
-def fit(pages: list[tuple[list[str], bool]], rounds: int = ROUNDS) -> Model:
+def told(key: str, n: int) -> bool:
+    """Whether a key of page tops is frequent enough to count: a shape, or an opening of three words."""
+    return n > 4 and key.count(" ") == 2 if key.startswith(">") else n > 2
+
+
+def odds_of(top: dict[str, int], middle: dict[str, int], size_t: int, size_m: int) -> dict[str, float]:
+    """Log-odds of the shapes and openings at page tops against page middles; openings count only if they never stand in the middle."""
+    return {s: math.log((n + 0.3) / max(1, size_t)) - math.log((middle.get(s, 0) + 0.3) / max(1, size_m)) for s, n in top.items() if told(s, n) and not (s.startswith(">") and middle.get(s, 0))}
+
+
+def fit(pages: list[tuple[list[str], bool]], odds: dict[str, float], rounds: int = ROUNDS) -> Model:
     """Viterbi training from the first guesses; counts are smoothed by one."""
-    top, middle = Counter(), Counter()
-    for lines, report in pages:
-        if lines and not report:
-            top.update((shape(lines[0]), opening(lines[0])))
-            middle.update(k for x in lines[3:-2] for k in (shape(x), opening(x)))
-    size_t, size_m = max(1, sum(top.values())), max(1, sum(middle.values()))
-    # openings count only if they never stand in the middle of a page and have three words
-    odds = {s: math.log((n + 0.3) / size_t) - math.log((middle[s] + 0.3) / size_m) for s, n in top.items() if (n > 2 if not s.startswith(">") else n > 4 and not middle[s] and s.count(" ") == 2)}
     model = None
     for _ in range(rounds):
         start, step = [1.0] * STATES, [[1.0] * STATES for _ in range(STATES)]
@@ -220,14 +225,32 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on at most `sample` pages and as many reports, the first by a hash of the id."""
+def train(rows: DataFrame, odds: dict[str, float], sample: int = SAMPLE) -> Model:
+    """Fit on at most `sample` pages and as many reports, the first by a hash of the id; odds are those of all pages."""
     got = []
     for kind in ("case_pages", "law_reports"):
         part = rows.where(F.col("record_table") == kind).select("lines", F.xxhash64("record_id").alias("h"))
         share = F.pmod("h", F.lit(1 << 20)) < (1 << 20) * min(1.0, sample / max(1, part.count()))
         got += [(_clean(r[0]), kind == "law_reports") for r in sorted(part.where(share).collect(), key=lambda r: r[1])]
-    return fit(got)
+    return fit(got, odds)
+
+
+def tops(rows: DataFrame) -> tuple[dict[str, int], int]:
+    """(counts, size): how often each shape and opening stands at the top of a page, over all pages, if often enough to count;
+    size is the number of all. Combined before the shuffle; what is kept is small beside the pages (a few bytes for a title)."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pandas as pd
+
+        for pdf in batches:
+            seen = Counter(k for x in pdf["line"] for k in (shape(x), opening(x)))
+            yield pd.DataFrame({"key": list(seen), "n": list(seen.values())})
+
+    lines = rows.where("record_table = 'case_pages' AND size(lines) > 0").select(F.coalesce(F.get("lines", F.lit(0)), F.lit("")).alias("line"))
+    each = checkpointed(lines.mapInPandas(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n")))
+    spaces = F.length("key") - F.length(F.replace("key", F.lit(" "), F.lit("")))
+    kept = each.where(F.when(F.col("key").startswith(">"), (F.col("n") > 4) & (spaces == 2)).otherwise(F.col("n") > 2))
+    return {r[0]: r[1] for r in kept.collect()}, each.agg(F.sum("n")).first()[0] or 0
 
 
 def _tokens(lines: list[str], counts: Counter, joins: Counter) -> None:
@@ -244,32 +267,71 @@ def _tokens(lines: list[str], counts: Counter, joins: Counter) -> None:
         carried = m.group(1) if m else ""
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """(word, n, joined): how often each word stands whole and how often joined over a line end."""
+class Kept(dict):
+    """Values of a function, each computed once."""
+
+    def __init__(self, f):
+        self.f = f
+
+    def __missing__(self, key):
+        self[key] = value = self.f(key)
+        return value
+
+
+#: Fixed value: mark before the keys of page middles among the words counted.
+MIDDLE = "\u0001"
+
+
+def word_counts(rows: DataFrame, keys: frozenset[str] = frozenset()) -> DataFrame:
+    """(word, n, joined): how often each word stands whole and how often joined over a line end.
+
+    In the same pass the `keys` of page tops are counted in the middles of all pages, as words with the mark before them; the mark
+    alone counts all shapes and openings there.
+    """
+    send = rows.sparkSession.sparkContext.broadcast(keys)
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
-        counts, joins = Counter(), Counter()
+        asked = send.value
+        heads = frozenset(k[1:].split(" ", 1)[0] for k in asked if k.startswith(">"))
+        counts, joins, middle = Counter(), Counter(), Counter()
+        kinds, folded = Kept(word_kind), Kept(lambda w: w.translate(FOLD))
 
         def flush():
             whole: Counter = Counter()
             for token, n in counts.items():
                 whole[bare(token)] += n
-            words = [w for w in whole.keys() | joins.keys() if len(w) > 1 and any(c.isalpha() for c in w) and w.isascii() and "|" not in w[1:-1] and "~" not in w]
-            return pd.DataFrame({"word": words, "n": [whole[w] for w in words], "joined": [joins[w] for w in words]})
+            words = [w for w in whole.keys() | joins.keys() if len(w) > 1 and w[0] != MIDDLE and any(c.isalpha() for c in w) and w.isascii() and "|" not in w[1:-1] and "~" not in w]
+            out = pd.DataFrame({"word": words, "n": [whole[w] for w in words], "joined": [joins[w] for w in words]})
+            return pd.concat([out, pd.DataFrame({"word": [MIDDLE + k for k in middle], "n": list(middle.values()), "joined": 0})])
+
+        def look(lines: list[str]) -> None:
+            middle[""] += 2 * len(lines)
+            for line in lines:
+                first = line.split(None, 8)[:8]
+                if first and folded[first[0]] in heads:
+                    key = opening(line)
+                    if key in asked:
+                        middle[key] += 1
+                key = " ".join(map(kinds.__getitem__, first))
+                if key in asked:
+                    middle[key] += 1
 
         for pdf in batches:
-            for lines in pdf["lines"]:
-                _tokens(_clean(lines), counts, joins)
+            for name, raw in zip(pdf["record_table"], pdf["lines"], strict=True):
+                lines = _clean(raw)
+                _tokens(lines, counts, joins)
+                if name == "case_pages":
+                    look(lines[3:-2])
             if len(counts) > FLUSH:
                 yield flush()
-                counts.clear()
-                joins.clear()
-        if counts or joins:
+                for c in (counts, joins, middle, kinds, folded):
+                    c.clear()
+        if counts or joins or middle:
             yield flush()
 
-    each = rows.select("lines").mapInPandas(run, "word string, n long, joined long")
+    each = rows.select("record_table", "lines").mapInPandas(run, "word string, n long, joined long")
     return each.groupBy("word").agg(F.sum("n").alias("n"), F.sum("joined").alias("joined"))
 
 
@@ -376,8 +438,11 @@ PLACE = ["record_table", "record_id", "pos"]
 def findings(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(found, corrections, words): found(record_table, record_id, pos, kind); corrections(record_table, record_id, pos,
     word, correct) of misread words; words are the corpus's counts."""
-    model = train(rows)
-    words = checkpointed(word_counts(rows))
+    top, size = tops(rows)
+    counted = checkpointed(word_counts(rows, frozenset(top)))
+    middle = {r[0][1:]: r[1] for r in counted.where(F.col("word").startswith(MIDDLE)).select("word", "n").collect()}
+    model = train(rows, odds_of(top, middle, size, middle.get("", 0)))
+    words = counted.where(~F.col("word").startswith(MIDDLE))
     wrong = checkpointed(misreadings(words))
     sure = words.join(wrong, "word", "left_anti").orderBy(F.desc("n"), "word").where("n > 1").where(F.col("word").rlike("^[A-Za-z’'-]+$")).select("word").limit(SURE_WORDS)
     seen = checkpointed(scan_lines(rows, model, frozenset(r[0] for r in sure.collect())).distinct())

@@ -87,6 +87,30 @@ def test_scan_frame(spark):
     assert "accepted by the self-defence plea of the company" in text and "REGISTER" not in text and "- 7 -" not in text
 
 
+def test_page_tops_are_counted_over_all_pages(spark):
+    # a title of six pages among hundreds: a sample of 20 pages would not hold it five times
+    body = [f"the tenant of the company filed reply {w} there" for w in "one two three four five six seven".split()]
+    rows = [("case_pages", f"pg{i}", f"c{i % 50}", i, [f"{w} of the lease by its own terms", *body]) for i, w in enumerate(f"word{k % 90}" for k in range(400))]
+    rows += [("case_pages", f"t{i}", "t", i, ["Quarvale textiles versus brenkot", *body]) for i in range(6)]
+    rows += [("case_pages", f"u{i}", "u", i, ["Said in passing here", *body]) for i in range(6)] + [("case_pages", "u9", "u", 9, [*body[:4], "Said in passing here", *body[4:]])]
+    df = spark.createDataFrame(rows, "record_table string, record_id string, case_id string, page int, lines array<string>")
+    top, size = scans.tops(df)
+    key, other = scans.opening("Quarvale textiles versus"), scans.opening("Said in passing")
+    assert top[key] == 6 and top[other] == 6 and size == 2 * len(rows)
+    middle = {r["word"][1:]: r["n"] for r in scans.word_counts(df, frozenset(top)).where(F.col("word").startswith(scans.MIDDLE)).collect()}
+    assert middle[other] == 1 and key not in middle and middle[""] == 2 * sum(len(r[4][3:-2]) for r in rows)
+    odds = scans.odds_of(top, middle, size, middle[""])
+    assert odds[key] > 1.5 and other not in odds
+    assert all(scans.told(k, n) for k, n in top.items())
+    shapes = {}
+    for r in rows:
+        for x in r[4][3:-2]:
+            shapes[scans.shape(x)] = shapes.get(scans.shape(x), 0) + 1
+    assert all(middle.get(k, 0) == shapes.get(k, 0) for k in top if not k.startswith(">"))
+    model = scans.train(df, odds, 20)
+    assert model.odds is odds
+
+
 def test_languages(spark):
     english = "The court rejected the claim of the tenant. The judge heard the counsel for the company at length. "
     french = "Le tribunal a rejeté la demande du locataire. Le juge a entendu les avocats de la société hier. "
