@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as tx
+
 WORDS = r"[A-Za-z0-9]+"
+#: Fixed value: a hyphen at the end of a line, before the rest of its word.
+BROKEN = r"(?<=\p{L})[-¬=‐\u00ad] (?=\p{Ll})"
 #: Shapes of words that a reader damaged.
 MALFORMED = r"^(?:.*[a-z][A-Z].*|.*[A-Za-z]\d+[A-Za-z].*|.*[^\x00-\x7F‘’“”–—].*|.*[^AEIOUYaeiouy\d]{6,}.*)$"
 
@@ -23,6 +27,18 @@ def words_lost(first: DataFrame, second: DataFrame, group: str) -> DataFrame:
     return both.groupBy(group).agg(F.sum("a").alias("total"), F.sum(gone).alias("lost"))
 
 
+def outside_share(lines: DataFrame, paragraphs: DataFrame) -> DataFrame:
+    """(case_id, outside): share of the words of a case's lines(doc_id, page, line, text) that are in no paragraph(case_id, number,
+    text, heading), its number or heading, by multiset difference; words broken over lines are joined. A case without words on its
+    pages has none."""
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"])
+    pages = lines.where("text IS NOT NULL").groupBy(F.col("doc_id").alias("case_id"), "page").agg(F.regexp_replace(tx.join_lines(texts), BROKEN, "").alias("t"))
+    said = paragraphs.select("case_id", F.concat_ws(" ", F.col("number").cast("string"), "text").alias("t"))
+    heads = paragraphs.where("heading IS NOT NULL").select("case_id", F.col("heading").alias("t")).distinct()
+    lost = words_lost(word_counts(pages, "case_id", "t"), word_counts(said.unionByName(heads), "case_id", "t"), "case_id")
+    return lost.select("case_id", (F.col("lost") / F.col("total")).alias("outside"))
+
+
 def garbled_share(pages: DataFrame, group: str, page: str, text: str, sample: int = 60) -> DataFrame:
     """(group, words, garbled): share of malformed words of four letters or more on about `sample` evenly spread pages."""
     count = pages.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))

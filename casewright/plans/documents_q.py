@@ -213,7 +213,10 @@ def qua_verdicts(spark, sf_dir):
     df = cases
     for part in (words, read, bad, ops, sizes, counted, gaps):
         df = df.join(part, "case_id", "left")
-    df = df.withColumn("outside", F.lit(0.0)).withColumn("rough", F.lit(0)).fillna(0, ["gap_opinions", "chunks", "words"])
+    outside = quality.outside_share(layout.without_furniture(page_lines(spark, sf_dir)), pa)
+    df = df.join(outside, "case_id", "left")
+    # no reader of these tables places openings approximately, so that rule isn't built
+    df = df.withColumn("rough", F.lit(None).cast("int")).fillna(0, ["gap_opinions", "chunks", "words"])
     return quality.verdict(df).select("case_id", "status", F.size("reasons").alias("n_reasons"))
 
 

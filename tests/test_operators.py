@@ -276,6 +276,15 @@ def test_quality(spark):
     assert (r["total"], r["lost"]) == (3, 1)
 
 
+def test_text_outside_paragraphs(spark):
+    lines = spark.createDataFrame(
+        [("a", 1, 0, "1. one two be-"), ("a", 1, 1, "fore FACTS"), ("a", 2, 0, "lost lost gone"), ("b", 1, 0, "1. all here"), ("c", 1, 0, "nothing kept"), (None, 1, 0, "x")], "doc_id string, page int, line int, text string"
+    )
+    paras = spark.createDataFrame([("a", 1, "one two before", "FACTS"), ("a", 2, "lost", "FACTS"), ("b", 1, "all here", None), ("b", 2, None, None)], "case_id string, number int, text string, heading string")
+    got = {r["case_id"]: round(r["outside"], 6) for r in quality.outside_share(lines, paras).collect() if r["case_id"]}
+    assert got == {"a": 0.25, "b": 0.0, "c": 1.0}
+
+
 def test_ingest(spark, tmp_path):
     schema = "chunk_id string, case_id string, text string, loaded_at int"
     src, dst = str(tmp_path / "in"), str(tmp_path / "out")
