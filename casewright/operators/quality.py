@@ -39,12 +39,16 @@ def outside_share(lines: DataFrame, paragraphs: DataFrame) -> DataFrame:
     return lost.select("case_id", (F.col("lost") / F.col("total")).alias("outside"))
 
 
-def garbled_share(pages: DataFrame, group: str, page: str, text: str, sample: int = 60) -> DataFrame:
-    """(group, words, garbled): share of malformed words of four letters or more on about `sample` evenly spread pages."""
-    count = pages.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    step = F.greatest(F.lit(1), F.floor(F.col("_n") / sample))
-    some = pages.join(count, group).where(F.pmod(F.col(page) - 1, step) == 0)
-    words = some.select(group, F.explode(F.split(F.col(text), r"\s+")).alias("word")).where(F.length("word") >= 4)
+def garbled_share(pages: DataFrame, group: str, page: str, text: str, sample: int | None = None) -> DataFrame:
+    """(group, words, garbled): share of malformed words of four letters or more on all pages.
+
+    sample: as the studied system does, only about so many pages of each group, evenly spread; pages without a number are then left out.
+    """
+    if sample is not None:
+        count = pages.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+        step = F.greatest(F.lit(1), F.floor(F.col("_n") / sample))
+        pages = pages.join(count, group).where(F.pmod(F.col(page) - 1, step) == 0)
+    words = pages.select(group, F.explode(F.split(F.col(text), r"\s+")).alias("word")).where(F.length("word") >= 4)
     return words.groupBy(group).agg(F.count(F.lit(1)).alias("words"), F.round(F.avg(F.col("word").rlike(MALFORMED).cast("int")), 6).alias("garbled"))
 
 

@@ -285,6 +285,14 @@ def test_text_outside_paragraphs(spark):
     assert got == {"a": 0.25, "b": 0.0, "c": 1.0}
 
 
+def test_garbled_words_of_all_pages(spark):
+    rows = [("a", i, "plain words here" if i != 2 else "plAin woRds stand") for i in range(1, 181)] + [("a", None, "woRds")]
+    pages = spark.createDataFrame(rows, "g string, page int, t string")
+    r = quality.garbled_share(pages, "g", "page", "t").first()
+    assert (r["words"], r["garbled"]) == (541, round(3 / 541, 6))
+    assert quality.garbled_share(pages, "g", "page", "t", 60).first()["garbled"] == 0.0
+
+
 def test_ingest(spark, tmp_path):
     schema = "chunk_id string, case_id string, text string, loaded_at int"
     src, dst = str(tmp_path / "in"), str(tmp_path / "out")
