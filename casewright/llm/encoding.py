@@ -9,6 +9,7 @@ characters have lost their originals and are reported unrestored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -37,7 +38,11 @@ CHAINS: dict[str, tuple[tuple[str, str], ...]] = {
     "utf8>latin9": (("utf-8", "iso8859-15"),),
     "utf8>koi8": (("utf-8", "koi8-r"),),
     "cp1252>latin1": (("cp1252", "latin-1"),),
+    "cp1252>octal": (),
 }
+OCTAL = "cp1252>octal"
+#: An octal escape of one of the bytes 0x80 to 0x9F; the leading 2 may have become a 0 or be lost.
+ESCAPE = re.compile(r"\\[02]?([0-3][0-7])(?![0-9])|\\[02]([0-3][0-7])")
 REPLACED = "replaced"
 CLASSES = ["clean", *CHAINS, REPLACED]
 LOST = "�"
@@ -87,6 +92,9 @@ def garble(text: str, chain: str) -> str | None:
     if chain == REPLACED:
         out = "".join(c if c.isascii() else LOST * len(c.encode()) for c in text)
         return out if out != text else None
+    if chain == OCTAL:
+        out = "".join(_spelled(c, i) for i, c in enumerate(text))
+        return out if out != text else None
     try:
         out = text
         for right, wrong in CHAINS[chain]:
@@ -96,6 +104,25 @@ def garble(text: str, chain: str) -> str | None:
         return None
 
 
+def _spelled(c: str, i: int) -> str:
+    """A character of cp1252's upper rows as an octal escape, in one of the three spellings by its place."""
+    try:
+        byte = c.encode("cp1252")[0]
+    except UnicodeEncodeError:
+        return c
+    return "\\" + ("2", "0", "")[i % 3] + f"{byte - 0x80:02o}" if 0x80 <= byte <= 0x9F else c
+
+
+def _unspelled(text: str) -> str | None:
+    """The text with its octal escapes read as bytes of cp1252; None if there are none that it defines."""
+
+    def read(m: re.Match) -> str:
+        return bytes([0x80 + int(m[1] or m[2], 8)]).decode("cp1252", "ignore") or m[0]
+
+    out = ESCAPE.sub(read, text)
+    return out if out != text else None
+
+
 def _undo(run: str, chain: str) -> str | None:
     try:
         for right, wrong in reversed(CHAINS[chain]):
@@ -110,6 +137,8 @@ def _undo(run: str, chain: str) -> str | None:
 
 def invert(text: str, chain: str) -> str | None:
     """The text with every run of non-ASCII characters turned back that decodes strictly; None if none does."""
+    if chain == OCTAL:
+        return _unspelled(text)
     out, done, i, n = [], False, 0, len(text)
     while i < n:
         if text[i] < "\x80":
@@ -136,7 +165,8 @@ def invert(text: str, chain: str) -> str | None:
 
 
 def _partly(run: str, chain: str) -> str | None:
-    """A run of which only parts decode: the longest pieces from left to right."""
+    """A run of which only parts decode: the longest pieces from left to right. No character takes more than 16 in any
+    chain (4 bytes, each of at most 3 bytes the second time), so a longer run is one of several pieces."""
     out, i, done = [], 0, False
     while i < len(run):
         for j in range(min(len(run), i + 16), i + 1, -1):
@@ -154,12 +184,12 @@ def _partly(run: str, chain: str) -> str | None:
 
 
 def words(text: str) -> list[str]:
-    """The words of a text that hold other than ASCII characters."""
-    return [w for w in text.split(" ") if not w.isascii()]
+    """The words of a text that hold other than ASCII characters or a backslash."""
+    return [w for w in text.split(" ") if not w.isascii() or "\\" in w]
 
 
 def features(texts: list[str]):
-    """(bucket numbers, text numbers) of the byte bigrams that hold a non-ASCII byte."""
+    """(bucket numbers, text numbers) of the byte bigrams that hold a non-ASCII byte or a backslash."""
     import numpy as np
 
     data = [b"\n" + t.encode("utf-8", "surrogatepass") + b"\n" for t in texts]
@@ -167,7 +197,7 @@ def features(texts: list[str]):
     sizes = np.array([len(d) for d in data])
     owner = np.repeat(np.arange(len(data)), sizes)
     a, b = joined[:-1].astype(np.uint32), joined[1:].astype(np.uint32)
-    keep = np.flatnonzero((a | b) & 0x80)
+    keep = np.flatnonzero(((a | b) & 0x80).astype(bool) | (a == 0x5C) | (b == 0x5C))
     a, b = a[keep], b[keep]
     return ((a * 257 + b) * np.uint32(2654435761) >> np.uint32(18)).astype(np.int64) % BUCKETS, owner[keep]
 
@@ -203,7 +233,7 @@ def fit(texts: list[str], steps: int = STEPS) -> Model:
     taken = set(clean)
     for k, chain in enumerate(CLASSES[1:], 1):
         for t in clean:
-            if (g := garble(t, chain)) and not g.isascii() and g not in taken:  # what several chains leave is the first's
+            if (g := garble(t, chain)) and (chain == OCTAL or not g.isascii()) and g not in taken:  # what several chains leave is the first's
                 taken.add(g)
                 rows.append(g)
                 labels.append(k)
@@ -242,7 +272,12 @@ def non_ascii(text: Column) -> Column:
     return F.octet_length(text) != F.length(text)
 
 
-def page_entries(pages: DataFrame, fields: tuple[str, ...] = ("lines", "footnotes"), keep=non_ascii) -> DataFrame:
+def may_be_garbled(text: Column) -> Column:
+    """Whether a text holds what any chain leaves: other than ASCII characters, or a backslash with a digit."""
+    return non_ascii(text) | (text.contains("\\") & text.rlike(r"\\[0-3]"))
+
+
+def page_entries(pages: DataFrame, fields: tuple[str, ...] = ("lines", "footnotes"), keep=may_be_garbled) -> DataFrame:
     """(page_id, field, pos, text): the entries of the array columns for which keep holds; filtered before they are exploded."""
     found = None
     for f in fields:
@@ -253,7 +288,7 @@ def page_entries(pages: DataFrame, fields: tuple[str, ...] = ("lines", "footnote
 
 
 def sampled(pages: DataFrame, n: int = SAMPLE) -> list[str]:
-    """The texts with other than ASCII characters on about n pages, picked by a hash of the page."""
+    """The texts that may be garbled on about n pages, picked by a hash of the page."""
     span = 1 << 30
     share = int(span * min(1.0, n / max(1, pages.count())))
     some = pages.where(F.pmod(F.xxhash64("page_id"), F.lit(span)) < share)
@@ -281,7 +316,7 @@ def classify(entries: DataFrame, model: Model) -> DataFrame:
                 scores = shared.value.scores(new)
                 p = np.exp(scores - scores.max(axis=1, keepdims=True))
                 garbled = p[:, 0] < 0.5 * p.sum(axis=1)
-                order = 1 + np.argsort(-p[:, 1:], axis=1, kind="stable")[:, :3]
+                order = 1 + np.argsort(-p[:, 1:], axis=1, kind="stable")  # every chain, the likeliest first
                 known.update((w, o if g else []) for w, o, g in zip(new, order.tolist(), garbled, strict=True))
             chains, restored = [None] * len(texts), [None] * len(texts)
             for i, ws in enumerate(split):
@@ -304,7 +339,7 @@ def classify(entries: DataFrame, model: Model) -> DataFrame:
 def find_garbled(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(page_id, field, pos, text, chain, restored) of the entries of lines and footnotes that are wrongly decoded.
 
-    Null arrays, null and empty entries and pure ASCII entries are never cases. Repeated rows give repeated results; an
+    Null arrays, null and empty entries and plain ASCII entries without escapes are never cases. Repeated rows give repeated results; an
     empty table gives none. Other columns are ignored.
     """
     return classify(page_entries(pages), fit(sampled(pages, sample)))
