@@ -6,9 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 OPEN_QUOTES = r"“[^”]*(?:”|$)|\"[^\"]*(?:\"|$)"
-#: Glyphs and escapes of old text layers with what they stand for.
-GLYPHS = {"": "-", "": "•", "": "•", "ﬁ": "fi", "ﬂ": "fl", " ": " ", "­": ""}
-ESCAPES = {r"\\221": "‘", r"\\222": "’", r"\\223": "“", r"\\224": "”", r"\\226": "–", r"\\227": "—"}
+#: Glyphs that old text layers hold in place of quotation marks, spaces and bullets.
+GLYPHS = {"―": "“", "‖": "”", "‗": "‘", "„": "‘", "‟": "’", "\u00a0": " ", "\uf0b7": "•"}
+#: What the bytes of old punctuation stand for, by their last two octal digits; the digit before is 0, 2 or lost.
+ESCAPES = {"05": "…", "21": "‘", "22": "’", "23": "“", "24": "”", "26": "–", "27": "—"}
 #: Abbreviations after which a sentence goes on.
 ABBREVIATIONS = (
     "v vs dr mr mrs ms no nos sec secs art arts cr hon ltd co anr ors etc viz para paras pp ed vol rs st smt shri sri jj cji ibid supra i.e e.g u/s r/w"
@@ -31,17 +32,26 @@ def squash(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
+def escape_pattern(digits: str) -> str:
+    """Regular expression of an octal escape in its three spellings; an ellipsis may be spelled several times."""
+    one = rf"\\[02]?{digits}"
+    return f"(?:{one})+" if digits == "05" else one
+
+
 def tidy(text: Column) -> Column:
-    """Glyphs of old text layers replaced; octal escapes only where a backslash occurs."""
-    out = text
-    for a, b in GLYPHS.items():
-        out = F.replace(out, F.lit(a), F.lit(b))
+    """Glyphs of old text layers and octal escapes replaced; escapes are looked for only where a backslash occurs."""
+    out = F.translate(text, "".join(GLYPHS), "".join(GLYPHS.values()))
     fixed = out
-    for a, b in ESCAPES.items():
-        fixed = F.regexp_replace(fixed, a, b)
+    for digits, mark in ESCAPES.items():
+        fixed = F.regexp_replace(fixed, escape_pattern(digits), mark)
     return F.when(out.contains("\\"), fixed).otherwise(out)
 
 
+def escapes(text: Column) -> Column:
+    """Number of octal escapes that `tidy` replaces."""
+    return F.regexp_count(text, F.lit("|".join(map(escape_pattern, ESCAPES))))
+
+
 def tokens(text: Column) -> Column:
     """Tokens of a text: a quarter of its characters, half to even, at least one."""
     return F.greatest(F.lit(1), F.bround(F.length(text) / F.lit(4.0))).cast("int")

@@ -85,7 +85,13 @@ over("fn_join_lines", "law_reports", "case_id", lambda: {"text": tx.join_lines(F
      {"text": "trim(regexp_replace(array_to_string(list_filter(list_transform(string_split(header, chr(10)), lambda x: trim(x)), lambda x: x <> ''), ' '), '\\s+', ' ', 'g'))"})
 over("fn_strip_html", "paragraphs", "para_id", lambda: {"text": tx.strip_html(F.concat(F.lit("<p class='x'>"), c("label"), F.lit("<br/> <b>"), c("heading"), F.lit("</b></p>")))},
      {"text": "trim(regexp_replace(label || ' ' || heading, '\\s+', ' ', 'g'))"})
-over("fn_tidy", "paragraphs", "para_id", lambda: {"text": tx.tidy(F.concat(F.lit(r"\223"), c("label"), F.lit("\\224 oﬃce ﬁle")))}, {"text": "'“' || label || '” oﬃce file'"})
+SPELLINGS = "".join(rf" \{first}{digits}" for first in ("", "0", "2") for digits in tx.ESCAPES) + r"\05\205\8\x " + "".join(tx.GLYPHS)
+TIDY = "translate({}, '" + "".join(tx.GLYPHS) + "', '" + "".join(tx.GLYPHS.values()) + "')"
+for _digits, _mark in tx.ESCAPES.items():
+    TIDY = f"regexp_replace({TIDY}, '{tx.escape_pattern(_digits)}', '{_mark}', 'g')"
+WRITTEN = f"(array_to_string(lines, chr(10)) || '{SPELLINGS}')"
+over("fn_tidy", "case_pages", "page_id", lambda: {"text": tx.tidy(F.concat(F.array_join("lines", "\n"), F.lit(SPELLINGS))), "escapes": tx.escapes(F.concat(F.array_join("lines", "\n"), F.lit(SPELLINGS)))},
+     {"text": TIDY.replace("{}", WRITTEN), "escapes": f"len(regexp_extract_all({WRITTEN}, '{'|'.join(map(tx.escape_pattern, tx.ESCAPES))}'))::INT"})
 over("fn_embedding_text", "chunks", "chunk_id", lambda: {"text": tx.embedding_text(c("section_heading"), c("text"))},
      {"text": "CASE WHEN coalesce(section_heading, '') <> '' THEN section_heading || chr(10) || chr(10) || text ELSE text END"})
 over("fn_state_case_id", "judgment_sample", "file",
