@@ -1,8 +1,12 @@
 """P8: ids of a byte-level BPE for a whole corpus, with Spark higher-order functions.
 
-Texts are cut into words by the tokenizer's pattern. Each distinct word is merged once: a fold over its
-bytes joins, at every step, the adjacent pair whose joined bytes have the lowest rank. Ranks are a literal
-in the plan: an array of small maps, chosen by a hash of the bytes, as a lookup in one literal map is a scan.
+Texts are cut into words by the tokenizer's pattern. Each distinct word of a task is merged once: a fold over its
+bytes joins, at every step, the adjacent pair whose joined bytes have the lowest rank. Ranks are a literal in the plan:
+an array of small maps, chosen by a hash of the bytes, as a lookup in one literal map is a scan.
+
+Nothing is shuffled, collected or broadcast but the vocabulary file. A task's rows run through one stream: the first
+step numbers the words and sends each new word ahead of the text in which it stands, the fold in the JVM merges the
+words as they pass, and the last step turns the numbers into ids. The plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -13,8 +17,9 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..sources.tables import checkpointed, fits, table
+from ..sources.tables import table
 
 TOKENIZERS = "/opt/tokenizers"
 #: The tokenizer's word pattern, with Unicode white space spelled for Java.
@@ -23,8 +28,8 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + WS + r"\p{L}\p{N}]+|
 SLOTS = 16384
 #: Words of more bytes than this are merged by a heap in Python: the fold takes time square in the length.
 LONG_WORD = 96
-#: A table of distinct words is held by every worker below these sizes and joined by shuffle above them.
-BROADCAST_ROWS, BROADCAST_BYTES = 400_000, 32 << 20
+#: Distinct words that a task holds at most; beyond, it begins anew (a word met again is merged again).
+HELD = 1_000_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -113,101 +118,111 @@ def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p]
 
 
-def word_ids(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """(word, ids) of each distinct word."""
-    literal = rank_literal(ranks)
-    short = words.where(F.octet_length("word") <= LONG_WORD).select(
-        "word", F.transform(merge_word(F.col("word"), literal), lambda p: rank_of(p, literal)).alias("ids")
-    )
-    shared = words.sparkSession.sparkContext.broadcast(ranks)  # the vocabulary file: of fixed size
-
-    def run(batches: Iterator) -> Iterator:
-        for pdf in batches:
-            pdf["ids"] = [heap_merge(w.encode(), shared.value) for w in pdf["word"]]
-            yield pdf
-
-    long = words.where(F.octet_length("word") > LONG_WORD).mapInPandas(run, "word string, ids array<int>")
-    return short.unionByName(long)
-
-
 def tokens_of(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, words): the words of each text by the tokenizer's pattern, in order."""
     return docs.select(key, F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORDS), F.lit(0)).alias("words"))
 
 
-def vocabulary(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """(word, ids) of all distinct words of a corpus, checkpointed."""
-    words = checkpointed(tokens.select(F.explode(F.array_distinct("words")).alias("word")).distinct())
-    # few bytes but much work: spread by number, which adaptive execution leaves alone
-    return checkpointed(word_ids(words.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))), ranks))
-
-
-class Lookup:
-    """A small vocabulary as arrays, sent to the workers once."""
-
-    def __init__(self, rows: list):
-        import numpy as np
-
-        self.words = [r[0] for r in rows]
-        self.sizes = np.array([len(r[1]) for r in rows], np.int64)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.ids = np.array([i for r in rows for i in r[1]], np.int32)
-
-    def places(self) -> dict[str, int]:
-        return {w: i for i, w in enumerate(self.words)}
+def numbered(tokens: DataFrame, held: int = HELD) -> DataFrame:
+    """(doc, codes, word): each row of tokens with its words as numbers, behind a row for each word that is new in the task.
 
-
-def _by_lookup(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(doc, ids) by a vocabulary that every worker holds: no row leaves its partition."""
-    shared = tokens.sparkSession.sparkContext.broadcast(Lookup(vocab.select("word", "ids").collect()))
+    A word's number is its place among the words since the last row that has neither codes nor a word.
+    """
+    schema = T.StructType([T.StructField("doc", tokens.schema["doc"].dataType), T.StructField("codes", T.ArrayType(T.IntegerType())), T.StructField("word", T.StringType())])
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        look, places = shared.value, shared.value.places()
+        places: dict[str, int] = {}
         for batch in batches:
-            words = batch.column(1)
+            doc, words = batch.column(0), batch.column(1)
             ends = words.offsets.to_numpy()
             coded = words.flatten().dictionary_encode()
-            at = np.array([places[w] for w in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
-            sizes = look.sizes[at]
-            total = np.concatenate([[0], np.cumsum(sizes)])
-            gather = np.repeat(look.starts[at] - total[:-1], sizes) + np.arange(total[-1])
-            lists = pa.ListArray.from_arrays(pa.array(total[ends - ends[0]], pa.int32()), pa.array(look.ids[gather], pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc", "ids"])
+            here = coded.dictionary.to_pylist()
+            begin = len(places) + len(here) > held and bool(places)
+            if begin:
+                places.clear()
+            before = len(places)
+            at = np.array([places.setdefault(w, len(places)) for w in here], np.int32)
+            new = [w for w, k in zip(here, at.tolist(), strict=True) if k >= before]
+            ahead = pa.array([None] * begin + new, pa.string())
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(ahead), doc.type), pa.nulls(len(ahead), pa.list_(pa.int32())), ahead], ["doc", "codes", "word"])
+            codes = at[coded.indices.to_numpy(zero_copy_only=False)] if len(here) else np.zeros(0, np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), pa.array(codes, pa.int32()))
+            yield pa.RecordBatch.from_arrays([doc, lists, pa.nulls(len(doc), pa.string())], ["doc", "codes", "word"])
+
+    return tokens.mapInArrow(run, schema)
+
+
+def attached(merged: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """(doc, ids) from rows (doc, codes, ids, long): a row with ids, or with a long word's text, is the next word."""
+    shared = merged.sparkSession.sparkContext.broadcast(ranks)  # the vocabulary file: of fixed size
+    schema = T.StructType([T.StructField("doc", merged.schema["doc"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
-    return tokens.mapInArrow(run, f"doc {dict(tokens.dtypes)['doc']}, ids array<int>")
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
 
+        flat, count = np.zeros(1 << 16, np.int32), 0  # the ids of all words one behind the other
+        first, words = np.zeros(1 << 16, np.int64), 0  # the place of each word's first id
 
-def _by_join(tokens: DataFrame, vocab: DataFrame, salts: int = 32) -> DataFrame:
-    """(doc, ids) by a shuffle join with the vocabulary, frequent words salted; places and ids travel as one long.
+        def put(ids, sizes) -> None:
+            nonlocal flat, count, first, words
+            while count + len(ids) > len(flat):
+                flat = np.concatenate([flat, np.zeros_like(flat)])
+            while words + len(sizes) >= len(first):
+                first = np.concatenate([first, np.zeros_like(first)])
+            flat[count : count + len(ids)] = ids
+            first[words + 1 : words + 1 + len(sizes)] = count + np.cumsum(sizes)
+            count, words = count + len(ids), words + len(sizes)
 
-    A long holds the word's place (26 bits), the place in the word (20 bits) and the id (17 bits).
-    """
-    words = tokens.select("doc", F.posexplode("words").alias("pos", "word")).withColumn("salt", F.pmod(F.xxhash64("doc", "pos"), F.lit(salts)).cast("int"))
-    many = vocab.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    code = F.shiftleft(F.col("pos").cast("long"), 37) + F.shiftleft(F.col("at").cast("long"), 17) + F.col("id")
-    coded = words.join(many, ["word", "salt"]).select("doc", "pos", F.posexplode("ids").alias("at", "id")).select("doc", code.alias("code"))
-    lists = coded.groupBy("doc").agg(F.transform(F.array_sort(F.collect_list("code")), lambda x: x.bitwiseAND(F.lit((1 << 17) - 1)).cast("int")).alias("ids"))
-    empty = tokens.where(F.size("words") == 0).select("doc", F.array().cast("array<int>").alias("ids"))
-    return lists.unionByName(empty)
-
-
-def encode(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken", broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+        for batch in batches:
+            doc, codes, ids, long = (batch.column(k) for k in range(4))
+            is_doc = np.asarray(codes.is_valid())
+            is_long = np.asarray(long.is_valid())
+            is_word = np.asarray(ids.is_valid()) | is_long
+            kinds = np.where(is_doc, 0, np.where(is_long, 2, np.where(is_word, 1, 3)))
+            cuts = np.flatnonzero(np.diff(kinds)) + 1
+            for a, b in zip(np.append(0, cuts).tolist(), np.append(cuts, len(kinds)).tolist(), strict=True):
+                if a == b:
+                    continue
+                if kinds[a] == 3:
+                    count = words = 0
+                elif kinds[a] == 2:
+                    for w in long.slice(a, b - a).to_pylist():
+                        merged_ids = heap_merge(w.encode(), shared.value)
+                        put(np.array(merged_ids, np.int32), np.array([len(merged_ids)]))
+                elif kinds[a] == 1:
+                    part = ids.slice(a, b - a)
+                    put(part.flatten().to_numpy(), np.diff(part.offsets.to_numpy()))
+                else:
+                    part = codes.slice(a, b - a)
+                    at, ends = part.flatten().to_numpy(), part.offsets.to_numpy()
+                    sizes = first[at + 1] - first[at]
+                    total = np.concatenate([[0], np.cumsum(sizes)])
+                    gather = np.repeat(first[at] - total[:-1], sizes) + np.arange(total[-1])
+                    offsets = pa.array(total[ends - ends[0]], pa.int32())
+                    yield pa.RecordBatch.from_arrays([doc.slice(a, b - a), pa.ListArray.from_arrays(offsets, pa.array(flat[gather], pa.int32()))], ["doc", "ids"])
+
+    return merged.mapInArrow(run, schema)
+
+
+def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken", held: int = HELD) -> DataFrame:
     """(key, ids) for each row of docs, without special tokens.
 
-    A null and an empty text get the empty list. Text that looks like a special token is ordinary text. The key must be
-    unique if the vocabulary is larger than broadcast_rows, as rows are then regrouped by it. Other columns are ignored,
-    whatever their names.
+    A null and an empty text get the empty list. Text that looks like a special token is ordinary text. Keys may repeat or
+    be null: there is one row for each row of docs. Other columns are ignored, whatever their names. `held` only bounds
+    what a task keeps in memory.
     """
     ranks = load_ranks(path)
+    literal = rank_literal(ranks)
     tokens = tokens_of(docs.select(F.col(key).alias("doc"), F.col(text).alias("text")), "doc", "text")
-    vocab = vocabulary(tokens, ranks)
-    small = fits(vocab, broadcast_rows, BROADCAST_BYTES, F.octet_length("word") + 4 * F.size("ids"))
-    return (_by_lookup if small else _by_join)(tokens, vocab).select(F.col("doc").alias(key), "ids")
+    stream = numbered(tokens, held)
+    short = F.col("word").isNotNull() & (F.octet_length("word") <= LONG_WORD)
+    ids = F.when(short, F.transform(merge_word(F.col("word"), literal), lambda p: rank_of(p, literal)))
+    merged = stream.select("doc", "codes", ids.alias("ids"), F.when(F.col("word").isNotNull() & ~short, F.col("word")).alias("long"))
+    return attached(merged, ranks).select(F.col("doc").alias(key), "ids")
 
 
 def token_counts(docs: DataFrame, key: str, text: str, path: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken") -> DataFrame:

@@ -103,20 +103,23 @@ def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, seed: int
 
     docs(doc_id, text, source); targets(source, target_share, max_repeats). A text that stands under several ids is one
     document, named by its least id in the source it is used for; a text in several sources is used at most as often as
-    the strictest of them allows. Sources without a target, null and empty texts and null sources are left out; targets
-    of sources without tokens make the total 0 and the result empty. A use that begins within a quota is kept whole, so
+    the strictest of them allows. Sources without a target, null and empty texts and null sources are left out. A target
+    source without usable tokens can't be filled: the others keep their proportions, and `shares_reached` reports the
+    shortfall. A use that begins within a quota is kept whole, so
     a source may exceed its quota by less than one document for each pattern.
     """
     wanted = {r["source"]: (float(r["target_share"]), int(r["max_repeats"])) for r in one_per_key(targets, "source").collect()}  # one row a source
     shares = {s: x for s, (x, _) in wanted.items() if x > 0}
     repeats = {s: max(0, n) for s, (_, n) in wanted.items()}
-    used = docs.where(F.col("source").isin(*shares) & (F.length("text") > 0)).select("doc_id", "source", "text", F.sha2("text", 256).alias("key"))
-    texts = used.groupBy("key").agg(F.any_value("text").alias("text"))
-    counted = token_counts(texts, "key", "text", path)
-    members = used.groupBy("key").agg(F.array_join(F.array_sort(F.collect_set("source")), "\n").alias("pattern"))
-    items = checkpointed(counted.join(members, "key").where("tokens > 0"))
+    wide = docs.where(F.col("source").isin(*shares) & (F.length("text") > 0)).select(F.struct("doc_id", "source", F.unhex(F.md5(F.encode("text", "UTF-8"))).alias("key")).alias("place"), "text")
+    # texts stay where they lie: only their hash and number of tokens go on
+    used = checkpointed(token_counts(wide, "place", "text", path).select("place.*", "tokens").groupBy("key", "source").agg(F.min("doc_id").alias("doc_id"), F.max("tokens").alias("tokens")))
+    items = used.groupBy("key").agg(F.array_join(F.array_sort(F.collect_set("source")), "\n").alias("pattern"), F.max("tokens").alias("tokens")).where("tokens > 0")
     sizes = {tuple(r[0].split("\n")): int(r[1]) for r in items.groupBy("pattern").agg(F.sum("tokens")).collect()}  # at most 2 ** sources
-    _, routes = plan(sizes, shares, repeats, total)
+    usable = {p: n for p, n in sizes.items() if min(repeats[s] for s in p) > 0}
+    filled = {s for p in usable for s in p}
+    rest = sum(x for s, x in shares.items() if s in filled)
+    _, routes = plan(usable, {s: x / rest for s, x in shares.items() if s in filled}, repeats, total)
     spark = docs.sparkSession
     cuts = []
     for p in sizes:
@@ -143,19 +146,20 @@ def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, seed: int
         .groupBy("key", "source", "tokens")
         .agg(F.count(F.lit(1)).cast("int").alias("uses"))
     )
-    ids = used.groupBy("key", "source").agg(F.min("doc_id").alias("doc_id"))
-    return uses.join(ids, ["key", "source"]).select("doc_id", "source", "tokens", "uses")
+    return uses.join(used.select("key", "source", "doc_id"), ["key", "source"]).select("doc_id", "source", "tokens", "uses")
 
 
 def shares_reached(mixed: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, target_share, share, tokens, documents, most_uses) of each target; sources without documents have 0."""
+    """(source, target_share, share, shortfall, tokens, documents, max_repeats, most_uses) of each target; sources without
+    documents have share 0 and their whole target as shortfall."""
     by = mixed.groupBy("source").agg(
         F.sum(F.col("tokens") * F.col("uses")).alias("tokens"), F.count(F.lit(1)).alias("documents"), F.max("uses").alias("most_uses")
     )
     every = one_per_key(targets, "source").join(by, "source", "left").fillna(0, ["tokens", "documents", "most_uses"])
     all_ = Window.partitionBy(F.lit(1))  # one row a source
-    share = F.col("tokens") / F.nullif(F.sum("tokens").over(all_), F.lit(0))
-    return every.select("source", "target_share", F.round(F.coalesce(share, F.lit(0.0)), 6).alias("share"), "tokens", "documents", "max_repeats", "most_uses")
+    share = F.coalesce(F.col("tokens") / F.nullif(F.sum("tokens").over(all_), F.lit(0)), F.lit(0.0))
+    short = F.round(F.greatest(F.lit(0.0), F.col("target_share") - share), 6)
+    return every.select("source", "target_share", F.round(share, 6).alias("share"), short.alias("shortfall"), "tokens", "documents", "max_repeats", "most_uses")
 
 
 def p9_selection(spark: SparkSession, sf_dir: str) -> DataFrame:

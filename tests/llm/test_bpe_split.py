@@ -17,13 +17,29 @@ def expected(text):
 
 def test_ids_and_round_trip(spark):
     df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(TEXTS)], "doc_id long, text string, words string")
-    for limit in (bpe.BROADCAST_ROWS, 0):  # the vocabulary with the workers, and joined by shuffle
-        got = bpe.encode(df, broadcast_rows=limit)
+    df = df.repartition(2)
+    for held in (bpe.HELD, 40, 1):  # a task begins anew with its words never, sometimes, always
+        got = bpe.encode(df, held=held)
+        assert got._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1  # the repartition above
         rows = {r[0]: r[1] for r in got.collect()}
         assert rows == {i: expected(t) for i, t in enumerate(TEXTS)}
         back = {r[0]: r[1] for r in bpe.decode(got).collect()}
         assert back == {i: t or "" for i, t in enumerate(TEXTS)}
     assert bpe.encode(df.where("false")).count() == 0
+    twice = bpe.encode(df.union(df).withColumn("doc_id", F.lit(None).cast("long")))
+    assert twice.count() == 2 * len(TEXTS)  # a row for each row, whatever the keys
+
+
+def test_any_vocabulary(spark):
+    path = f"{bpe.TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
+    enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks={p: r + 900_000 for p, r in bpe.load_ranks(path).items()}, special_tokens={})
+    old = bpe.load_ranks
+    bpe.load_ranks = lambda p: {k: r + 900_000 for k, r in old(p).items()}  # ids beyond 17 bits
+    try:
+        df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id int, text string")
+        assert {r[0]: r[1] for r in bpe.encode(df, path=path).collect()} == {i: enc.encode_ordinary(t) if t else [] for i, t in enumerate(TEXTS)}
+    finally:
+        bpe.load_ranks = old
 
 
 def test_split_limits_and_round_trip():

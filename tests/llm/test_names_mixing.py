@@ -36,4 +36,7 @@ def test_mix(spark):
     share = {r["source"]: r["share"] for r in mixing.shares_reached(got, targets).collect()}
     assert abs(share["big"] - 0.6) < 0.02
     assert mixing.mix(df.where("false"), targets).count() == 0
+    more = spark.createDataFrame([("big", 0.3, 1), ("small", 0.2, 4), ("absent", 0.5, 2)], targets.schema)
+    part = {r["source"]: (r["share"], r["shortfall"]) for r in mixing.shares_reached(mixing.mix(df, more), more).collect()}
+    assert abs(part["big"][0] - 0.6) < 0.02 and part["absent"] == (0.0, 0.5)
     assert sorted(map(tuple, mixing.mix(df, targets).collect())) == sorted(map(tuple, rows))
