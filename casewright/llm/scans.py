@@ -1,11 +1,11 @@
 """P6: noise in lines of scanned pages: broken words, misread characters, running headers and page numbers.
 
-A hidden Markov model labels the lines of a page as header, page number, break (a paragraph begins) or body, from layout
-features; it is fitted by Viterbi training on a bounded sample of pages, while the shapes and opening words of page tops
-are counted over all pages. The corpus's own words judge broken and
-misread words: a rare word whose letters are confusable with those of a much more frequent word is a misreading of it;
-a word broken at a line end is rejoined unless the corpus knows it as a compound. Paragraphs are put together from the
-labels, across pages.
+A hidden Markov model labels every line of a page as header, page number, break (a paragraph begins) or body, from layout
+features: place, numbers, capitals, indent, gap, whether the line before is finished. It is fitted by Viterbi training on a
+bounded sample of pages, while the shapes and opening words of page tops are counted over all pages. The corpus's own words
+judge broken and misread words: a rare word whose letters are confusable with those of a much more frequent word is a
+misreading of it; a word broken at a line end is rejoined unless the corpus knows it as a compound. Paragraphs are put
+together from the labels, across pages.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from ..sources.tables import checkpointed, table
 HEADER, NUMBER, BREAK, BODY = range(4)
 STATES = 4
 #: Pages of the sample that the model is fitted on, at most.
-SAMPLE, ROUNDS = 3000, 4
+SAMPLE, ROUNDS, SMOOTHING = 3000, 4, 0.02
 #: A misread word is at most this rare beside the right one, which stands at least so often.
 RATIO, LEAST = 8, 4
 #: Sure words kept by every worker: the most frequent ones; all others are looked up by a join.
@@ -47,7 +47,9 @@ ROMAN = re.compile(r"^\s*[-\[(]?\s*(?=[ivxlc1!]+)c{0,3}(?:x[cl]|l?x{0,4})(?:i[xv
 NUMBERED = re.compile(r"^\s*(?:\(?\d{1,4}[.)]|[A-Z][.)])\s")
 STRIP = "“”\"'‘’().,;:?[]{}—–!"
 NUMERIC = re.compile(r"^(?=.*\d)(?=.*[lIOo!|])[\dlIOoS!|][\dlIOoS!|.,/-]*$")
-LETTERS = re.compile(r"^[A-Za-z0-9!|$]+(?:’s)?$")
+LETTERS = re.compile(r"^[A-Za-z0-9!|$À-ɏ]+(?:’s)?$")
+WRITTEN = re.compile(r"^[\x00-\x7FÀ-ɏ]+$")
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def skeletons(word: str) -> list[str]:
@@ -94,85 +96,174 @@ def opening(line: str) -> str:
     return ">" + " ".join(line.split()[:3]).translate(FOLD)
 
 
-def features(line: str, pos: int, odds: dict[str, float]) -> tuple[int, ...]:
-    """(place, kind of number, frequency of the shape at the top, capitals, parties) of a line."""
-    number = 1 if STRONG.match(line) else 2 if BARE.match(line) else 3 if ROMAN.match(line) and line.strip() else 0
-    letters = [c for c in line if c.isalpha()]
-    share = sum(c.isupper() for c in letters) / len(letters) if letters else 0
-    seen = [o for o in (odds.get(shape(line)), odds.get(opening(line))) if o is not None]
-    top = 1 if not seen else 2 if max(seen) > 1.5 else 0
-    return pos, number, top, 2 if share > 0.6 else 1 if share > 0.3 else 0, int(" v. " in line or " V. " in line), int(bool(NUMBERED.match(line)))
+#: Sizes of the features: place (0 to 2 from the top, 3 last, 4 last but one, 5 between, 6 and 7 before and in a report's
+#: headnote), number, top, capitals, parties, and the layout around the line as one.
+SIZES = (8, 4, 3, 3, 2, 2 * 2 * 3 * 3 * 3 * 3 * 2)
+INDENT, LONGEST_NUMBER = 6.0, 40
+CLOSERS = " \t\"”’)]"
+NO_LINE, UNFINISHED, DONE = 2, 0, 1
 
 
-SIZES = (8, 4, 3, 3, 2, 2)
+def heading_line(line: str) -> bool:
+    return line.isupper() and len(line.split()) <= 8 and not any(c.isdigit() for c in line)
 
 
-def edges(lines: list[str]) -> list[tuple[int, int]]:
-    """(index, place) of the lines at a page's edges: places 0 to 2 from the top, 4 and 3 at the bottom."""
-    n = len(lines)
-    top = [(i, i) for i in range(min(3, n))]
-    low = [(i, 4 if i == n - 2 else 3) for i in range(max(3, n - 2), n)]
-    return top + low
+def finished_line(line: str) -> bool:
+    """Whether a line ends as a sentence does."""
+    return line.rstrip(CLOSERS)[-1:] in tuple(".?!:;")
+
+
+def layout(numbered: int, page_numbered: int, indent: int, gap: int, before: int, heading: int, lower: int) -> int:
+    """One number for the layout around a line; `before` tells whether the line before is finished."""
+    return (((((numbered * 2 + page_numbered) * 3 + indent) * 3 + gap) * 3 + before) * 3 + heading) * 2 + lower
+
+
+def with_before(value: int, before: int) -> int:
+    """The same layout with another kind of line before."""
+    return value + (before - value // 6 % 3) * 6
+
+
+def clear_number(line: str) -> int:
+    """1 for a marked page number, 2 for a bare one, 3 for a roman one, else 0."""
+    if len(line) > LONGEST_NUMBER and len(line.strip()) > LONGEST_NUMBER:
+        return 0
+    return 1 if STRONG.match(line) else 2 if BARE.match(line) else 3 if line.strip() and ROMAN.match(line) else 0
+
+
+class Reader:
+    """Features and first labels of the lines of pages."""
+
+    def __init__(self, odds: dict[str, float]):
+        self.odds = odds
+        self.heads = frozenset(k[1:].split(" ", 1)[0] for k in odds if k.startswith(">"))
+        self.kinds, self.folded = Kept(word_kind), Kept(lambda w: w.translate(FOLD))
+
+    def top(self, line: str) -> int:
+        """2 if lines of this shape or opening stand mostly at page tops, 0 if they don't, 1 if nothing is known."""
+        if len(self.kinds) > FLUSH:
+            self.kinds.clear()
+            self.folded.clear()
+        words = line.split(None, 8)[:8]
+        seen = self.odds.get(" ".join(map(self.kinds.__getitem__, words)))
+        if words and self.folded[words[0]] in self.heads and (o := self.odds.get(opening(line))) is not None:
+            seen = o if seen is None else max(o, seen)
+        return 1 if seen is None else 2 if seen > 1.5 else 0
+
+    def page(self, lines: list[str], x0, gaps, report: bool) -> tuple[list[tuple[int, ...]], list[int]]:
+        """(features, first labels) of each line."""
+        n, out, first = len(lines), [], []
+        places = [float(x) for x in x0 if x is not None and x == x] if x0 is not None else []
+        left = Counter(places).most_common(1)[0][0] if places else None
+        starts = [bool(NUMBERED.match(x)) for x in lines]
+        page_numbered = int(any(starts))
+        note = next((i for i, x in enumerate(lines) if re.match(r"\s*H[a-z!l1]{3}n[a-z0]te", x)), n) if report else 0
+        before: str | None = None
+        for i, line in enumerate(lines):
+            place = (6 if i <= note else 7) if report else i if i < 3 else 3 if i == n - 1 else 4 if i == n - 2 else 5
+            if not line or line.isspace():
+                out.append((place, 0, 1, 0, 0, layout(0, page_numbered, 2, 2, NO_LINE, 0, 0)))
+                first.append(BODY)
+                continue
+            number = clear_number(line)
+            size = len(line)
+            capitals = 0 if line.islower() else sum(map(line.count, CAPITALS)) / max(1, size - line.count(" "))
+            capitals = 2 if capitals > 0.55 else 1 if capitals > 0.28 else 0
+            parties = int(" v. " in line or " V. " in line)
+            top, numbered = self.top(line), starts[i]
+            if number and place != 6 and (place != 5 or number == 1) and not (number == 3 and place == 4):
+                state = NUMBER
+            elif not numbered and (place != 6 or (i == 0 and top == 2)) and (
+                (top == 2 and place in (0, 7)) or (capitals == 2 and (top == 2 or place in (0, 7)) and len(line.split()) > 2 and (parties or any(map(str.isdigit, line))))
+            ):
+                state = HEADER
+            else:
+                state = BODY
+            heading = 1 if heading_line(line) else 2 if before is not None and heading_line(before) else 0
+            indent = 2 if left is None or i >= len(x0) or x0[i] is None or x0[i] != x0[i] else int(x0[i] - left > INDENT)
+            gap = 2 if gaps is None or i >= len(gaps) or gaps[i] is None else int(bool(gaps[i]))
+            ended = NO_LINE if before is None else DONE if finished_line(before) else UNFINISHED
+            if state == BODY:
+                apart = indent == 1 or gap == 1
+                if before is None:
+                    begins = report or numbered or heading == 1
+                else:
+                    begins = heading > 0 or (numbered and (apart or ended == DONE)) or (apart and ended == DONE)
+                state = BREAK if begins else BODY
+            if state in (BREAK, BODY):
+                before = line
+            out.append((place, number, top, capitals, parties, layout(int(numbered), page_numbered, indent, gap, ended, heading, int(line.lstrip()[:1].islower()))))
+            first.append(state)
+        return out, first
 
+    def pages(self, pages: list[tuple]):
+        """(features, first labels, number of each page's first line, sizes) of pages (lines, x0, gaps, report)."""
+        import numpy as np
 
-def report_places(lines: list[str]) -> list[tuple[int, int]]:
-    """All lines of a report's header: place 6 before the headnote, 7 in it."""
-    start = next((i for i, x in enumerate(lines) if re.match(r"\s*H[a-z!l1]{3}n[a-z0]te", x)), len(lines))
-    return [(i, 6 if i <= start else 7) for i in range(len(lines))]
+        read = [self.page(*p) for p in pages]
+        sizes = np.array([len(f) for f, _ in read], np.int64)
+        table_ = np.array([f for fs, _ in read for f in fs], np.int64).reshape(-1, len(SIZES))
+        return table_, np.array([s for _, ss in read for s in ss], np.int64), np.cumsum(sizes) - sizes, sizes
 
 
 @dataclass
 class Model:
-    start: list
-    step: list
+    start: object
+    step: object
     emit: list
     odds: dict
 
-    def labels(self, lines: list[str], report: bool = False) -> dict[int, int]:
-        """Most likely states of the lines at the edges (of all lines of a report)."""
-        places = report_places(lines) if report else edges(lines)
-        if not places:
-            return {}
-        score, back, last = None, [], None
-        for i, place in places:
-            f = features(lines[i], place, self.odds)
-            e = [sum(table[s][v] for table, v in zip(self.emit, f, strict=True)) for s in range(STATES)]
-            if score is None:
-                score = [self.start[s] + e[s] for s in range(STATES)]
-            else:
-                if i != last + 1:  # the middle of a page is body
-                    score = [max(score[t] + self.step[t][BODY] for t in range(STATES)) + (self.step[BODY][s] if s == BODY else self.step[BODY][s]) for s in range(STATES)]
-                    best = max(range(STATES), key=lambda t: 0)
-                    back.append([best] * STATES)
-                    score = [score[s] + e[s] for s in range(STATES)]
-                    back[-1] = None
-                else:
-                    prev = [max(range(STATES), key=lambda t, s=s: score[t] + self.step[t][s]) for s in range(STATES)]
-                    score = [score[prev[s]] + self.step[prev[s]][s] + e[s] for s in range(STATES)]
-                    back.append(prev)
-            last = i
-        s = max(range(STATES), key=lambda t: score[t])
-        path = [s]
-        for prev in reversed(back):
-            s = self._open(path, prev, s)
-            path.append(s)
-        path.reverse()
-        found = {i: s for (i, _), s in zip(places, path, strict=True)}
-        # in a report's headnote a line that is nothing but a roman number is no text
-        return found | {i: NUMBER for i, place in places if place == 7 and len(lines[i].strip()) > 1 and ROMAN.match(lines[i])}
-
-    def _open(self, path: list, prev: list | None, s: int) -> int:
-        return BODY if prev is None else prev[s]
-
-
-def guess(f: tuple[int, ...], line: str) -> int:
-    """First labels for the training."""
-    place, number, top, caps, parties, numbered = f
-    if number and place != 6 and not (number == 3 and place in (4, 5)):
-        return NUMBER
-    if place in (0, 7) and not numbered and (top == 2 or (caps == 2 and len(line.split()) > 2 and (parties or any(c.isdigit() for c in line)))):
-        return HEADER
-    return BREAK if numbered or (caps == 2 and place != 6) else BODY
+    def scores(self, table_):
+        """Log-likelihood of each line in each state."""
+        return sum(e[:, table_[:, k]] for k, e in enumerate(self.emit)).T
+
+    def path(self, table_, starts, sizes):
+        """Most likely states of the lines of all pages, by Viterbi's algorithm over all pages at once."""
+        import numpy as np
+
+        order = np.argsort(-sizes, kind="stable")
+        starts, sizes = starts[order], sizes[order]
+        e, out = self.scores(table_), np.full(len(table_), BODY, np.int64)
+        most = int(sizes[0]) if len(sizes) else 0
+        if not most:
+            return out
+        longer = np.searchsorted(-sizes, -np.arange(most), side="left")  # pages with more lines than t
+        back = np.zeros((len(table_), STATES), np.int8)
+        score = np.tile(self.start, (len(sizes), 1))
+        score[: longer[0]] += e[starts[: longer[0]]]
+        for t in range(1, most):
+            k = longer[t]
+            each = score[:k, :, None] + self.step[None]
+            came = each.argmax(axis=1)
+            back[starts[:k] + t] = came
+            score[:k] = np.take_along_axis(each, came[:, None, :], axis=1)[:, 0] + e[starts[:k] + t]
+        state = score.argmax(axis=1)
+        for t in range(most - 1, -1, -1):
+            k = longer[t]
+            at = starts[:k] + t
+            out[at] = state[:k]
+            state[:k] = back[at, state[:k]]
+        return out
+
+    def labels(self, reader: Reader, pages: list[tuple]):
+        """(states, features, starts, sizes) of the lines of pages (lines, x0, gaps, report)."""
+        table_, _, starts, sizes = reader.pages(pages)
+        states = self.path(table_, starts, sizes)
+        # in a report's headnote a line that is nothing but a roman number of several letters is no text
+        for p, (lines, _, _, report) in enumerate(pages):
+            if report:
+                for i, line in enumerate(lines):
+                    if table_[starts[p] + i, 0] == 7 and table_[starts[p] + i, 1] == 3 and len(line.strip()) > 1:
+                        states[starts[p] + i] = NUMBER
+        return states, table_, starts, sizes
+
+    def begins(self, features, before: int, state_before: int | None, state_after: int | None) -> bool:
+        """Whether a line begins a paragraph, if the line before it was of the given kind and its neighbours' states are known."""
+        row = features.copy()
+        row[-1] = with_before(int(row[-1]), before)
+        e = self.scores(row[None])[0]
+        into = self.start if state_before is None else self.step[state_before]
+        best = [into[s] + e[s] + (0.0 if state_after is None else self.step[s][state_after]) for s in (BREAK, BODY)]
+        return bool(best[0] > best[1])
 
 
 def told(key: str, n: int) -> bool:
@@ -185,28 +276,27 @@ def odds_of(top: dict[str, int], middle: dict[str, int], size_t: int, size_m: in
     return {s: math.log((n + 0.3) / max(1, size_t)) - math.log((middle.get(s, 0) + 0.3) / max(1, size_m)) for s, n in top.items() if told(s, n) and not (s.startswith(">") and middle.get(s, 0))}
 
 
-def fit(pages: list[tuple[list[str], bool]], odds: dict[str, float], rounds: int = ROUNDS) -> Model:
-    """Viterbi training from the first guesses; counts are smoothed by one."""
+def fit(pages: list[tuple], odds: dict[str, float], rounds: int = ROUNDS) -> Model:
+    """Viterbi training from the first labels on pages (lines, x0, gaps, report).
+
+    Counts are smoothed in proportion to the states, so what was never seen speaks for none of them.
+    """
+    import numpy as np
+
+    table_, states, starts, sizes = Reader(odds).pages(pages)
+    inner = np.ones(len(table_), bool)
+    inner[starts[sizes > 0]] = False
+    at = np.flatnonzero(inner)
     model = None
     for _ in range(rounds):
-        start, step = [1.0] * STATES, [[1.0] * STATES for _ in range(STATES)]
-        emit = [[[1.0] * k for _ in range(STATES)] for k in SIZES]
-        for lines, report in pages:
-            places = report_places(lines) if report else edges(lines)
-            known = model.labels(lines, report) if model else None
-            before, last = None, None
-            for i, place in places:
-                f = features(lines[i], place, odds)
-                s = known[i] if known else guess(f, lines[i])
-                for table_, v in zip(emit, f, strict=True):
-                    table_[s][v] += 1
-                if before is None:
-                    start[s] += 1
-                else:
-                    step[before if i == last + 1 else BODY][s] += 1
-                before, last = s, i
-        log = lambda row: [math.log(x / sum(row)) for x in row]
-        model = Model(log(start), [log(r) for r in step], [[log(r) for r in t] for t in emit], odds)
+        if model:
+            states = model.path(table_, starts, sizes)
+        share = (np.bincount(states, minlength=STATES) + 1) / (len(states) + STATES)
+        start = np.bincount(states[starts[sizes > 0]], minlength=STATES) + 1.0
+        step = np.bincount(states[at - 1] * STATES + states[at], minlength=STATES * STATES).reshape(STATES, STATES) + share[None]
+        emit = [np.bincount(states * k + table_[:, j], minlength=STATES * k).reshape(STATES, k) + SMOOTHING * share[:, None] for j, k in enumerate(SIZES)]
+        norm = lambda x: np.log(x / x.sum(axis=-1, keepdims=True))
+        model = Model(norm(start), norm(step), [norm(x) for x in emit], odds)
     return model
 
 
@@ -226,13 +316,18 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train(rows: DataFrame, odds: dict[str, float], sample: int = SAMPLE) -> Model:
-    """Fit on at most `sample` pages and as many reports, the first by a hash of the id; odds are those of all pages."""
-    got = []
-    for kind in ("case_pages", "law_reports"):
-        part = rows.where(F.col("record_table") == kind).select("lines", F.xxhash64("record_id").alias("h"))
-        share = F.pmod("h", F.lit(1 << 20)) < (1 << 20) * min(1.0, sample / max(1, part.count()))
-        got += [(_clean(r[0]), kind == "law_reports") for r in sorted(part.where(share).collect(), key=lambda r: r[1])]
-    return fit(got, odds)
+    """Fit on at most about `sample` pages and as many reports, the first by a hash of the id; odds are those of all pages."""
+    sizes = {r[0]: r[1] for r in rows.groupBy("record_table").count().collect()}  # two rows
+    share = F.lit(0.0)
+    for kind, n in sizes.items():
+        share = F.when(F.col("record_table") == kind, min(1.0, sample / n)).otherwise(share)
+    picked = rows.where(F.pmod(F.xxhash64("record_id"), F.lit(1 << 20)) < (1 << 20) * share)
+    got = picked.select("record_table", "lines", "x0", "gap", F.xxhash64("record_id").alias("h")).collect()
+    return fit([page_of(*r[:4]) for r in sorted(got, key=lambda r: (r[0], r[4], r[1] or []))], odds)
+
+
+def page_of(name: str, lines, x0, gaps) -> tuple:
+    return _clean(lines), x0, gaps, name == "law_reports"
 
 
 def tops(rows: DataFrame) -> tuple[dict[str, int], int]:
@@ -253,20 +348,6 @@ def tops(rows: DataFrame) -> tuple[dict[str, int], int]:
     return {r[0]: r[1] for r in kept.collect()}, each.agg(F.sum("n")).first()[0] or 0
 
 
-def _tokens(lines: list[str], counts: Counter, joins: Counter) -> None:
-    """Count the whole words of lines, and apart the words joined over a line end."""
-    carried = ""
-    for line in lines:
-        m = BREAKS.search(line) if line.rstrip()[-1:] in ENDS else None
-        words = (line[: m.start()] if m else line).split()
-        if carried and words:
-            joins[bare(carried + words[0])] += 1
-            joins[bare(carried + "-" + words[0])] += 0
-            words = words[1:]
-        counts.update(words)
-        carried = m.group(1) if m else ""
-
-
 class Kept(dict):
     """Values of a function, each computed once."""
 
@@ -278,61 +359,65 @@ class Kept(dict):
         return value
 
 
-#: Fixed value: mark before the keys of page middles among the words counted.
-MIDDLE = "\u0001"
-
-
-def word_counts(rows: DataFrame, keys: frozenset[str] = frozenset()) -> DataFrame:
-    """(word, n, joined): how often each word stands whole and how often joined over a line end.
-
-    In the same pass the `keys` of page tops are counted in the middles of all pages, as words with the mark before them; the mark
-    alone counts all shapes and openings there.
-    """
-    send = rows.sparkSession.sparkContext.broadcast(keys)
+def middles(rows: DataFrame, keys: frozenset[str]) -> tuple[dict[str, int], int]:
+    """(counts, size): how often each of the `keys` of page tops stands in the middle of a page, over all pages; size is the
+    number of all shapes and openings there."""
+    send = rows.sparkSession.sparkContext.broadcast(keys)  # frequent shapes and titles only
 
     def run(batches: Iterator) -> Iterator:
-        import pandas as pd
+        import pyarrow as pa
 
         asked = send.value
         heads = frozenset(k[1:].split(" ", 1)[0] for k in asked if k.startswith(">"))
-        counts, joins, middle = Counter(), Counter(), Counter()
-        kinds, folded = Kept(word_kind), Kept(lambda w: w.translate(FOLD))
-
-        def flush():
-            whole: Counter = Counter()
-            for token, n in counts.items():
-                whole[bare(token)] += n
-            words = [w for w in whole.keys() | joins.keys() if len(w) > 1 and w[0] != MIDDLE and any(c.isalpha() for c in w) and w.isascii() and "|" not in w[1:-1] and "~" not in w]
-            out = pd.DataFrame({"word": words, "n": [whole[w] for w in words], "joined": [joins[w] for w in words]})
-            return pd.concat([out, pd.DataFrame({"word": [MIDDLE + k for k in middle], "n": list(middle.values()), "joined": 0})])
-
-        def look(lines: list[str]) -> None:
-            middle[""] += 2 * len(lines)
-            for line in lines:
-                first = line.split(None, 8)[:8]
+        kinds, folded, seen, size = Kept(word_kind), Kept(lambda w: w.translate(FOLD)), Counter(), 0
+        for batch in batches:
+            for line in batch.column(0).to_pylist():
+                size += 2
+                first = line.split(None, 8)[:8] if line else []
                 if first and folded[first[0]] in heads:
                     key = opening(line)
                     if key in asked:
-                        middle[key] += 1
+                        seen[key] += 1
                 key = " ".join(map(kinds.__getitem__, first))
                 if key in asked:
-                    middle[key] += 1
-
-        for pdf in batches:
-            for name, raw in zip(pdf["record_table"], pdf["lines"], strict=True):
-                lines = _clean(raw)
-                _tokens(lines, counts, joins)
-                if name == "case_pages":
-                    look(lines[3:-2])
-            if len(counts) > FLUSH:
-                yield flush()
-                for c in (counts, joins, middle, kinds, folded):
-                    c.clear()
-        if counts or joins or middle:
-            yield flush()
-
-    each = rows.select("record_table", "lines").mapInPandas(run, "word string, n long, joined long")
-    return each.groupBy("word").agg(F.sum("n").alias("n"), F.sum("joined").alias("joined"))
+                    seen[key] += 1
+            if len(kinds) > FLUSH:
+                kinds.clear()
+                folded.clear()
+        found = [*seen, ""]
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([*seen.values(), size], pa.int64())], ["key", "n"])
+
+    between = F.slice("lines", F.lit(4), F.greatest(F.lit(0), F.size("lines") - 5))
+    lines = rows.where("record_table = 'case_pages'").select(F.explode(between).alias("line"))
+    counted = lines.mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n")).collect()  # at most the keys
+    got = {r[0]: r[1] for r in counted}
+    return got, got.pop("", 0)
+
+
+#: Mark before a word that was joined over a line end.
+JOINED = "\u0001"
+#: A word broken at a line's end with the first word of the next line, for the JVM.
+BROKEN = r"(?<![A-Za-zÀ-ɏ’'])[A-Za-zÀ-ɏ’']++[-¬=‐\u00ad][ \t]*+\n\s*+\S++"
+
+
+def bare_column(token):
+    """`bare` as a Column."""
+    word = F.btrim(token, F.lit(STRIP))
+    word = F.when(F.ltrim(token, F.lit("“”\"'‘’([{—–")).startswith("!") & word.rlike(r"^\p{L}"), F.concat(F.lit("!"), word)).otherwise(word)
+    return F.when(word.endswith("’s"), F.substring(word, F.lit(1), F.length(word) - 2)).otherwise(word)
+
+
+def word_counts(rows: DataFrame) -> DataFrame:
+    """(word, n, joined): how often each word stands whole and how often joined over a line end, counted in the JVM with
+    partial sums before the shuffle."""
+    text = F.array_join("lines", "\n")
+    over = F.transform(F.regexp_extract_all(text, F.lit(BROKEN), F.lit(0)), lambda w: F.concat(F.lit(JOINED), F.regexp_replace(w, r"[-¬=‐\u00ad][ \t]*\n\s*", "")))
+    each = rows.select(F.explode(F.concat(F.split(F.regexp_replace(text, BROKEN, " "), r"\s+"), over)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    over_end = F.col("token").startswith(JOINED)
+    words = each.select(bare_column(F.when(over_end, F.substring("token", 2, 1 << 30)).otherwise(F.col("token"))).alias("word"), "n", over_end.alias("over"))
+    known = (F.length("word") > 1) & F.col("word").rlike(r"\p{L}") & F.col("word").rlike(r"^[\x00-}\x7FÀ-ɏ]+$")
+    sums = words.groupBy("word").agg(F.sum(F.when(~F.col("over"), F.col("n")).otherwise(0)).alias("n"), F.sum(F.when(F.col("over"), F.col("n")).otherwise(0)).alias("joined"), F.bool_or(known).alias("known"))
+    return sums.where("known").drop("known")  # an aggregate, or the optimizer would test every token before they are counted
 
 
 def misreadings(words: DataFrame) -> DataFrame:
@@ -345,7 +430,7 @@ def misreadings(words: DataFrame) -> DataFrame:
 
     all_ = F.col("n") + F.col("joined")
     keyed = checkpointed(words.where(F.length("word") > 2).select("word", all_.alias("all"), F.explode(keys("word")).alias("skeleton")))
-    sound = keyed.where((F.col("all") >= LEAST) & F.col("word").rlike("^[A-Za-z]{3,}$"))
+    sound = keyed.where((F.col("all") >= LEAST) & F.col("word").rlike("^[A-Za-zÀ-ɏ]{3,}$"))
     best = sound.groupBy("skeleton").agg(F.max_by("word", F.struct("all", "word")).alias("correct"), F.max("all").alias("most"))
     rare = keyed.join(best, "skeleton").where((F.col("word") != F.col("correct")) & (F.col("all") * RATIO <= F.col("most")))
 
@@ -375,19 +460,20 @@ def scan_lines(rows: DataFrame, model: Model, sure: frozenset[str]) -> DataFrame
         import pandas as pd
 
         hmm, known = send.value
+        reader = Reader(hmm.odds)
         sound = set(known)  # with the marks around them, as they are met
         for pdf in batches:
             out = []
+            pages = [page_of(*r) for r in pdf[["record_table", "lines", "x0", "gap"]].itertuples(index=False)]
+            states, _, starts, _ = hmm.labels(reader, pages)
+            states = states.tolist()
             if len(sound) > 4 * SURE_WORDS + FLUSH:
                 sound = set(known)
-            for name, key, case, page, raw in pdf[["record_table", "record_id", "case_id", "page", "lines"]].itertuples(index=False):
-                lines = _clean(raw)
-                report = name == "law_reports"
-                labels = hmm.labels(lines, report)
+            for (name, key, case, page), (lines, _, _, report), at in zip(pdf[["record_table", "record_id", "case_id", "page"]].itertuples(index=False), pages, starts.tolist(), strict=True):
                 add = lambda pos, kind, word=None, tail=None, at=None: out.append((name, key, case, page, pos, kind, word, tail, at))  # noqa: E731, B023
                 carried, from_pos, begun = "", None, False
                 for i, line in enumerate(lines):
-                    state = labels.get(i, BODY)
+                    state = states[at + i]
                     if state == HEADER:
                         add(i, "running_header")
                         continue
@@ -415,7 +501,7 @@ def scan_lines(rows: DataFrame, model: Model, sure: frozenset[str]) -> DataFrame
                         if w in sound:
                             continue
                         b = bare(w)
-                        if b in known or len(b) < 2 or not b.isascii() or "|" in b[1:-1] or "~" in b:
+                        if b in known or len(b) < 2 or "~" in b or not WRITTEN.match(b):
                             sound.add(w)
                         elif NUMERIC.match(b):
                             add(i, "misread")
@@ -428,63 +514,63 @@ def scan_lines(rows: DataFrame, model: Model, sure: frozenset[str]) -> DataFrame
             if out:
                 yield pd.DataFrame(out, columns=COLUMNS)
 
-    return rows.select("record_table", "record_id", "case_id", "page", "lines").mapInPandas(run, "record_table string, record_id string, case_id string, page int, pos int, kind string, word string, tail string, tail_pos int")
+    return rows.select("record_table", "record_id", "case_id", "page", "lines", "x0", "gap").mapInPandas(run, "record_table string, record_id string, case_id string, page int, pos int, kind string, word string, tail string, tail_pos int")
 
 
 COLUMNS = ["record_table", "record_id", "case_id", "page", "pos", "kind", "word", "tail", "tail_pos"]
 PLACE = ["record_table", "record_id", "pos"]
 
 
-def findings(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(found, corrections, words): found(record_table, record_id, pos, kind); corrections(record_table, record_id, pos,
-    word, correct) of misread words; words are the corpus's counts."""
+def findings(rows: DataFrame) -> tuple[DataFrame, DataFrame, Model]:
+    """(found, corrections, model): found(record_table, record_id, pos, kind); corrections(record_table, record_id, pos,
+    word, correct) of misread words.
+
+    rows: record_table, record_id, case_id, page, lines, x0, gap. Null and empty lines are never cases; null x0 and gap
+    are features of their own; repeated rows count once in the result; an empty table gives none.
+    """
     top, size = tops(rows)
-    counted = checkpointed(word_counts(rows, frozenset(top)))
-    middle = {r[0][1:]: r[1] for r in counted.where(F.col("word").startswith(MIDDLE)).select("word", "n").collect()}
-    model = train(rows, odds_of(top, middle, size, middle.get("", 0)))
-    words = counted.where(~F.col("word").startswith(MIDDLE))
+    middle, inner = middles(rows, frozenset(top))
+    model = train(rows, odds_of(top, middle, size, inner))
+    words = checkpointed(word_counts(rows))
     wrong = checkpointed(misreadings(words))
-    sure = words.join(wrong, "word", "left_anti").orderBy(F.desc("n"), "word").where("n > 1").where(F.col("word").rlike("^[A-Za-z’'-]+$")).select("word").limit(SURE_WORDS)
-    seen = checkpointed(scan_lines(rows, model, frozenset(r[0] for r in sure.collect())).distinct())
+    sure = words.join(wrong, "word", "left_anti").where("n > 1").where(F.col("word").rlike("^[A-Za-z’'-]+$")).orderBy(F.desc("n"), "word").select("word").limit(SURE_WORDS)
+    seen = checkpointed(scan_lines(rows, model, frozenset(r[0] for r in sure.collect())))
     final = seen.where(F.col("kind").isin("running_header", "page_number", "misread")).select(*PLACE, "kind")
 
-    first = seen.where("kind = 'first'").select("case_id", (F.col("page") - 1).alias("page"), F.col("record_id").alias("tail_id"), F.col("tail").alias("next_tail"), F.col("tail_pos").alias("next_pos"))
-    across = seen.where("kind = 'open'").join(first, ["case_id", "page"]).select(*PLACE, "word", F.col("next_tail").alias("tail"), "tail_id", F.col("next_pos").alias("tail_pos"))
-    broken = seen.where("kind = 'broken'").select(*PLACE, "word", "tail", F.col("record_id").alias("tail_id"), "tail_pos").unionByName(across)
+    # the first and last words of pages: copies of a page count once, so their groups don't multiply
+    first = seen.where("kind = 'first'").select("record_table", "record_id", "case_id", "page", "pos", "tail").distinct()
+    next_ = first.select("case_id", (F.col("page") - 1).alias("page"), F.col("record_id").alias("tail_id"), "tail", F.col("pos").alias("tail_pos"))
+    across = seen.where("kind = 'open'").select(*PLACE, "case_id", "page", "word").distinct().join(next_, ["case_id", "page"]).select(*PLACE, "word", "tail", "tail_id", "tail_pos")
+    broken = seen.where("kind = 'broken'").select(*PLACE, "word", "tail", F.col("record_id").alias("tail_id"), "tail_pos").distinct().unionByName(across)
     taken = across.select(F.lit("case_pages").alias("record_table"), F.col("tail_id").alias("record_id"), F.col("tail_pos").alias("pos")).distinct()
-    alone = seen.where("kind = 'first'").join(taken, PLACE, "left_anti").select(*PLACE, F.col("tail").alias("word"))
-
-    total = words.select("word", (F.col("n")).alias("n"), (F.col("n") + F.col("joined")).alias("total"))
-    broken = broken.select("*", F.concat("word", "tail").alias("whole"), F.concat_ws("-", "word", "tail").alias("compound"))
-    judged = (
-        broken.join(total.select(F.col("word").alias("whole"), F.col("n").alias("n_whole"), "total"), "whole", "left")
-        .join(total.select(F.col("word").alias("compound"), F.col("n").alias("n_compound")), "compound", "left")
-        .join(total.select(F.col("word").alias("word"), F.col("n").alias("n_head")), "word", "left")
-        .join(total.select(F.col("word").alias("tail"), F.col("n").alias("n_tail")), "tail", "left")
-        .join(wrong.select(F.col("word").alias("whole"), "correct"), "whole", "left")
-        .join(wrong.select(F.col("word").alias("compound"), F.col("correct").alias("right_compound")), "compound", "left")
-        .fillna(0, ["n_whole", "n_compound", "n_head", "n_tail", "total"])
-        .checkpoint()
-    )
+    alone = first.join(taken, PLACE, "left_anti").select(*PLACE, F.col("tail").alias("word"))
+
+    # each distinct pair of halves is judged once, by one join of its four words with what is known of words
+    known = words.select("word", "n", (F.col("n") + F.col("joined")).alias("total")).join(wrong, "word", "full_outer")
+    halves = broken.select(F.col("word").alias("head"), "tail").distinct()
+    roles = F.array(*[F.struct(F.lit(k).alias("role"), w.alias("word")) for k, w in (("whole", F.concat("head", "tail")), ("compound", F.concat_ws("-", "head", "tail")), ("head", F.col("head")), ("tail", F.col("tail")))])
+    facts = halves.select("head", "tail", F.explode(roles).alias("r")).select("head", "tail", "r.role", "r.word").join(known, "word", "left")
+    of = lambda role, name: F.max(F.when(F.col("role") == role, F.col(name)))
+    count = lambda role, name="n": F.coalesce(of(role, name), F.lit(0))
+    facts = facts.groupBy("head", "tail").agg(count("whole").alias("n_whole"), count("compound").alias("n_compound"), count("head").alias("n_head"), count("tail").alias("n_tail"), count("whole", "total").alias("total"), of("whole", "correct").alias("correct"))
+    own_hyphen = (F.col("n_compound") > F.col("n_whole")) | ((F.col("n_whole") == 0) & F.col("correct").isNull() & (F.least("n_head", "n_tail") >= 10) & (F.col("total") < 10))
+    facts = facts.select(F.col("head").alias("word"), "tail", "correct", own_hyphen.alias("own_hyphen"))
+    judged = checkpointed(broken.join(facts, ["word", "tail"]))
     lower = F.col("tail").rlike(r"^[\p{Ll}0-9!|]")
-    own_hyphen = (F.col("n_compound") > F.col("n_whole")) | (
-        (F.col("n_whole") == 0) & F.col("correct").isNull() & (F.least("n_head", "n_tail") >= 10) & (F.col("total") < 10)
-    )
-    hyphens = judged.where(lower & ~own_hyphen).select(*PLACE, F.lit("hyphen").alias("kind"))
+    hyphens = judged.where(lower & ~F.col("own_hyphen")).select(*PLACE, F.lit("hyphen").alias("kind"))
 
-    split_at = F.length("word")
-    same_head = F.substring(F.col("correct"), F.lit(1), split_at) == F.col("word")
+    same_head = F.substring(F.col("correct"), F.lit(1), F.length("word")) == F.col("word")
     same_tail = F.expr("right(correct, length(tail))") == F.col("tail")
-    joined = judged.where(F.col("correct").isNotNull() & ~own_hyphen)
-    halves = joined.where(~same_head).select(*PLACE, F.col("whole").alias("word"), "correct").unionByName(
-        joined.where(~same_tail).select("record_table", F.col("tail_id").alias("record_id"), F.col("tail_pos").alias("pos"), F.col("whole").alias("word"), "correct")
-    )
-    parts = judged.where(own_hyphen)
-    pieces = parts.select(*PLACE, "word").unionByName(parts.select("record_table", F.col("tail_id").alias("record_id"), F.col("tail_pos").alias("pos"), F.col("tail").alias("word")))
+    whole = F.concat("word", "tail").alias("word")
+    at_tail = ["record_table", F.col("tail_id").alias("record_id"), F.col("tail_pos").alias("pos")]
+    joined = judged.where(F.col("correct").isNotNull() & ~F.col("own_hyphen"))
+    repaired = joined.where(~same_head).select(*PLACE, whole, "correct").unionByName(joined.where(~same_tail).select(*at_tail, whole, "correct"))
+    parts = judged.where("own_hyphen")
+    pieces = parts.select(*PLACE, "word").unionByName(parts.select(*at_tail, F.col("tail").alias("word")))
     asked = seen.where("kind = 'word'").select(*PLACE, "word").unionByName(alone).unionByName(pieces)
-    corrections = asked.join(wrong, "word").select(*PLACE, "word", "correct").unionByName(halves)
+    corrections = asked.join(wrong, "word").select(*PLACE, "word", "correct").unionByName(repaired)
     misread = corrections.select(*PLACE, F.lit("misread").alias("kind"))
-    return final.unionByName(hyphens).unionByName(misread).distinct(), corrections.distinct(), words
+    return final.unionByName(hyphens).unionByName(misread).distinct(), corrections.distinct(), model
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -492,7 +578,6 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("record_table", "record_id", F.col("pos").cast("int").alias("pos"), "kind")
 
 
-FINISHED = re.compile(r"[.?!:;][\"”’)\]]*\s*$")
 DIGITS = str.maketrans("lI!|OoS", "1111005")
 FRAGMENTS = "record_table string, record_id string, case_id string, page int, fragment int, nth int, begins int, maybe boolean, finished boolean, text string"
 
@@ -510,27 +595,16 @@ def repaired_line(line: str, fixes: dict[str, str]) -> str:
     return " ".join(out)
 
 
-def heading_line(line: str) -> bool:
-    return line.isupper() and len(line.split()) <= 8 and not any(c.isdigit() for c in line)
-
-
-def begins_paragraph(line: str, before: str | None, x0: float | None, left: float | None, gap: bool) -> bool:
-    """Whether a paragraph begins with a line: it is numbered, a heading, follows one, or stands apart behind a finished line."""
-    heading, after_heading = heading_line(line), before is not None and heading_line(before)
-    apart = gap or (x0 is not None and left is not None and x0 - left > 6)
-    finished = before is None or bool(FINISHED.search(before))
-    return heading or after_heading or (bool(NUMBERED.match(line)) and (apart or finished)) or (apart and finished)
-
-
 def paragraphs(rows: DataFrame) -> DataFrame:
     """(record_table, case_id, nth, page, text): continuous paragraphs of the pages of each case and of the reports' headers.
 
-    rows: as for `findings`, with x0 and gap arrays. Headers and page numbers are left out, broken words joined, misread words
+    rows: as for `findings`. Paragraphs begin at the model's break labels. Headers and page numbers are left out, broken words joined, misread words
     and numbers put right, and paragraphs go on over page ends. Rows of equal id count once; null and empty lines are passed
     over, and pages without lines have no part. Where the text of a page begins in the middle of a paragraph it goes on from the
     page before; a case's pages without a number come first.
     """
-    found, corrections, _ = findings(rows)
+    found, corrections, model = findings(rows)
+    send = rows.sparkSession.sparkContext.broadcast(model)  # of bounded size
     notes = found.select(*PLACE, "kind", F.lit("").alias("word"), F.lit("").alias("correct")).unionByName(corrections.select(*PLACE, F.lit("fix").alias("kind"), "word", "correct"))
     by = notes.groupBy("record_table", "record_id").agg(F.collect_list(F.struct("pos", "kind", "word", "correct")).alias("notes"))  # within a page
     once = rows.dropDuplicates(["record_table", "record_id"]).join(by, ["record_table", "record_id"], "left")
@@ -538,27 +612,36 @@ def paragraphs(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
+        hmm = send.value
+        reader = Reader(hmm.odds)
         for pdf in batches:
             out = []
-            for name, key, case, page, raw, x0s, gaps, marks in pdf[["record_table", "record_id", "case_id", "page", "lines", "x0", "gap", "notes"]].itertuples(index=False):
-                lines = _clean(raw)
+            pages = [page_of(*r) for r in pdf[["record_table", "lines", "x0", "gap"]].itertuples(index=False)]
+            states, features, starts, _ = hmm.labels(reader, pages)
+            for p, (name, key, case, page, marks) in enumerate(pdf[["record_table", "record_id", "case_id", "page", "notes"]].itertuples(index=False)):
+                lines, at = pages[p][0], int(starts[p])
                 kinds: dict[int, set[str]] = {}
                 fixes: dict[str, str] = {}
                 for m in marks if marks is not None else ():
                     kinds.setdefault(m["pos"], set()).add(m["kind"])
                     if m["kind"] == "fix":
                         fixes[m["word"]] = m["correct"]
-                places = [float(x) for x in x0s if x is not None and x == x] if x0s is not None else []
-                report, numbered = name == "law_reports", any(map(NUMBERED.match, lines))
-                left = Counter(places).most_common(1)[0][0] if places else None
+                report = name == "law_reports"
                 parts: list[tuple[int, list[str]]] = []
-                before = None
+                maybe, known = False, None
                 for i, line in enumerate(lines):
-                    if not line.strip() or kinds.get(i, set()) & {"running_header", "page_number"}:
+                    state = int(states[at + i])
+                    if not line.strip() or state in (HEADER, NUMBER):
+                        known = state if line.strip() else known
                         continue
-                    x0 = x0s[i] if x0s is not None and i < len(x0s) else None
-                    gap = bool(gaps[i]) if gaps is not None and i < len(gaps) and gaps[i] is not None else False
-                    new = begins_paragraph(line, before, x0, left, gap) if before is not None else report or bool(NUMBERED.match(line)) or heading_line(line)
+                    if parts:
+                        new = state == BREAK
+                    elif report:
+                        new = True
+                    else:  # the first text of a page: whether the page before is finished is known only later
+                        after = next((int(states[at + j]) for j in range(i + 1, len(lines)) if lines[j].strip()), None)
+                        new = state == BREAK
+                        maybe = not new and hmm.begins(features[at + i], DONE, known, after)
                     text = repaired_line(line, fixes)
                     if "hyphen" in kinds.get(i, ()):
                         text = BREAKS.sub(lambda m: m[1], line if not fixes else text) + "\u0001"
@@ -568,7 +651,6 @@ def paragraphs(rows: DataFrame) -> DataFrame:
                         parts.append((int(new), [text]))
                     else:
                         parts[-1][1].append(text)
-                    before = line
                 nth = 0
                 for k, (new, texts) in enumerate(parts):
                     nth += new
@@ -578,9 +660,7 @@ def paragraphs(rows: DataFrame) -> DataFrame:
                     for wrong, right in fixes.items():
                         if len(wrong) > 3 and wrong in whole:
                             whole = re.sub(rf"(?<![\w]){re.escape(wrong)}(?![\w])", right, whole)
-                    # without numbers, a page that opens with a capital may open a paragraph
-                    maybe = not k and not new and not numbered and texts[0][:1].isupper()
-                    out.append((name, key, case, page, k, nth, new, maybe, bool(FINISHED.search(whole)), whole))
+                    out.append((name, key, case, page, k, nth, new, maybe and not k, finished_line(whole), whole))
             if out:
                 yield pd.DataFrame(out, columns=[x.split()[0] for x in FRAGMENTS.split(", ")])
 

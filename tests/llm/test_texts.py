@@ -78,14 +78,14 @@ def test_scan_frame(spark):
         rows.append(("case_pages", f"pg{p}", "c", p, lines))
     rows += [rows[0], ("case_pages", "none", "d", 1, [None, ""]), ("case_pages", "zero", "e", 1, [])]
     df = spark.createDataFrame(rows, "record_table string, record_id string, case_id string, page int, lines array<string>")
+    df = df.withColumn("x0", F.lit(None).cast("array<double>")).withColumn("gap", F.lit(None).cast("array<boolean>"))
     found, _, _ = scans.findings(df)
     got = {(r["record_id"], r["pos"], r["kind"]) for r in found.collect()}
     assert {(f"pg{p}", 0, "running_header") for p in range(1, 41)} <= got and {(f"pg{p}", 6, "page_number") for p in range(1, 41)} <= got
     assert {(f"pg{p}", 3, "hyphen") for p in range(1, 41)} <= got and ("pg9", 5, "hyphen") not in got
     assert ("pg7", 2, "misread") in got and sum(k == "misread" for *_, k in got) == 1
     assert scans.findings(df.where("false"))[0].count() == 0
-    with_places = df.withColumn("x0", F.lit(None).cast("array<double>")).withColumn("gap", F.lit(None).cast("array<boolean>"))
-    text = " ".join(r["text"] for r in scans.paragraphs(with_places).orderBy("nth").collect())
+    text = " ".join(r["text"] for r in scans.paragraphs(df).orderBy("nth").collect())
     assert "broken the lease before the day" in text and "the court rejected the claim of the tenant" in text and "courl" not in text
     assert "accepted by the self-defence plea of the company" in text and "REGISTER" not in text and "- 7 -" not in text
 
@@ -97,12 +97,13 @@ def test_page_tops_are_counted_over_all_pages(spark):
     rows += [("case_pages", f"t{i}", "t", i, ["Quarvale textiles versus brenkot", *body]) for i in range(6)]
     rows += [("case_pages", f"u{i}", "u", i, ["Said in passing here", *body]) for i in range(6)] + [("case_pages", "u9", "u", 9, [*body[:4], "Said in passing here", *body[4:]])]
     df = spark.createDataFrame(rows, "record_table string, record_id string, case_id string, page int, lines array<string>")
+    df = df.withColumn("x0", F.lit(None).cast("array<double>")).withColumn("gap", F.lit(None).cast("array<boolean>"))
     top, size = scans.tops(df)
     key, other = scans.opening("Quarvale textiles versus"), scans.opening("Said in passing")
     assert top[key] == 6 and top[other] == 6 and size == 2 * len(rows)
-    middle = {r["word"][1:]: r["n"] for r in scans.word_counts(df, frozenset(top)).where(F.col("word").startswith(scans.MIDDLE)).collect()}
-    assert middle[other] == 1 and key not in middle and middle[""] == 2 * sum(len(r[4][3:-2]) for r in rows)
-    odds = scans.odds_of(top, middle, size, middle[""])
+    middle, inner = scans.middles(df, frozenset(top))
+    assert middle[other] == 1 and key not in middle and inner == 2 * sum(len(r[4][3:-2]) for r in rows)
+    odds = scans.odds_of(top, middle, size, inner)
     assert odds[key] > 1.5 and other not in odds
     assert all(scans.told(k, n) for k, n in top.items())
     shapes = {}
@@ -114,6 +115,45 @@ def test_page_tops_are_counted_over_all_pages(spark):
     assert model.odds is odds
 
 
+def test_paragraphs_begin_at_break_labels(spark):
+    # indents mark paragraphs on some pages, gaps on others; the model, not a rule, decides
+    rows = []
+    for p in range(60):
+        lines, x0, gap = [], [], []
+        for k in range(4):
+            for j, text in enumerate((f"The tenant of house {p} paid rent number {k} to the", "owner of the land, who gave him the receipt of", "the last month.")):
+                lines.append(text)
+                x0.append(90.0 if j == 0 and p % 2 else 72.0)
+                gap.append(j == 0 and not p % 2)
+        rows.append(("case_pages", f"pg{p}", f"c{p}", 1, lines, x0, gap))
+    df = spark.createDataFrame(rows, "record_table string, record_id string, case_id string, page int, lines array<string>, x0 array<double>, gap array<boolean>")
+    texts = [r["text"] for r in scans.paragraphs(df).collect()]
+    assert len(texts) == 240 and all(t.startswith("The tenant") and t.endswith("month.") for t in texts)
+    pages = [scans.page_of(r[0], r[4], r[5], r[6]) for r in rows]
+    model = scans.fit(pages, {})
+    states, table_, starts, sizes = model.labels(scans.Reader({}), pages)
+    assert len(states) == 720 and (states.reshape(-1, 3)[:, 0] == scans.BREAK).mean() > 0.7 and (states.reshape(-1, 3)[:, 1:] == scans.BODY).all()
+    model.emit[-1][:] = 0  # without what it has learnt of the layout the paragraphs are others
+    assert ((model.labels(scans.Reader({}), pages)[0] == scans.BREAK) != (states == scans.BREAK)).any()
+
+
+def test_viterbi_is_the_best_path():
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    model = scans.Model(rng.normal(size=4), rng.normal(size=(4, 4)), [rng.normal(size=(4, k)) for k in scans.SIZES], {})
+    sizes = np.array([0, 3, 5, 1])
+    table_ = np.stack([rng.integers(0, k, 9) for k in scans.SIZES], axis=1)
+    starts = np.cumsum(sizes) - sizes
+    got, e = model.path(table_, starts, sizes), model.scores(table_)
+    for a, n in zip(starts, sizes, strict=True):
+        if n:
+            cost = lambda p: model.start[p[0]] + sum(e[a + i, s] for i, s in enumerate(p)) + sum(model.step[x, y] for x, y in itertools.pairwise(p))  # noqa: B023, E731
+            assert tuple(got[a : a + n]) == max(itertools.product(range(4), repeat=int(n)), key=cost)
+
+
 def test_languages(spark):
     english = "The court rejected the claim of the tenant. The judge heard the counsel for the company at length. "
     french = "Le tribunal a rejeté la demande du locataire. Le juge a entendu les avocats de la société hier. "
