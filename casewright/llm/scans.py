@@ -49,7 +49,7 @@ STRIP = "“”\"'‘’().,;:?[]{}—–!"
 NUMERIC = re.compile(r"^(?=.*\d)(?=.*[lIOo!|])[\dlIOoS!|][\dlIOoS!|.,/-]*$")
 LETTERS = re.compile(r"^[A-Za-z0-9!|$À-ɏ]+(?:’s)?$")
 WRITTEN = re.compile(r"^[\x00-\x7FÀ-ɏ]+$")
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def skeletons(word: str) -> list[str]:
@@ -110,7 +110,8 @@ def heading_line(line: str) -> bool:
 
 def finished_line(line: str) -> bool:
     """Whether a line ends as a sentence does."""
-    return line.rstrip(CLOSERS)[-1:] in tuple(".?!:;")
+    end = line.rstrip(CLOSERS)
+    return end != "" and end[-1] in ".?!:;"
 
 
 def layout(numbered: int, page_numbered: int, indent: int, gap: int, before: int, heading: int, lower: int) -> int:
@@ -130,6 +131,11 @@ def clear_number(line: str) -> int:
     return 1 if STRONG.match(line) else 2 if BARE.match(line) else 3 if line.strip() and ROMAN.match(line) else 0
 
 
+def packed(place: int, number: int, top: int, capitals: int, parties: int, around: int) -> int:
+    """The features as one number."""
+    return ((((place * 4 + number) * 3 + top) * 3 + capitals) * 2 + parties) * SIZES[-1] + around
+
+
 class Reader:
     """Features and first labels of the lines of pages."""
 
@@ -138,47 +144,48 @@ class Reader:
         self.heads = frozenset(k[1:].split(" ", 1)[0] for k in odds if k.startswith(">"))
         self.kinds, self.folded = Kept(word_kind), Kept(lambda w: w.translate(FOLD))
 
-    def top(self, line: str) -> int:
+    def top(self, line: str, words: list[str]) -> int:
         """2 if lines of this shape or opening stand mostly at page tops, 0 if they don't, 1 if nothing is known."""
         if len(self.kinds) > FLUSH:
             self.kinds.clear()
             self.folded.clear()
-        words = line.split(None, 8)[:8]
+        words = words[:8]
         seen = self.odds.get(" ".join(map(self.kinds.__getitem__, words)))
         if words and self.folded[words[0]] in self.heads and (o := self.odds.get(opening(line))) is not None:
             seen = o if seen is None else max(o, seen)
         return 1 if seen is None else 2 if seen > 1.5 else 0
 
-    def page(self, lines: list[str], x0, gaps, report: bool) -> tuple[list[tuple[int, ...]], list[int]]:
-        """(features, first labels) of each line."""
+    def page(self, lines: list[str], words: list[list[str]], x0, gaps, report: bool) -> tuple[list[int], list[int]]:
+        """(features as one number, first labels) of each line; words are the lines split at white space."""
         n, out, first = len(lines), [], []
         places = [float(x) for x in x0 if x is not None and x == x] if x0 is not None else []
         left = Counter(places).most_common(1)[0][0] if places else None
         starts = [bool(NUMBERED.match(x)) for x in lines]
         page_numbered = int(any(starts))
         note = next((i for i, x in enumerate(lines) if re.match(r"\s*H[a-z!l1]{3}n[a-z0]te", x)), n) if report else 0
-        before: str | None = None
+        before, before_heading = None, False
         for i, line in enumerate(lines):
             place = (6 if i <= note else 7) if report else i if i < 3 else 3 if i == n - 1 else 4 if i == n - 2 else 5
-            if not line or line.isspace():
-                out.append((place, 0, 1, 0, 0, layout(0, page_numbered, 2, 2, NO_LINE, 0, 0)))
+            if not words[i]:
+                out.append(packed(place, 0, 1, 0, 0, layout(0, page_numbered, 2, 2, NO_LINE, 0, 0)))
                 first.append(BODY)
                 continue
             number = clear_number(line)
-            size = len(line)
-            capitals = 0 if line.islower() else sum(map(line.count, CAPITALS)) / max(1, size - line.count(" "))
-            capitals = 2 if capitals > 0.55 else 1 if capitals > 0.28 else 0
+            plain = line.encode("ascii", "replace")
+            share = (len(plain) - len(plain.translate(None, CAPITALS))) / (len(plain) - len(words[i]) + 1)
+            capitals = 2 if share > 0.55 else 1 if share > 0.28 else 0
             parties = int(" v. " in line or " V. " in line)
-            top, numbered = self.top(line), starts[i]
+            top, numbered = self.top(line, words[i]), starts[i]
             if number and place != 6 and (place != 5 or number == 1) and not (number == 3 and place == 4):
                 state = NUMBER
             elif not numbered and (place != 6 or (i == 0 and top == 2)) and (
-                (top == 2 and place in (0, 7)) or (capitals == 2 and (top == 2 or place in (0, 7)) and len(line.split()) > 2 and (parties or any(map(str.isdigit, line))))
+                (top == 2 and place in (0, 7)) or (capitals == 2 and (top == 2 or place in (0, 7)) and len(words[i]) > 2 and (parties or any(map(str.isdigit, line))))
             ):
                 state = HEADER
             else:
                 state = BODY
-            heading = 1 if heading_line(line) else 2 if before is not None and heading_line(before) else 0
+            here = heading_line(line)
+            heading = 1 if here else 2 if before is not None and before_heading else 0
             indent = 2 if left is None or i >= len(x0) or x0[i] is None or x0[i] != x0[i] else int(x0[i] - left > INDENT)
             gap = 2 if gaps is None or i >= len(gaps) or gaps[i] is None else int(bool(gaps[i]))
             ended = NO_LINE if before is None else DONE if finished_line(before) else UNFINISHED
@@ -190,18 +197,18 @@ class Reader:
                     begins = heading > 0 or (numbered and (apart or ended == DONE)) or (apart and ended == DONE)
                 state = BREAK if begins else BODY
             if state in (BREAK, BODY):
-                before = line
-            out.append((place, number, top, capitals, parties, layout(int(numbered), page_numbered, indent, gap, ended, heading, int(line.lstrip()[:1].islower()))))
+                before, before_heading = line, here
+            out.append(packed(place, number, top, capitals, parties, layout(int(numbered), page_numbered, indent, gap, ended, heading, int(words[i][0][0].islower()))))
             first.append(state)
         return out, first
 
     def pages(self, pages: list[tuple]):
-        """(features, first labels, number of each page's first line, sizes) of pages (lines, x0, gaps, report)."""
+        """(features, first labels, number of each page's first line, sizes) of pages as `page_of` gives them."""
         import numpy as np
 
         read = [self.page(*p) for p in pages]
         sizes = np.array([len(f) for f, _ in read], np.int64)
-        table_ = np.array([f for fs, _ in read for f in fs], np.int64).reshape(-1, len(SIZES))
+        table_ = np.stack(np.unravel_index(np.array([f for fs, _ in read for f in fs], np.int64), SIZES), axis=1).reshape(-1, len(SIZES))
         return table_, np.array([s for _, ss in read for s in ss], np.int64), np.cumsum(sizes) - sizes, sizes
 
 
@@ -245,11 +252,11 @@ class Model:
         return out
 
     def labels(self, reader: Reader, pages: list[tuple]):
-        """(states, features, starts, sizes) of the lines of pages (lines, x0, gaps, report)."""
+        """(states, features, starts, sizes) of the lines of pages as `page_of` gives them."""
         table_, _, starts, sizes = reader.pages(pages)
         states = self.path(table_, starts, sizes)
         # in a report's headnote a line that is nothing but a roman number of several letters is no text
-        for p, (lines, _, _, report) in enumerate(pages):
+        for p, (lines, _, _, _, report) in enumerate(pages):
             if report:
                 for i, line in enumerate(lines):
                     if table_[starts[p] + i, 0] == 7 and table_[starts[p] + i, 1] == 3 and len(line.strip()) > 1:
@@ -277,7 +284,7 @@ def odds_of(top: dict[str, int], middle: dict[str, int], size_t: int, size_m: in
 
 
 def fit(pages: list[tuple], odds: dict[str, float], rounds: int = ROUNDS) -> Model:
-    """Viterbi training from the first labels on pages (lines, x0, gaps, report).
+    """Viterbi training from the first labels on pages as `page_of` gives them.
 
     Counts are smoothed in proportion to the states, so what was never seen speaks for none of them.
     """
@@ -327,7 +334,9 @@ def train(rows: DataFrame, odds: dict[str, float], sample: int = SAMPLE) -> Mode
 
 
 def page_of(name: str, lines, x0, gaps) -> tuple:
-    return _clean(lines), x0, gaps, name == "law_reports"
+    """(lines, their words, x0, gaps, whether it is a report) of a page."""
+    kept = _clean(lines)
+    return kept, [x.split() for x in kept], x0, gaps, name == "law_reports"
 
 
 def tops(rows: DataFrame) -> tuple[dict[str, int], int]:
@@ -394,10 +403,10 @@ def middles(rows: DataFrame, keys: frozenset[str]) -> tuple[dict[str, int], int]
     return got, got.pop("", 0)
 
 
-#: Mark before a word that was joined over a line end.
+#: Mark in a word that was joined over a line end.
 JOINED = "\u0001"
-#: A word broken at a line's end with the first word of the next line, for the JVM.
-BROKEN = r"(?<![A-Za-zÀ-ɏ’'])[A-Za-zÀ-ɏ’']++[-¬=‐\u00ad][ \t]*+\n\s*+\S++"
+#: The end of a line that breaks a word, for the JVM.
+BROKEN = r"(?<=[A-Za-zÀ-ɏ’'])[-¬=‐\u00ad][ \t]*+\n\s*+"
 
 
 def bare_column(token):
@@ -410,11 +419,10 @@ def bare_column(token):
 def word_counts(rows: DataFrame) -> DataFrame:
     """(word, n, joined): how often each word stands whole and how often joined over a line end, counted in the JVM with
     partial sums before the shuffle."""
-    text = F.array_join("lines", "\n")
-    over = F.transform(F.regexp_extract_all(text, F.lit(BROKEN), F.lit(0)), lambda w: F.concat(F.lit(JOINED), F.regexp_replace(w, r"[-¬=‐\u00ad][ \t]*\n\s*", "")))
-    each = rows.select(F.explode(F.concat(F.split(F.regexp_replace(text, BROKEN, " "), r"\s+"), over)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    over_end = F.col("token").startswith(JOINED)
-    words = each.select(bare_column(F.when(over_end, F.substring("token", 2, 1 << 30)).otherwise(F.col("token"))).alias("word"), "n", over_end.alias("over"))
+    text = F.regexp_replace(F.array_join("lines", "\n"), BROKEN, JOINED)
+    each = rows.select(F.explode(F.split(F.translate(text, "\n\t", "  "), " ")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    over_end = F.col("token").contains(JOINED)
+    words = each.select(bare_column(F.translate("token", JOINED, "")).alias("word"), "n", over_end.alias("over"))
     known = (F.length("word") > 1) & F.col("word").rlike(r"\p{L}") & F.col("word").rlike(r"^[\x00-}\x7FÀ-ɏ]+$")
     sums = words.groupBy("word").agg(F.sum(F.when(~F.col("over"), F.col("n")).otherwise(0)).alias("n"), F.sum(F.when(F.col("over"), F.col("n")).otherwise(0)).alias("joined"), F.bool_or(known).alias("known"))
     return sums.where("known").drop("known")  # an aggregate, or the optimizer would test every token before they are counted
@@ -469,7 +477,7 @@ def scan_lines(rows: DataFrame, model: Model, sure: frozenset[str]) -> DataFrame
             states = states.tolist()
             if len(sound) > 4 * SURE_WORDS + FLUSH:
                 sound = set(known)
-            for (name, key, case, page), (lines, _, _, report), at in zip(pdf[["record_table", "record_id", "case_id", "page"]].itertuples(index=False), pages, starts.tolist(), strict=True):
+            for (name, key, case, page), (lines, split, _, _, report), at in zip(pdf[["record_table", "record_id", "case_id", "page"]].itertuples(index=False), pages, starts.tolist(), strict=True):
                 add = lambda pos, kind, word=None, tail=None, at=None: out.append((name, key, case, page, pos, kind, word, tail, at))  # noqa: E731, B023
                 carried, from_pos, begun = "", None, False
                 for i, line in enumerate(lines):
@@ -480,7 +488,7 @@ def scan_lines(rows: DataFrame, model: Model, sure: frozenset[str]) -> DataFrame
                     if state == NUMBER:
                         add(i, "page_number")
                         continue
-                    words = line.split()
+                    words = split[i]
                     if not words:
                         continue
                     m = BREAKS.search(line) if line.rstrip()[-1:] in ENDS else None
@@ -497,6 +505,8 @@ def scan_lines(rows: DataFrame, model: Model, sure: frozenset[str]) -> DataFrame
                     if m:
                         carried, from_pos = m.group(1), i
                         words = words[:-1] if words[-1].rstrip()[-1:] and line.rstrip().endswith(words[-1]) else words
+                    if sound.issuperset(words):
+                        continue
                     for w in words:
                         if w in sound:
                             continue
