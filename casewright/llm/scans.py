@@ -158,48 +158,53 @@ class Reader:
     def page(self, lines: list[str], words: list[list[str]], x0, gaps, report: bool) -> tuple[list[int], list[int]]:
         """(features as one number, first labels) of each line; words are the lines split at white space."""
         n, out, first = len(lines), [], []
-        places = [float(x) for x in x0 if x is not None and x == x] if x0 is not None else []
-        left = Counter(places).most_common(1)[0][0] if places else None
+        places = Counter(x0) if x0 is not None else {}
+        left = max((x for x in places if x is not None and x == x), key=lambda x: (places[x], -x), default=None)
         starts = [bool(NUMBERED.match(x)) for x in lines]
-        page_numbered = int(any(starts))
+        page_numbered = int(True in starts)
         note = next((i for i, x in enumerate(lines) if re.match(r"\s*H[a-z!l1]{3}n[a-z0]te", x)), n) if report else 0
-        before, before_heading = None, False
+        sides = [2] * n if left is None else [2 if x is None or x != x else int(x - left > INDENT) for x in x0[:n]] + [2] * (n - len(x0))
+        spaces = [2] * n if gaps is None else [2 if g is None else int(g) for g in gaps[:n]] + [2] * (n - len(gaps))
+        blank = packed(0, 0, 1, 0, 0, layout(0, page_numbered, 2, 2, NO_LINE, 0, 0))
+        each = packed(1, 0, 0, 0, 0, 0)  # one step of place
+        before, before_heading = False, False
+        ended = NO_LINE
         for i, line in enumerate(lines):
             place = (6 if i <= note else 7) if report else i if i < 3 else 3 if i == n - 1 else 4 if i == n - 2 else 5
             if not words[i]:
-                out.append(packed(place, 0, 1, 0, 0, layout(0, page_numbered, 2, 2, NO_LINE, 0, 0)))
+                out.append(blank + place * each)
                 first.append(BODY)
                 continue
-            number = clear_number(line)
+            number = clear_number(line) if len(line) <= LONGEST_NUMBER or line[0].isspace() else 0
             plain = line.encode("ascii", "replace")
             share = (len(plain) - len(plain.translate(None, CAPITALS))) / (len(plain) - len(words[i]) + 1)
             capitals = 2 if share > 0.55 else 1 if share > 0.28 else 0
-            parties = int(" v. " in line or " V. " in line)
-            top, numbered = self.top(line, words[i]), starts[i]
+            parties = int("v. " in line and " v. " in line or " V. " in line)
+            numbered = starts[i]
+            # in the midst of a page only lines with many capitals can be like those at page tops
+            top = self.top(line, words[i]) if place != 5 or capitals else 1
             if number and place != 6 and (place != 5 or number == 1) and not (number == 3 and place == 4):
                 state = NUMBER
-            elif not numbered and (place != 6 or (i == 0 and top == 2)) and (
+            elif (top == 2 or capitals == 2) and not numbered and (place != 6 or (i == 0 and top == 2)) and (
                 (top == 2 and place in (0, 7)) or (capitals == 2 and (top == 2 or place in (0, 7)) and len(words[i]) > 2 and (parties or any(map(str.isdigit, line))))
             ):
                 state = HEADER
             else:
                 state = BODY
-            here = heading_line(line)
-            heading = 1 if here else 2 if before is not None and before_heading else 0
-            indent = 2 if left is None or i >= len(x0) or x0[i] is None or x0[i] != x0[i] else int(x0[i] - left > INDENT)
-            gap = 2 if gaps is None or i >= len(gaps) or gaps[i] is None else int(bool(gaps[i]))
-            ended = NO_LINE if before is None else DONE if finished_line(before) else UNFINISHED
+            here = capitals == 2 and heading_line(line)
+            heading = 1 if here else 2 if before_heading else 0
+            indent, gap = sides[i], spaces[i]
             if state == BODY:
                 apart = indent == 1 or gap == 1
-                if before is None:
+                if not before:
                     begins = report or numbered or heading == 1
                 else:
                     begins = heading > 0 or (numbered and (apart or ended == DONE)) or (apart and ended == DONE)
                 state = BREAK if begins else BODY
-            if state in (BREAK, BODY):
-                before, before_heading = line, here
-            out.append(packed(place, number, top, capitals, parties, layout(int(numbered), page_numbered, indent, gap, ended, heading, int(words[i][0][0].islower()))))
+            out.append(packed(place, number, top, capitals, parties, layout(numbered, page_numbered, indent, gap, ended, heading, words[i][0][0].islower())))
             first.append(state)
+            if state in (BREAK, BODY):
+                before, before_heading, ended = True, here, DONE if finished_line(line) else UNFINISHED
         return out, first
 
     def pages(self, pages: list[tuple]):
@@ -336,7 +341,8 @@ def train(rows: DataFrame, odds: dict[str, float], sample: int = SAMPLE) -> Mode
 def page_of(name: str, lines, x0, gaps) -> tuple:
     """(lines, their words, x0, gaps, whether it is a report) of a page."""
     kept = _clean(lines)
-    return kept, [x.split() for x in kept], x0, gaps, name == "law_reports"
+    plain = lambda xs: xs.tolist() if hasattr(xs, "tolist") else xs
+    return kept, [x.split() for x in kept], plain(x0), plain(gaps), name == "law_reports"
 
 
 def tops(rows: DataFrame) -> tuple[dict[str, int], int]:
@@ -380,7 +386,7 @@ def middles(rows: DataFrame, keys: frozenset[str]) -> tuple[dict[str, int], int]
         heads = frozenset(k[1:].split(" ", 1)[0] for k in asked if k.startswith(">"))
         kinds, folded, seen, size = Kept(word_kind), Kept(lambda w: w.translate(FOLD)), Counter(), 0
         for batch in batches:
-            for line in batch.column(0).to_pylist():
+            for line in batch.column(0).flatten().to_pylist():
                 size += 2
                 first = line.split(None, 8)[:8] if line else []
                 if first and folded[first[0]] in heads:
@@ -397,7 +403,7 @@ def middles(rows: DataFrame, keys: frozenset[str]) -> tuple[dict[str, int], int]
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([*seen.values(), size], pa.int64())], ["key", "n"])
 
     between = F.slice("lines", F.lit(4), F.greatest(F.lit(0), F.size("lines") - 5))
-    lines = rows.where("record_table = 'case_pages'").select(F.explode(between).alias("line"))
+    lines = rows.where("record_table = 'case_pages'").select(between.alias("lines"))
     counted = lines.mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n")).collect()  # at most the keys
     got = {r[0]: r[1] for r in counted}
     return got, got.pop("", 0)
@@ -406,7 +412,7 @@ def middles(rows: DataFrame, keys: frozenset[str]) -> tuple[dict[str, int], int]
 #: Mark in a word that was joined over a line end.
 JOINED = "\u0001"
 #: The end of a line that breaks a word, for the JVM.
-BROKEN = r"(?<=[A-Za-zÀ-ɏ’'])[-¬=‐\u00ad][ \t]*+\n\s*+"
+BROKEN = r"[-¬=‐\u00ad](?<=[A-Za-zÀ-ɏ’'].)[ \t]*+\n\s*+"
 
 
 def bare_column(token):
