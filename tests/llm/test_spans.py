@@ -42,11 +42,37 @@ def test_against_brute_force(spark):
             if len(at[t[k : k + 200]]) > 1:
                 covered.update(range(k, k + 200))
         assert shares[i] == len(covered), i
-    classes = {r["id"]: r["class_id"] for r in spans.passage_classes(df, "id", "text").collect()}
+    rows_ = spans.passage_classes(df, "id", "text").collect()
+    classes, texts = {r["id"]: r["class_id"] for r in rows_}, dict(rows)
+    links = {r["id"]: len({texts[b if a == r["id"] else a] for a, b in got if r["id"] in (a, b)} - {texts[r["id"]]}) for r in rows_}
+    assert {r["id"]: r["links"] for r in rows_} == links
     assert all(classes[a] == classes[b] for a, b in got) and len(classes) == len(rows)
     assert spans.sharing_pairs(df.where("false"), "id", "text").count() == 0
 
 
+def test_both_ways_of_holding_bands_agree(spark):
+    rng = random.Random(8)
+    shared = [text(rng, n) for n in (210, 300)]
+    rows = [(f"c{i:02}", text(rng, 300) + shared[i % 2] * (i % 3) + text(rng, 90)) for i in range(40)] * 2
+    df = spark.createDataFrame(rows, "id string, text string")
+    got = []
+    for held in (spans.HELD, 0):
+        found = spans.Shared(df, "id", "text", held=held)
+        got.append((sorted(map(tuple, found.pairs().collect())), sorted((bytes(r["tid"]), r["start"]) for r in found.windows.collect())))
+    assert got[0] == got[1] and got[0][0]
+
+
+def test_links_and_linear_work(spark):
+    # a passage of many texts: as many windows as texts, and links are counted without pairs
+    rng = random.Random(9)
+    hot, cold = text(rng, 230), text(rng, 230)
+    rows = [(f"h{i:04}", text(rng, 60) + chr(0x4E00 + i) + hot + chr(0x4E00 + i) + text(rng, 60) + chr(0x4E00 + i) + (cold if i < 3 else "")) for i in range(600)] + [("k", cold), ("n", None)]
+    df = spark.createDataFrame(rows, "id string, text string")
+    assert spans.Shared(df, "id", "text").windows.count() == 31 * (600 + 4)
+    got = {r["id"]: (r["class_id"], r["links"]) for r in spans.passage_classes(df, "id", "text").collect()}
+    assert len({c for c, _ in got.values()}) == 2 and got["n"][1] == 0 and got["k"][1] == 3 and got["h0000"][1] == 600 and got["h0100"][1] == 599
+
+
 def test_hot_passage_is_whole(spark):
     rng = random.Random(6)
     hot = text(rng, 220)
