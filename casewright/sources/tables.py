@@ -25,12 +25,11 @@ def one_per_key(df: DataFrame, *keys: str) -> DataFrame:
     return df.where(cond).dropDuplicates(list(keys))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the cluster names in spark.checkpoint.dir.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir, set as Spark's checkpoint folder.
 
     A temporary folder is set only where none is named (local tests).
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -41,9 +40,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
             folder = f"{tempfile.gettempdir()}/casewright-{uuid.uuid4().hex}"
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a table in the checkpoint folder, for loops: a checkpoint hands its plan's constraints on, which
+    grow with every round, and its size isn't known to the planner."""
+    path = f"{checkpoint_folder(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fits(df: DataFrame, max_rows: int, max_bytes: int, size: Column) -> bool:
     """Whether df is at most max_rows rows and max_bytes bytes (size: bytes of a row); one small aggregate."""
     n, b = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
