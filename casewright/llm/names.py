@@ -1,10 +1,11 @@
 """P1: spellings of people's names linked to the register's person they mean.
 
-Distinct spellings and register names become vectors of weighted character n-grams. A sparse join over shared n-grams
-gives each spelling its most similar register names (top n by cosine). A candidate must also agree part by part
-(surname with typing errors, given names in full, short, as nickname or initial, in any usual order); among those left,
-the spelling goes to the person whose group of spellings it is closest to by average linkage, the mean cosine to all
-spellings already in the group.
+Distinct spellings and register names become vectors of weighted character n-grams. Sparse joins over shared n-grams give
+each spelling its most similar register names and its most similar other spellings (top n by cosine above a threshold). A
+register name must also agree part by part (surname with typing errors, given names in full, short or as initial, in any
+usual order). Spellings that may mean the same person are grouped by average linkage: rounds merge the pairs of groups that
+are each other's nearest, while the mean cosine of all their pairs is high enough. Where the parts leave several persons, a
+group goes to the one of them to whom its spellings have the largest mean cosine, if that leads clearly.
 """
 
 from __future__ import annotations
@@ -18,28 +19,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..sources.tables import checkpointed, fits, one_per_key, table
+from ..sources.tables import checkpointed, fits, one_per_key, table, written
 
-TOP, LEAST_COSINE, LEAST_LINKAGE, ROUNDS = 12, 0.12, 0.05, 2
+#: Nearest register names that are tried first, and their least cosine; spellings that fit none of them are tried with all.
+TOP, LEAST_COSINE = 12, 0.12
+#: Nearest other spellings of a spelling, their least cosine, the least mean cosine at which groups merge, and the lead that
+#: a person needs before the next one.
+NEAREST, ALIKE, LEAST_LINKAGE, LEAD = 8, 0.6, 0.35, 0.02
 #: Cost of all parts together beyond which a spelling is another name: about one error a part.
 MOST_COST = 4.5
 BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32 << 20
 
 #: Titles before and after names.
 TITLES = r"(?i)\b(?:hon\s*[’'`]?\s*ble|hon(?=\.)|honourable|mr|mrs|ms|miss|smt|shri|sri|dr|prof|justice|chief justice|lord|acting)\b\.?|,?\s*\b(?:C\.?\s?J\.?\s?I?\.?|JJ\.?)\s*$"
-#: Short forms of given names.
-NICKNAMES = {
-    "raju": "rajendra", "rajen": "rajendra", "raj": "rajendra", "theo": "theodore", "ted": "theodore", "alex": "alexander",
-    "sandy": "alexander", "damu": "damodar", "ben": "benjamin", "benny": "benjamin", "balan": "balakrishnan", "balu": "balakrishnan",
-    "bala": "balakrishnan", "madhu": "madhavan", "peggy": "margaret", "maggie": "margaret", "meg": "margaret", "naru": "narayan",
-    "om": "omprakash", "liz": "elizabeth", "beth": "elizabeth", "betty": "elizabeth", "lizzie": "elizabeth", "tony": "anthony",
-    "bill": "william", "will": "william", "billy": "william", "kate": "katherine", "kathy": "katherine", "katie": "katherine",
-    "jo": "josephine", "josie": "josephine", "becky": "rebecca", "gabe": "gabriel", "charlie": "charlotte", "lottie": "charlotte",
-    "sid": "siddharth", "vicky": "vikram", "vik": "vikram", "venky": "venkatesh", "venkat": "venkatesh", "raghu": "raghunath",
-    "laxmi": "lakshmi", "lachhu": "lakshmi", "chandu": "chandrika", "paddu": "padmini", "harry": "harpreet", "savi": "savitri",
-    "nasr": "nasreen", "ghanu": "ghanshyam", "shyam": "ghanshyam", "bob": "robert", "rob": "robert", "dick": "richard",
-    "jim": "james", "jack": "john", "joe": "joseph", "mike": "michael", "tom": "thomas", "dave": "david",
+#: Common short forms of English given names that no rule gives.
+IRREGULAR = {
+    "bill": "william", "billy": "william", "bob": "robert", "bobby": "robert", "dick": "richard", "rick": "richard", "jack": "john",
+    "hank": "henry", "harry": "henry", "hal": "henry", "ted": "theodore", "ned": "edward", "teddy": "edward", "jim": "james",
+    "jem": "james", "chuck": "charles", "kit": "christopher", "sandy": "alexander", "sasha": "alexander", "tom": "thomas",
+    "peggy": "margaret", "meg": "margaret", "maggie": "margaret", "daisy": "margaret", "greta": "margaret", "molly": "mary",
+    "polly": "mary", "sally": "sarah", "sadie": "sarah", "nell": "eleanor", "nancy": "anne", "nan": "anne", "patsy": "martha",
+    "fanny": "frances", "frank": "francis", "kitty": "katherine", "dolly": "dorothy", "dot": "dorothy", "tess": "theresa", "gus": "augustus",
 }
+#: Endings of short forms.
+ENDINGS = ("ie", "an", "en", "y", "i", "u", "e", "o", "a")
 
 
 def plain(name: str) -> str:
@@ -64,7 +67,7 @@ def parts(name: str) -> tuple[list[str], bool, bool]:
 
 def fold(word: str) -> str:
     """Spellings of one sound brought together."""
-    for a, b in (("ee", "i"), ("oo", "u"), ("aa", "a"), ("w", "v"), ("z", "j"), ("ph", "f"), ("th", "t"), ("dh", "d"), ("bh", "b"), ("gh", "g"), ("kh", "k"), ("c", "k"), ("y", "i"), ("h", "")):
+    for a, b in (("ee", "i"), ("oo", "u"), ("aa", "a"), ("w", "v"), ("z", "j"), ("ph", "f"), ("th", "t"), ("dh", "d"), ("bh", "b"), ("gh", "g"), ("kh", "k"), ("x", "ks"), ("c", "k"), ("y", "i"), ("h", "")):
         word = word.replace(a, b)
     return re.sub(r"(.)\1+", r"\1", word)
 
@@ -100,6 +103,19 @@ def word_cost(a: str, b: str) -> float | None:
     return None
 
 
+def short_form(a: str, b: str) -> bool:
+    """Whether a may be a short form of the given name b: by custom, or its stem begins b or, with three letters, stands in it."""
+    if IRREGULAR.get(a) == b:
+        return True
+    for ending in ("", *ENDINGS):
+        stem = a.removesuffix(ending) if ending and a.endswith(ending) else a if not ending else ""
+        if len(stem) > 2 and stem[-1] == stem[-2]:
+            stem = stem[:-1]
+        if len(stem) > 2 and len(stem) < len(b) and (b.startswith(stem) or (fold(stem) in fold(b)[1:] and len(fold(stem)) > 2)):
+            return True
+    return False
+
+
 def given_cost(a: str, b: str) -> float | None:
     """Cost of reading a as a form of the given name b."""
     if len(a) == 1:
@@ -108,9 +124,8 @@ def given_cost(a: str, b: str) -> float | None:
         return 0.0
     if b.startswith(a) and len(a) < len(b):
         return 0.4
-    if NICKNAMES.get(a) == b:
-        return 0.4
-    return word_cost(a, b) if len(a) > 3 else None
+    cost = word_cost(a, b) if len(a) > 3 else None
+    return 0.4 if (cost is None or cost > 0.4) and short_form(a, b) else cost
 
 
 def agreement(words: list[str], comma: bool, judge: bool, full: list[str]) -> float | None:
@@ -163,24 +178,80 @@ def vectors(names: DataFrame, weights: DataFrame) -> DataFrame:
     return raw.join(norm, "name").select("name", "gram", (F.col("w") / F.col("norm")).alias("w"))
 
 
-def similar(left: DataFrame, right: DataFrame, top: int = TOP, least: float = LEAST_COSINE) -> DataFrame:
-    """(name, other, cosine): for each name of left, its `top` nearest names of right with at least the given cosine."""
+def similar(left: DataFrame, right: DataFrame, top: int | None = TOP, least: float = LEAST_COSINE) -> DataFrame:
+    """(name, other, cosine): for each name of left, its `top` nearest names of right with at least the given cosine (None: all)."""
     scores = (
         left.join(right.select(F.col("name").alias("other"), "gram", F.col("w").alias("v")), "gram")
         .groupBy("name", "other")
         .agg(F.sum(F.col("w") * F.col("v")).alias("cosine"))
         .where(F.col("cosine") >= least)
     )
+    if top is None:
+        return scores
     order = Window.partitionBy("name").orderBy(F.desc("cosine"), "other")
     return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).drop("rank")
 
 
+def rare_part(vectors_: DataFrame, least: float) -> DataFrame:
+    """The grams of each vector, the heaviest first, without which the rest is too short for a cosine of `least`: two unit
+    vectors with that cosine share one of them."""
+    before = Window.partitionBy("name").orderBy(F.desc("w"), "gram").rowsBetween(Window.unboundedPreceding, -1)
+    rest = F.lit(1.0) - F.coalesce(F.sum(F.col("w") * F.col("w")).over(before), F.lit(0.0))
+    return vectors_.withColumn("rest", rest).where(F.col("rest") >= least * least - 1e-9).drop("rest")
+
+
+def alike(names: DataFrame, near: int = NEAREST, least: float = ALIKE) -> DataFrame:
+    """(name, other, cosine), name < other: pairs of spellings of which one is among the `near` nearest of the other.
+
+    names(name, block, gram, w): only spellings of one block are compared. Pairs meet in a gram of their rare parts, so
+    none with the least cosine is lost; their cosine is then taken over all grams.
+    """
+    rare = rare_part(names.select("name", "gram", "w").distinct(), least).select("name", "gram")
+    met = names.join(rare, ["name", "gram"]).select("block", "gram", "name", "w")
+    pairs = met.select("block", "gram", "name").join(met.select("block", "gram", F.col("name").alias("other")), ["block", "gram"]).where("name < other").select("name", "other").distinct()
+    full = names.groupBy("name").agg(F.map_from_entries(F.collect_set(F.struct("gram", "w"))).alias("v"))  # a name's few grams
+    dot = F.aggregate(F.map_entries("v"), F.lit(0.0), lambda acc, e: acc + e["value"] * F.coalesce(F.try_element_at("u", e["key"]), F.lit(0.0)))
+    scored = pairs.join(full, "name").join(full.select(F.col("name").alias("other"), F.col("v").alias("u")), "other").select("name", "other", dot.alias("cosine")).where(F.col("cosine") >= least)
+    both = scored.unionByName(scored.select(F.col("other").alias("name"), F.col("name").alias("other"), "cosine"))
+    order = Window.partitionBy("name").orderBy(F.desc("cosine"), "other")
+    kept = both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= near)
+    return kept.select(F.least("name", "other").alias("name"), F.greatest("name", "other").alias("other"), "cosine").distinct()
+
+
+def average_linkage(names: DataFrame, pairs: DataFrame, least: float = LEAST_LINKAGE) -> DataFrame:
+    """(name, group): groups of names by average linkage over the given similarities; absent pairs count as 0.
+
+    Each round merges all pairs of groups that are each other's nearest with a mean of at least `least`; as such merges
+    don't change which groups are nearest to others for the better, the result is that of merging one pair at a time. It ends
+    when no pair is left. A group is named by its least name.
+    """
+    groups = written(names.select("name", F.col("name").alias("group"), F.lit(1).cast("long").alias("one")).distinct())
+    edges = written(pairs.select(F.col("name").alias("a"), F.col("other").alias("b"), F.col("cosine").alias("sum")))
+    sizes = groups.select(F.col("group").alias("g"), F.col("one").alias("size"))
+    while True:
+        sized = edges.join(sizes.select(F.col("g").alias("a"), F.col("size").alias("size_a")), "a").join(sizes.select(F.col("g").alias("b"), F.col("size").alias("size_b")), "b")
+        close = sized.withColumn("mean", F.col("sum") / (F.col("size_a") * F.col("size_b"))).where(F.col("mean") >= least)
+        ways = close.select("a", "b", "mean").unionByName(close.select(F.col("b").alias("a"), F.col("a").alias("b"), "mean"))
+        best = ways.groupBy("a").agg(F.min_by("b", F.struct(-F.col("mean"), F.least("a", "b"), F.greatest("a", "b"))).alias("b"))
+        back = best.select(F.col("b").alias("a"), F.col("a").alias("b"))
+        merged = written(best.join(back, ["a", "b"]).where("a < b").select(F.col("b").alias("from"), F.col("a").alias("into")))
+        if merged.isEmpty():
+            return groups.select("name", "group")
+        renamed = lambda df, c: df.join(merged.withColumnRenamed("from", c), c, "left").withColumn(c, F.coalesce("into", c)).drop("into")  # noqa: B023, E731
+        groups = written(renamed(groups, "group"))
+        moved = renamed(renamed(edges, "a"), "b").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sum")
+        edges = written(moved.groupBy("a", "b").agg(F.sum("sum").alias("sum")))
+        sizes = groups.groupBy(F.col("group").alias("g")).agg(F.count(F.lit(1)).alias("size"))
+
+
 def link_names(names: DataFrame, register: DataFrame) -> DataFrame:
     """(name, judge_id, cost, linkage) for the distinct spellings in names(name) that mean a person of register(judge_id, full_name).
 
-    Null and blank names, names that fit no person, and names that fit several persons equally well have no row. Equal
-    names in the register fit equally well, so none of them is linked.
+    Null and blank names, names that fit no person, and names whose group has no clear nearest among the persons they fit
+    equally well, or that are a mere surname of several, have no row. Equal names in the register fit equally well, so none of them is linked. Other columns are
+    ignored; empty tables give no rows.
     """
+    spread = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = names.where(F.trim("name") != "").select("name").distinct()
     people = one_per_key(register, "judge_id").where(F.col("full_name").isNotNull()).select("judge_id", F.col("full_name").alias("name"))
     count = people.count()
@@ -190,42 +261,37 @@ def link_names(names: DataFrame, register: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("df"))
         .select("gram", (F.log(F.lit(count + 1.0) / F.col("df")) + 0.1).alias("idf"))
     )
-    variants = checkpointed(vectors(names, weights))
+    # few bytes but much work behind: spread by number, which adaptive execution leaves alone
+    variants = checkpointed(vectors(names, weights).repartition(spread, "name"))
     known = checkpointed(vectors(people.select("name").distinct(), weights))
-    near = similar(variants, known)
 
     def agree(batches: Iterator) -> Iterator:
         for pdf in batches:
             read = {n: parts(n) for n in pdf["name"].unique()}
             pdf["cost"] = [agreement(*read[n], [w.lower() for w in plain(o).split()]) for n, o in zip(pdf["name"], pdf["other"], strict=True)]
+            pdf["alone"] = [len(read[n][0]) < 2 for n in pdf["name"]]
             yield pdf[pdf["cost"].notna()]
 
-    schema = T.StructType(near.schema.fields + [T.StructField("cost", T.DoubleType())])
-    fitting = near.repartition(F.col("name")).mapInPandas(agree, schema).join(people.select("judge_id", F.col("name").alias("other")), "other")
+    def fitted(near: DataFrame) -> DataFrame:
+        schema = T.StructType(near.schema.fields + [T.StructField("cost", T.DoubleType()), T.StructField("alone", T.BooleanType())])
+        return near.mapInPandas(agree, schema)
+
+    first = checkpointed(fitted(similar(variants, known)))
+    left = variants.join(first.select("name").distinct(), "name", "left_anti")
+    rest = fitted(similar(left, known, None, 0.0))  # beyond the top n: every person that shares an n-gram
     best = Window.partitionBy("name")
+    fitting = first.unionByName(rest).join(people.select("judge_id", F.col("name").alias("other")), "other")
     fitting = checkpointed(
-        fitting.withColumn("least", F.min("cost").over(best)).where(F.col("cost") <= F.col("least") + 0.01).drop("least")
+        fitting.withColumn("least", F.min("cost").over(best)).where(F.col("cost") <= F.col("least") + 0.01).drop("least").withColumn("n", F.count(F.lit(1)).over(best))
     )
-    linked = fitting.withColumn("n", F.count(F.lit(1)).over(best)).where("n = 1").select("name", "judge_id", "cost")
-    seeds = people.select("name", "judge_id")
-    every = variants.unionByName(known).dropDuplicates(["name", "gram"])
-    for _ in range(ROUNDS):
-        groups = linked.select("name", "judge_id").unionByName(seeds).distinct()
-        sizes = groups.groupBy("judge_id").agg(F.count(F.lit(1)).alias("size"))
-        sums = groups.join(every, "name").groupBy("judge_id", "gram").agg(F.sum("w").alias("s"))
-        mean = (
-            fitting.select("name", "judge_id", "cost")
-            .join(variants, "name")
-            .join(sums, ["judge_id", "gram"])
-            .groupBy("name", "judge_id", "cost")
-            .agg(F.sum(F.col("w") * F.col("s")).alias("dot"))
-            .join(sizes, "judge_id")
-            .withColumn("linkage", F.col("dot") / F.col("size"))
-            .where(F.col("linkage") >= LEAST_LINKAGE)
-        )
-        ranked = mean.withColumn("n", F.count(F.lit(1)).over(best))
-        linked = checkpointed(ranked.where("n = 1").select("name", "judge_id", "cost", "linkage"))
-    return linked
+    compared = fitting.select("name", F.col("judge_id").alias("block")).join(variants, "name")
+    groups = average_linkage(fitting.select("name"), alike(compared))
+    members = fitting.join(groups, "name")
+    sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
+    linkage = members.groupBy("group", "judge_id").agg(F.sum("cosine").alias("sum")).join(sizes, "group").select("group", "judge_id", (F.col("sum") / F.col("size")).alias("linkage"))
+    ranked = members.join(linkage, ["group", "judge_id"]).withColumn("next", F.lead("linkage").over(best.orderBy(F.desc("linkage"), "judge_id"))).withColumn("place", F.row_number().over(best.orderBy(F.desc("linkage"), "judge_id")))
+    clear = F.col("next").isNull() | (~F.col("alone") & (F.col("linkage") - F.col("next") >= LEAD))
+    return ranked.where((F.col("place") == 1) & clear).select("name", "judge_id", "cost", "linkage")
 
 
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:

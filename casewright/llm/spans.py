@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..sources.tables import checkpointed, fits, table
+from ..sources.tables import checkpointed, fits, table, written
 
 LEAST = 200
 RUN = 32
@@ -276,14 +276,14 @@ def passage_classes(df: DataFrame, key: str, text: str, least: int = LEAST) -> D
     passages = on.groupBy("window").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("tid").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("tid")).alias("xor"), F.min("tid").alias("least"))
     passage = F.struct("size", "sum", "xor").alias("passage")
     held = checkpointed(on.join(passages, "window").select("tid", passage, F.hex("least").alias("least")).distinct())
-    edges = checkpointed(held.select(F.hex("tid").alias("u"), F.col("least").alias("v")).where("u <> v").distinct())
+    edges = written(held.select(F.hex("tid").alias("u"), F.col("least").alias("v")).where("u <> v").distinct())
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    labels = checkpointed(both.select("u", F.col("u").alias("label")).distinct())
+    labels = written(both.select("u", F.col("u").alias("label")).distinct())
     while True:
         near = both.join(labels.select(F.col("u").alias("v"), "label"), "v").groupBy("u").agg(F.min("label").alias("near"))
         stepped = labels.join(near, "u").select("u", "label", F.least("label", "near").alias("next"))
         jump = labels.select(F.col("u").alias("next"), F.col("label").alias("far"))
-        new = checkpointed(stepped.join(jump, "next").select("u", F.least("next", "far").alias("label"), (F.col("label") != F.least("next", "far")).alias("moved")))
+        new = written(stepped.join(jump, "next").select("u", F.least("next", "far").alias("label"), (F.col("label") != F.least("next", "far")).alias("moved")))
         labels = new.select("u", "label")
         if new.where("moved").isEmpty():
             break

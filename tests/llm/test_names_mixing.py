@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from casewright.llm import mixing, names
 
 REGISTER = [("J1", "Anthony Vashobhat"), ("J2", "Benjamin Vikram Yethulkar"), ("J3", "Padmini Yethulkar"), ("J4", "Rajendra Koroprak"), ("J5", "Tarun Baskuvalli"), ("J6", "Twin Samename"), ("J7", "Twin Samename"), (None, "No Key"), ("J8", None)]
@@ -16,6 +18,57 @@ def test_names(spark):
     assert names.link_names(df.where("false"), reg).count() == 0 and names.link_names(df, reg.where("false")).count() == 0
 
 
+def test_linkage_decides(spark):
+    # an initial fits both judges; the spellings around it are one judge's
+    reg = spark.createDataFrame([("J1", "Meera Anandkumar Koroprak"), ("J2", "Mohan Anandkumar Koroprak")], "judge_id string, full_name string")
+    near = ["M. Anandk. Koroprak", "Moha. Anandk. Koroprak"]
+    df = spark.createDataFrame([(n,) for n in near], "name string")
+    old = names.average_linkage
+    got = {r["name"]: r["judge_id"] for r in names.link_names(df, reg).collect()}
+    names.average_linkage = lambda n, pairs, least=2.0: old(n, pairs, least)  # every name a group of its own
+    try:
+        alone = {r["name"]: r["judge_id"] for r in names.link_names(df, reg).collect()}
+    finally:
+        names.average_linkage = old
+    assert got == dict.fromkeys(near, "J2") and alone == {near[1]: "J2"}
+
+
+def test_average_linkage_against_one_by_one(spark):
+    import itertools
+    import random
+
+    rng = random.Random(4)
+    ids = [f"n{i:02}" for i in range(14)]
+    sims = {(a, b): rng.random() for a, b in itertools.combinations(ids, 2) if rng.random() < 0.6}
+    groups = [{i} for i in ids]
+    mean = lambda g, h: sum(sims.get((min(a, b), max(a, b)), 0) for a in g for b in h) / (len(g) * len(h))
+    while len(groups) > 1:
+        m, g, h = max(((mean(g, h), sorted(g), sorted(h)) for g, h in itertools.combinations(groups, 2)), key=lambda x: x[0])
+        if m < 0.35:
+            break
+        groups = [x for x in groups if x not in (set(g), set(h))] + [set(g) | set(h)]
+    got = {}
+    for r in names.average_linkage(spark.createDataFrame([(i,) for i in ids], "name string"), spark.createDataFrame([(a, b, s) for (a, b), s in sims.items()], "name string, other string, cosine double")).collect():
+        got.setdefault(r["group"], set()).add(r["name"])
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups))
+
+
+def test_alike_loses_no_pair(spark):
+    near = ["Anthony Vashobhat", "Antony Vashobhat", "A. Vashobhat", "Benjamin Yethulkar", "Benjmin Yetulkar", "Padmini Yethulkar", "Vashobat Anthony"]
+    df = spark.createDataFrame([(n,) for n in near], "name string")
+    weights = df.select(F.explode(names.grams(F.col("name"))).alias("gram")).groupBy("gram").agg((F.log(8.0 / F.count(F.lit(1))) + 0.1).alias("idf"))
+    v = names.vectors(df, weights)
+    brute = {(r["name"], r["other"]) for r in names.similar(v, v, None, 0.5).where("name < other").collect()}
+    assert {(r["name"], r["other"]) for r in names.alike(v.withColumn("block", F.lit(1)), 99, 0.5).collect()} == brute
+
+
+def test_short_forms():
+    for a, b in (("raju", "rajendra"), ("benny", "benjamin"), ("tony", "anthony"), ("becky", "rebecca"), ("lottie", "charlotte"), ("shyam", "ghanshyam"), ("bob", "robert"), ("kate", "katherine"), ("venky", "venkatesh")):
+        assert names.short_form(a, b), (a, b)
+    for a, b in (("zubin", "anthony"), ("usha", "sunanda"), ("farida", "padmini"), ("bill", "robert")):
+        assert not names.short_form(a, b), (a, b)
+
+
 def test_flow():
     total, routes = mixing.plan({("a",): 100, ("b",): 100, ("a", "b"): 50}, {"a": 0.5, "b": 0.5}, {"a": 1, "b": 1})
     assert total == 250 and sum(routes.values()) >= 248
