@@ -48,3 +48,13 @@ def length_class(pages: Column) -> Column:
 
 def is_criminal(case_number: Column) -> Column:
     return F.coalesce(case_number.rlike(r"(?i)\bCRIMINAL\b|\bCRL\b"), F.lit(False))
+
+
+#: The forms in which question sets write dates.
+QUESTION_FORMS = ("d MMMM yyyy", "d MMMM, yyyy", "MMMM d, yyyy", "d-M-yyyy", "d.M.yyyy", "yyyy-M-d", "d/M/yyyy")
+
+
+def question_date(text: Column) -> Column:
+    """The day of a question set's date in the first form that fits, ordinal endings left out; null if none does."""
+    plain = F.initcap(F.trim(F.regexp_replace(text, r"(\d+)(?:st|nd|rd|th)", "$1")))
+    return F.coalesce(*[F.try_to_date(plain, form) for form in QUESTION_FORMS])

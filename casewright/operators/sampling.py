@@ -53,20 +53,40 @@ def described(df: DataFrame) -> DataFrame:
     return sets.select(at.alias("measure"), F.coalesce(*names).alias("value"), "n").where("value IS NOT NULL")
 
 
+#: Words of case names that tell nothing, and words that stand on one side of thousands of cases.
+COMMON = (
+    "state union india others another anr ors versus through limited private company singh kumar govt government secretary ltd "
+    "andhra arunachal assam bihar chhattisgarh goa gujarat haryana himachal jharkhand karnataka kerala madhya maharashtra manipur "
+    "meghalaya mizoram nagaland odisha orissa punjab rajasthan sikkim tamil nadu telangana tripura uttar uttarakhand pradesh west "
+    "bengal delhi jammu kashmir ladakh chandigarh puducherry pondicherry territory national capital commissioner principal income "
+    "central excise customs service director general collector deputy assistant officer registrar chief department ministry inspector "
+    "police station investigation bureau authority board corporation municipal appellant respondent petitioner anor etc"
+).split()
+
+
 def name_words(name: Column) -> Column:
-    """Distinctive words of a party: four letters or more, without the commonest."""
-    common = F.array(*[F.lit(w) for w in "state union india others another limited company private through government".split()])
-    return F.array_distinct(F.filter(F.split(F.lower(name), "[^a-z]+"), lambda w: (F.length(w) >= 4) & ~F.array_contains(common, w)))
+    """Distinctive words of a case's name or a party: runs of four letters or more, without the common ones."""
+    return F.array_except(F.array_distinct(F.regexp_extract_all(F.lower(name), F.lit("[a-z]{4,}"), F.lit(0))), F.array(*[F.lit(w) for w in COMMON]))
 
 
 def match_questions(questions: DataFrame, judgments: DataFrame) -> DataFrame:
-    """(question_id, path): the judgment of a question's case: decided on the same day, sharing a distinctive word on both
-    sides, and sharing most words of all such, without a tie. questions(question_id, petitioner, respondent, date);
-    judgments(path, petitioner, respondent, date)."""
-    j = judgments.select("path", "date", name_words(F.col("petitioner")).alias("jp"), name_words(F.col("respondent")).alias("jr"))
-    q = questions.select("question_id", "date", name_words(F.col("petitioner")).alias("qp"), name_words(F.col("respondent")).alias("qr"))
-    left, right = F.size(F.array_intersect("qp", "jp")), F.size(F.array_intersect("qr", "jr"))
-    both = q.join(j, "date").where((left > 0) & (right > 0)).withColumn("score", left + right)
-    best = both.groupBy("question_id").agg(F.max("score").alias("most"))
-    top = both.join(best, "question_id").where("score = most").groupBy("question_id").agg(F.min("path").alias("path"), F.count(F.lit(1)).alias("n"))
+    """(question_id, path): the judgment of a question's case.
+
+    It was decided on the same day, its title shares a word with each side of the case's name that has a distinctive one (in
+    whatever order the sides stand), and most words of all such, without a tie. questions(question_id, case_name, date), the
+    date in any of seven written forms; judgments(path, title, day). Questions and judgments meet in a day and a word, so a
+    busy day is spread over its words. Null names, titles and days match nothing.
+    """
+    j = judgments.select("path", F.col("day"), name_words(F.col("title")).alias("words")).where("day IS NOT NULL AND size(words) > 0")
+    sides = F.filter(F.transform(F.split("case_name", r"(?i)\s+(?:vs?\.?|versus)\s+"), name_words), lambda w: F.size(w) > 0)
+    q = questions.select("question_id", dates.question_date(F.col("date")).alias("day"), sides.alias("sides")).where("day IS NOT NULL AND size(sides) > 0")
+    met = (
+        q.select("question_id", "day", F.explode(F.array_distinct(F.flatten("sides"))).alias("word"))
+        .join(j.select("path", "day", F.explode("words").alias("word")), ["day", "word"])
+        .groupBy("question_id", "path")
+        .agg(F.count(F.lit(1)).alias("score"))
+    )
+    agreed = met.join(q.select("question_id", "sides"), "question_id").join(j.select("path", "words"), "path").where(F.forall("sides", lambda w: F.arrays_overlap(w, F.col("words"))))
+    best = agreed.groupBy("question_id").agg(F.max("score").alias("most"))
+    top = agreed.join(best, "question_id").where("score = most").groupBy("question_id").agg(F.min("path").alias("path"), F.count(F.lit(1)).alias("n"))
     return top.where("n = 1").select("question_id", "path")

@@ -19,73 +19,103 @@ def hash_vectors(df: DataFrame, key: str, text: str, size: int = 256) -> DataFra
     return df.select(key).distinct().join(sparse, key, "left").select(key, F.coalesce(full, F.array_repeat(F.lit(0.0), size)).alias("vector"))
 
 
-def nearest(points: DataFrame, queries: DataFrame, k: int, id_: str = "vec_id", vector: str = "embedding", block: int = 512) -> DataFrame:
+def filtered(points: DataFrame, statutes: list[str] | None = None, case_id: str | None = None, substantive_only: bool = True) -> DataFrame:
+    """The points that a search may return: substantive ones (null counts as so), of one case, that cite one of some provisions
+    under their old or new number. points(substantive, case_id, statutes, statutes_current); the filters reach the scan."""
+    out = points.where(F.coalesce("substantive", F.lit(True))) if substantive_only else points
+    if case_id is not None:
+        out = out.where(F.col("case_id") == case_id)
+    if statutes:
+        asked = F.array(*[F.lit(s) for s in statutes])
+        out = out.where(F.coalesce(F.arrays_overlap("statutes", asked), F.lit(False)) | F.coalesce(F.arrays_overlap("statutes_current", asked), F.lit(False)))
+    return out
+
+
+#: Bytes of queries that every worker holds for one scan of the points, and queries multiplied at once.
+HELD_QUERIES, BLOCK = 64 << 20, 512
+
+
+def nearest(points: DataFrame, queries: DataFrame, k: int, id_: str = "vec_id", vector: str = "embedding", held: int = HELD_QUERIES) -> DataFrame:
     """(query_id, id, score, rank): for each query its k nearest points by cosine, ties by id.
 
-    queries(query_id, query_vector) are sent to every worker in blocks of a fixed number of rows; each partition of points
-    multiplies matrices and keeps its own k best of each query, so only k rows a query and partition are shuffled. Null
-    vectors, and vectors of another length than the queries', take no part.
+    queries(query_id, query_vector) are sent to every worker up to a fixed number of bytes for one scan of the points (more queries
+    take further scans); each partition of points multiplies matrices block by block and keeps its own k best of each
+    query, so only k rows a query and partition are shuffled. Null vectors take no part; vectors of different lengths don't
+    meet. Ids and query ids are of any type.
     """
-    rows = queries.where("query_vector IS NOT NULL")
-    n = rows.count()
+    rows = queries.where("query_vector IS NOT NULL").select("query_id", "query_vector")
+    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(8 * F.size("query_vector")), F.lit(0))).first()
+    scans = max(1, -(-int(size) // held))
     out = None
-    for part in range(max(1, -(-n // block))):
-        if n > block:
-            mine = rows.where(F.pmod(F.xxhash64("query_id"), F.lit(-(-n // block))) == part).collect()
-        else:
-            mine = rows.collect()
-        found = _block(points, mine, k, id_, vector)
+    for part in range(scans):
+        mine = rows.where(F.pmod(F.xxhash64("query_id"), F.lit(scans)) == part) if scans > 1 else rows
+        found = _scan(points, mine.collect(), k, id_, vector, rows)  # at most about the bytes held
         out = found if out is None else out.unionByName(found)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), id_)
     return out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
-def _block(points: DataFrame, mine: list, k: int, id_: str, vector: str) -> DataFrame:
-    shared = points.sparkSession.sparkContext.broadcast([(r["query_id"], list(r["query_vector"])) for r in mine])  # a block
+def _scan(points: DataFrame, mine: list, k: int, id_: str, vector: str, queries: DataFrame) -> DataFrame:
+    shared = points.sparkSession.sparkContext.broadcast([(r["query_id"], list(r["query_vector"])) for r in mine])
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pandas as pd
 
-        names = [q for q, _ in shared.value]
-        if not names:
-            return
-        matrix = np.array([v for _, v in shared.value], np.float64)
-        matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
+        by_size: dict[int, list] = {}
+        for q, v in shared.value:
+            by_size.setdefault(len(v), []).append((q, v))
+        blocks = {}
+        for size, asked in by_size.items():
+            matrix = np.array([v for _, v in asked], np.float64)
+            names = np.empty(len(asked), dtype=object)
+            names[:] = [q for q, _ in asked]
+            blocks[size] = names, matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
         for pdf in batches:
-            pdf = pdf[[v is not None and len(v) == matrix.shape[1] for v in pdf[vector]]]
-            if not len(pdf):
-                continue
-            data = np.stack(pdf[vector].to_numpy()).astype(np.float64)
-            data /= np.maximum(np.linalg.norm(data, axis=1, keepdims=True), 1e-300)
-            score = matrix @ data.T
-            keys = pdf[id_].to_numpy()
-            top = np.lexsort((np.broadcast_to(keys, score.shape), -score), axis=1)[:, :k]
-            yield pd.DataFrame({"query_id": np.repeat(np.array(names, dtype=object), top.shape[1]), id_: keys[top].ravel(), "score": np.take_along_axis(score, top, 1).ravel()})
+            sizes = np.array([-1 if v is None else len(v) for v in pdf[vector]], int)
+            for size, (names, matrix) in blocks.items():
+                mine = pdf[sizes == size]
+                if not len(mine):
+                    continue
+                data = np.stack(mine[vector].to_numpy()).astype(np.float64)
+                data /= np.maximum(np.linalg.norm(data, axis=1, keepdims=True), 1e-300)
+                keys = mine[id_].to_numpy()
+                for at in range(0, len(names), BLOCK):
+                    score = np.round(matrix[at : at + BLOCK] @ data.T, 9)
+                    top = np.lexsort((np.broadcast_to(keys, score.shape), -score), axis=1)[:, :k]
+                    yield pd.DataFrame({"query_id": np.repeat(names[at : at + BLOCK], top.shape[1]), id_: keys[top].ravel(), "score": np.take_along_axis(score, top, 1).ravel()})
 
     kinds = dict(points.dtypes)
-    return points.select(id_, vector).mapInPandas(run, f"query_id long, {id_} {kinds[id_]}, score double")
+    return points.select(id_, vector).mapInPandas(run, f"query_id {dict(queries.dtypes)['query_id']}, {id_} {kinds[id_]}, score double")
 
 
-def measures(hits: DataFrame, questions: DataFrame, k: int) -> DataFrame:
-    """(questions, hit_at_k, mrr, drm_at_k): hits(question, rank, case_id, paragraph_num, para_end, opinion_index,
-    doc_type) against questions(question, case_id, paragraphs, opinion_index).
+def judged(hits: DataFrame, questions: DataFrame, k: int) -> DataFrame:
+    """(question, wanted, first, got, wrong, seen): of each question the rank of its first right hit among k, how many hits it got,
+    how many of them are of another case, and the cases of the first three.
 
-    A hit covers a question if it is a passage of the right case (and opinion, if given) and holds one of its paragraphs
-    (any passage will do if none are given). Without questions or hits the measures are 0.
+    hits(question, rank, case_id, paragraph_num, para_end, opinion_index, doc_type); questions(question, case_id, paragraphs,
+    opinion_index). A hit is right if it is a passage of the right case (and opinion, if given) and holds one of the
+    paragraphs; where none are given, any judgment of the case will do.
     """
-    q = questions.select("question", F.col("case_id").alias("want_case"), "paragraphs", F.col("opinion_index").alias("want_opinion"))
+    q = questions.select("question", F.col("case_id").alias("wanted"), "paragraphs", F.col("opinion_index").alias("want_opinion"))
     top = hits.where(F.col("rank") <= k)
-    holds = (F.coalesce(F.size("paragraphs"), F.lit(0)) <= 0) | F.exists("paragraphs", lambda p: p.between(F.col("paragraph_num"), F.col("para_end")))
-    right = (F.col("case_id") == F.col("want_case")) & (F.col("want_opinion").isNull() | (F.col("want_opinion") == F.col("opinion_index"))) & (F.col("doc_type") == "judgment")
-    joined = q.join(top, "question", "left")
-    by = joined.groupBy("question").agg(
-        F.min(F.when(right & holds, F.col("rank"))).alias("first"),
+    none = F.coalesce(F.size("paragraphs"), F.lit(0)) <= 0
+    holds = F.when(none, F.col("doc_type") == "judgment").otherwise(F.exists("paragraphs", lambda p: p.between(F.col("paragraph_num"), F.col("para_end"))))
+    right = (F.col("case_id") == F.col("wanted")) & (F.col("want_opinion").isNull() | (F.col("want_opinion") == F.col("opinion_index"))) & holds
+    seen = F.array_sort(F.collect_list(F.when(F.col("rank") <= 3, F.struct("rank", F.coalesce("case_id", F.lit("?")).alias("case")))))  # three a question
+    return q.join(top, "question", "left").groupBy("question").agg(
+        F.any_value("wanted").alias("wanted"),
+        F.min(F.when(right, F.col("rank"))).alias("first"),
         F.count("rank").alias("got"),
-        F.count_if(F.col("case_id") != F.col("want_case")).alias("wrong"),
+        F.count_if(F.col("case_id") != F.col("wanted")).alias("wrong"),
+        F.array_join(F.transform(seen, lambda x: x["case"]), ",").alias("seen"),
     )
+
+
+def measures(hits: DataFrame, questions: DataFrame, k: int) -> DataFrame:
+    """(questions, hit_at_k, mrr, drm_at_k) of hits and questions as for `judged`; without any the measures are 0."""
     n = F.greatest(F.count(F.lit(1)), F.lit(1))
-    return by.agg(
+    return judged(hits, questions, k).agg(
         F.count(F.lit(1)).alias("questions"),
         F.round(F.count("first") / n, 6).alias("hit_at_k"),
         F.round(F.coalesce(F.sum(1.0 / F.col("first")), F.lit(0.0)) / n, 6).alias("mrr"),
@@ -93,6 +123,11 @@ def measures(hits: DataFrame, questions: DataFrame, k: int) -> DataFrame:
     )
 
 
+def misses(hits: DataFrame, questions: DataFrame, k: int) -> DataFrame:
+    """(question, wanted, got): the questions without a right hit among k, with the cases of the first hits or `nothing`."""
+    return judged(hits, questions, k).where("first IS NULL").select("question", "wanted", F.when(F.col("seen") == "", "nothing").otherwise(F.col("seen")).alias("got"))
+
+
 def keyword_search(df: DataFrame, text: str, words: list[str]) -> DataFrame:
     """Rows whose text holds all the words, in any order and case."""
     have = F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+")

@@ -23,6 +23,9 @@ def test_statutes():
 def test_cases():
     (written, name, _, keys), = extract.cases("See Jacob Mathew v. State of Punjab, (2005) 6 SCC 1 : AIR 2005 SC 3180.")
     assert written == ["(2005) 6 SCC 1", "AIR 2005 SC 3180"] and name == "Jacob Mathew v. State of Punjab" and keys[0] == "2005-6-scc-1"
+    (first, second) = extract.cases("and the end. M/s. Ram Lal & Co. Ltd. v. Union of India reported in [1999] 3 SCR 22; see Hari Singh vs. State (2001) 1 SCC 5 = 2001 SCC (Cri) 77")
+    assert first[:2] == (["(1999) 3 SCR 22"], "M/s. Ram Lal & Co. Ltd. v. Union of India") and second[:2] == (["(2001) 1 SCC 5", "2001 SCC (Cri) 77"], "Hari Singh v. State")
+    assert [c[1] for c in extract.cases("It was held there. Gopal v. State, AIR 1950 SC 27, 2000 INSC 1; " + "x" * 200 + " v. State AIR 1951 SC 3")] == ["Gopal v. State", None]
     assert extract.cases("nothing here") == [] and extract.cases(None) == []
     assert [c[0] for c in extract.cases("2005 INSC 384 and [1990] 2 WLR 9")] == [["2005 INSC 384"], ["[1990] 2 WLR 9"]]
 
@@ -237,10 +240,19 @@ def test_search_and_measures(spark):
     q = spark.createDataFrame([(7, [1.0, 0.0])], "query_id long, query_vector array<double>")
     assert [r["vec_id"] for r in vectors.nearest(points, q, 3).orderBy("rank").collect()] == [1, 5, 2]
     assert vectors.nearest(points, q.where("false"), 3).count() == 0
+    named = spark.createDataFrame([(f"q{i}", [1.0, float(i)]) for i in range(40)] + [("none", None), ("short", [1.0])], "query_id string, query_vector array<double>")
+    one = {(r["query_id"], r["vec_id"], r["rank"]) for r in vectors.nearest(points, named, 2).collect() if r["query_id"] != "short"}
+    many = {(r["query_id"], r["vec_id"], r["rank"]) for r in vectors.nearest(points, named.where("query_id <> 'short'"), 2, held=64).collect()}
+    assert one <= many and len(many) == 80
+    full = spark.createDataFrame([(1, True, "a", ["IPC:302"], []), (2, None, "a", None, ["IPC:302"]), (3, False, "a", ["IPC:302"], []), (4, True, "b", ["IPC:1"], None)], "vec_id int, substantive boolean, case_id string, statutes array<string>, statutes_current array<string>")
+    of = lambda **k: sorted(r["vec_id"] for r in vectors.filtered(full, **k).collect())
+    assert of() == [1, 2, 4] and of(statutes=["IPC:302"]) == [1, 2] and of(case_id="b") == [4] and of(substantive_only=False, statutes=["IPC:302"]) == [1, 2, 3]
     hits = spark.createDataFrame([(1, r, c, p, p, 0, "judgment") for r, c, p in [(1, "x", 1), (2, "a", 4)]] + [(2, r, "x", 1, 1, 0, "judgment") for r in (1, 2)], "question int, rank int, case_id string, paragraph_num int, para_end int, opinion_index int, doc_type string")
     asked = spark.createDataFrame([(1, "a", [4], None), (2, "a", [4], None)], "question int, case_id string, paragraphs array<int>, opinion_index int")
     m = vectors.measures(hits, asked, 3).first()
     assert (m["hit_at_k"], m["mrr"], m["drm_at_k"]) == (0.5, 0.25, 0.75)
+    assert [tuple(r) for r in vectors.misses(hits, asked, 3).collect()] == [(2, "a", "x,x")]
+    assert [r["got"] for r in vectors.misses(hits.where("false"), asked, 3).collect()] == ["nothing"] * 2 and vectors.measures(hits, asked.where("false"), 3).first()["questions"] == 0
     v = vectors.hash_vectors(spark.createDataFrame([(1, "a a b"), (2, ""), (3, None)], "id int, t string"), "id", "t").collect()
     assert {r["id"]: round(sum(x * x for x in r["vector"]), 6) for r in v} == {1: 1.0, 2: 0.0, 3: 0.0}
 
@@ -264,9 +276,13 @@ def test_sampling(spark):
     for r in got:
         eras[r["era"]] = eras.get(r["era"], 0) + 1
     assert eras == {"1950-1989": 20, "1990-2009": 20, "2010-2025": 20} and len({r["path"] for r in got}) == 60
-    j = spark.createDataFrame([("p1", "Ram Kumar", "State of Kerala", "2001-01-01"), ("p2", "Ram Kumar", "Asha Kumari", "2001-01-01")], "path string, petitioner string, respondent string, date string")
-    q = spark.createDataFrame([(1, "KUMAR & ORS", "ASHA KUMARI", "2001-01-01")], "question_id int, petitioner string, respondent string, date string")
-    assert [(r[0], r[1]) for r in sampling.match_questions(q, j).collect()] == [(1, "p2")]
+    day = dt.date(2001, 1, 9)
+    j = spark.createDataFrame([("p1", "Ramesh Kumar versus State of Kerala", day), ("p2", "Ramesh Kumar versus Ashalata Devi", day), ("p3", "Dilawar versus State of Haryana", day), ("p4", "Nilima Bose versus Union of India", dt.date(2002, 2, 2)), ("p5", None, day), ("p6", "Ravi Prakash versus Mohan", None)], "path string, title string, day date")
+    asked = [(1, "RAMESH KUMAR & ORS vs. ASHALATA DEVI", "9th January 2001"), (2, "Ashalata Devi v. Ramesh Kumar", "January 9, 2001"), (3, "Satpal vs. State of Haryana", "09-01-2001"), (4, "State v. Dilawar", "09.01.2001"),
+             (5, "Nilima Bose versus Union of India", "2 February, 2002"), (6, "Nilima Bose versus Union of India", "2001-01-09"), (7, None, "2001-01-09"), (8, "Ramesh v. Kumar", "9/1/2001"), (9, "Nilima", "some day")]
+    q = spark.createDataFrame(asked, "question_id int, case_name string, date string")
+    assert {(r[0], r[1]) for r in sampling.match_questions(q, j).collect()} == {(1, "p2"), (2, "p2"), (4, "p3"), (5, "p4")}
+    assert sampling.match_questions(q.where("false"), j).count() == 0
 
 
 def test_quality(spark):
