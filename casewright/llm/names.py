@@ -103,17 +103,24 @@ def word_cost(a: str, b: str) -> float | None:
     return None
 
 
-def short_form(a: str, b: str) -> bool:
-    """Whether a may be a short form of the given name b: by custom, or its stem begins b or, with three letters, stands in it."""
+def short_form(a: str, b: str) -> float | None:
+    """Cost of reading a as a short form of the given name b: by custom or because its stem begins b, or, dearer, because its
+    stem of three letters or more stands in b; None if it is none."""
     if IRREGULAR.get(a) == b:
-        return True
+        return 0.4
+    cost = None
     for ending in ("", *ENDINGS):
-        stem = a.removesuffix(ending) if ending and a.endswith(ending) else a if not ending else ""
+        if ending and not a.endswith(ending):
+            continue
+        stem = a.removesuffix(ending)
         if len(stem) > 2 and stem[-1] == stem[-2]:
             stem = stem[:-1]
-        if len(stem) > 2 and len(stem) < len(b) and (b.startswith(stem) or (fold(stem) in fold(b)[1:] and len(fold(stem)) > 2)):
-            return True
-    return False
+        if 2 < len(stem) < len(b):
+            if b.startswith(stem):
+                return 0.4
+            if len(fold(stem)) > 2 and fold(stem) in fold(b)[1:]:
+                cost = 0.6
+    return cost
 
 
 def given_cost(a: str, b: str) -> float | None:
@@ -125,7 +132,8 @@ def given_cost(a: str, b: str) -> float | None:
     if b.startswith(a) and len(a) < len(b):
         return 0.4
     cost = word_cost(a, b) if len(a) > 3 else None
-    return 0.4 if (cost is None or cost > 0.4) and short_form(a, b) else cost
+    short = short_form(a, b)
+    return cost if short is None else short if cost is None else min(short, cost)
 
 
 def agreement(words: list[str], comma: bool, judge: bool, full: list[str]) -> float | None:

@@ -180,7 +180,9 @@ def colliding_pieces(texts: DataFrame, keys: DataFrame, least: int = LEAST, run:
         met = side("right").join(side("left"), ["tid", "pos", "at", "begin", "size"], "full_outer")
         once = texts.dropDuplicates(["tid"])
         found = met.join(once, "tid").withColumn("piece", F.substring("text", F.col("begin") + 1, F.col("size")))
-    return checkpointed(found.select("tid", "pos", "at", "right", "left", "piece").dropDuplicates(["tid", "pos", "at", "piece"]))
+    # few bytes but much work behind: spread by number, which adaptive execution leaves alone
+    spread = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return checkpointed(found.select("tid", "pos", "at", "right", "left", "piece").repartition(spread, "tid", "pos").dropDuplicates(["tid", "pos", "at", "piece"]))
 
 
 def common(a: Column, b: Column) -> Column:
@@ -203,7 +205,7 @@ class Shared:
     def __init__(self, df: DataFrame, key: str, text: str, least: int = LEAST, run: int = RUN, held: int = HELD):
         self.least = least
         rows = df.select(F.col(key).alias("id"), F.col(text).alias("text")).where(F.col(key).isNotNull() & (F.length(text) >= least))
-        rows = rows.select("id", "text", F.unhex(F.md5(F.encode("text", "UTF-8"))).alias("tid"))
+        rows = rows.select("id", "text", F.unhex(F.md5("text")).alias("tid"))
         self.members = rows.select("tid", "id").distinct()
         keys = colliding_bands(rows.select(F.xxhash64("tid").alias("h"), "text"), least, run)
         self.pieces = colliding_pieces(rows.select("tid", "text"), keys, least, run, held)
@@ -213,7 +215,7 @@ class Shared:
         last = F.length("piece") - least
         high = F.when(F.col("right").isNotNull(), last).otherwise(F.least(last, F.col("at") - half))
         windows = self.pieces.where(low <= high).select("tid", "pos", "at", "piece", F.explode(F.sequence(low, high)).alias("k"))
-        windows = windows.select("tid", "pos", (F.col("pos") - F.col("at") + F.col("k")).alias("start"), F.unhex(F.md5(F.encode(F.substring("piece", F.col("k") + 1, F.lit(least)), "UTF-8"))).alias("window"))
+        windows = windows.select("tid", "pos", (F.col("pos") - F.col("at") + F.col("k")).alias("start"), F.unhex(F.md5(F.substring("piece", F.col("k") + 1, F.lit(least)))).alias("window"))
         met = windows.groupBy("window").agg(F.min(F.xxhash64("tid")).alias("a"), F.max(F.xxhash64("tid")).alias("z")).where("a <> z")
         self.windows = checkpointed(windows.join(met.select("window"), "window"))
 
