@@ -58,3 +58,20 @@ def question_date(text: Column) -> Column:
     """The day of a question set's date in the first form that fits, ordinal endings left out; null if none does."""
     plain = F.initcap(F.trim(F.regexp_replace(text, r"(\d+)(?:st|nd|rd|th)", "$1")))
     return F.coalesce(*[F.try_to_date(plain, form) for form in QUESTION_FORMS])
+
+
+#: What may stand before a date on a line of its own.
+DATE_PREFIX = r"(?i)^\W*(?:new\s+delhi|dated?|decided\s+on|date\s+of\s+judgment)\s*[:;,.-]*\s*"
+
+
+def repaired_year(text: Column) -> Column:
+    """A text whose years of four signs have letters that stand for digits (i, I, l, o, O) read as digits."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?<=[\s,])[iIlOo\d]{4}\b"), F.lit(0)))
+    return F.aggregate(found, text, lambda t, y: F.replace(t, y, F.translate(y, "iIlOo", "11100")))
+
+
+def date_line(line: Column) -> Column:
+    """The date of a line that holds nothing else but a place or up to four further signs; null for other lines."""
+    rest = F.regexp_replace(F.trim(line), DATE_PREFIX, "")
+    bare = F.regexp_replace(rest, rf"(?i)\b(?:{_MONTH}\s+\d{{1,2}}(?:st|nd|rd|th)?,?\s+(?:19|20)\d\d|\d{{1,2}}(?:st|nd|rd|th)?\s+(?:day\s+of\s+)?{_MONTH},?\s+(?:19|20)\d\d|\d{{1,2}}[./-]\d{{1,2}}[./-](?:19|20)\d\d)\b", "")
+    return F.when((F.length(bare) < F.length(rest)) & (F.length(bare) <= 4), parse_date(rest))

@@ -248,3 +248,61 @@ def same_surname(a: Column, b: Column) -> Column:
     ends = ((F.length(x) >= 5) & F.endswith(y, x)) | ((F.length(y) >= 5) & F.endswith(x, y))
     long = (F.length(x) >= 5) & (F.length(y) >= 5)
     return (x == y) | ends | (long & (likeness(x, y) >= 0.8))
+
+
+def letters(text: Column) -> Column:
+    """The letters a to z of a text in lower case."""
+    return F.regexp_replace(F.lower(text), "[^a-z]", "")
+
+
+def heading_key(text: Column) -> Column:
+    """The form in which headings are compared: cleaned, letters and digits only, single blanks."""
+    return F.trim(F.regexp_replace(F.lower(clean_heading(text)), "[^a-z0-9]+", " "))
+
+
+def known_heading(text: Column, known: Column) -> Column:
+    """Whether a line is one of the headings in known, an array of keys: equal, or one begins the other with twelve characters
+    or more, as a long heading wraps. Null and empty lines are none."""
+    key = heading_key(text)
+    long = F.length(key) >= 12
+    return F.coalesce((key != "") & F.exists(known, lambda k: (k == key) | (long & (F.length(k) >= 12) & (k.startswith(key) | key.startswith(k)))), F.lit(False))
+
+
+#: A judge named in a page's header, and words that such a bracket never holds.
+HEADER_JUDGE = r"(?i)[\[(]\s*(?:DR\.?\s+)?([A-Za-z][A-Za-z .&]{1,40}?),?\s*(?:C\.?\s?J\.?\s?I?|JJ?)\.?\s*[\])]\s*\W*\d{0,4}\W*$"
+NO_HEADER_JUDGE = r"(?i)\b(?:for|himself|herself|and|concurring|dissenting|majority|per)\b"
+
+
+def header_judge(line: Column) -> Column:
+    """The judge named in brackets at the end of a page's header; null for none."""
+    name = F.nullif(F.regexp_extract(line, HEADER_JUDGE, 1), F.lit(""))
+    return F.when(~name.rlike(NO_HEADER_JUDGE), F.trim(name))
+
+
+#: The running title of the official reports, and how like it a line's letters must be.
+REPORT_TITLE, REPORT_LIKENESS, NAME_LIKENESS = "SUPREMECOURTREPORTS", 0.72, 0.6
+
+
+def report_header(line: Column) -> Column:
+    """Whether a line is the running header of the official reports, however it was recognised; only lines with enough letters
+    leave the JVM."""
+    name = F.upper(F.regexp_replace(line, "[^A-Za-z]", ""))
+    asked = F.when(F.length(name) >= 15, F.substring(name, 1, 19))
+    return F.coalesce(likeness(asked, F.when(asked.isNotNull(), F.lit(REPORT_TITLE))) >= REPORT_LIKENESS, F.lit(False))
+
+
+def names_match(candidate: Column, judge: Column) -> Column:
+    """Whether a recognised name is like a judge's name or one of its words of three letters or more, by 0.6."""
+
+    @F.pandas_udf("boolean")
+    def of(a, b):
+        import pandas as pd
+
+        out = []
+        for x, y in zip(a, b, strict=True):
+            words = [] if y is None else [y, *(w for w in y.replace("&", " ").split() if len(w) >= 3)]
+            plain = lambda t: "".join(c for c in t.lower() if "a" <= c <= "z")
+            out.append(x is not None and any(ratio(plain(x), plain(w)) >= NAME_LIKENESS for w in words))
+        return pd.Series(out)
+
+    return of(candidate, judge)

@@ -83,3 +83,19 @@ def without_furniture(lines: DataFrame) -> DataFrame:
     kept = marked.where("NOT drop")
     first = F.row_number().over(order) == 1
     return kept.withColumn("gap", F.coalesce("gap", F.lit(False)) & ~F.col("after") & ~first).select(*lines.columns)
+
+
+#: Points of a recognised page, by its resolution of 300 to the inch.
+POINTS = 72 / 300
+
+
+def lines_of_words(words: DataFrame) -> DataFrame:
+    """(page_id, line_no, text, x0, top): the lines of recognised words(page_id, block, par, line, left, top, word), in order of their
+    place; blank words are left out. A page's lines are ordered by top and left."""
+    from pyspark.sql.window import Window
+
+    rows = words.where(F.trim("word") != "").groupBy("page_id", "block", "par", "line").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("left", "word"))), lambda x: x["word"]), " ").alias("text"), (F.min("left") * POINTS).alias("x0"), (F.min("top") * POINTS).alias("top")
+    )  # a line's words
+    order = Window.partitionBy("page_id").orderBy("top", "x0", "block", "par", "line")
+    return rows.select("page_id", (F.row_number().over(order) - 1).alias("line_no"), "text", "x0", "top")

@@ -101,3 +101,32 @@ def verdict(figures: DataFrame) -> DataFrame:
     out = figures.withColumn("reasons", F.array_compact(F.array(*found)))
     levels = F.transform("reasons", lambda r: r["level"])
     return out.withColumn("status", F.when(F.array_contains(levels, "reject"), "reject").when(F.array_contains(levels, "review"), "review").otherwise("ok"))
+
+
+def multiset_union(first: DataFrame, second: DataFrame, *keys: str) -> DataFrame:
+    """Counts of two multisets (keys, n) added up, with partial sums before the shuffle."""
+    return first.select(*keys, "n").unionByName(second.select(*keys, "n")).groupBy(*keys).agg(F.sum("n").alias("n"))
+
+
+def modal(df: DataFrame, group: str, value: str, order: str) -> DataFrame:
+    """(group, value, n): the most frequent value of each group, of equal ones the one that comes first; nulls don't count."""
+    each = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("_first"))
+    return each.groupBy(group).agg(F.max_by(value, F.struct("n", -F.col("_first"))).alias(value), F.max("n").alias("n"))
+
+
+def admitted(found: DataFrame, force: bool = False, only_ok: bool = False) -> DataFrame:
+    """found(case_id, file, status, doc_sha256) with `refused`, the reason for which a document isn't ingested; null admits it.
+
+    Of several files of one case the first is read; a rejected one needs force, one for review is refused if only sound ones
+    are asked for; a document that stands under an earlier case is a duplicate. Each gate sees what passed the one before.
+    """
+    from pyspark.sql.window import Window
+
+    rank = lambda key: F.row_number().over(Window.partitionBy(key).orderBy("case_id", "file"))
+    out = found.withColumn("refused", F.when(rank("case_id") > 1, "another file of the case"))
+    status = F.when((F.col("status") == "reject") & F.lit(not force), "rejected").when((F.col("status") == "review") & F.lit(only_ok), "for review")
+    out = out.withColumn("refused", F.coalesce("refused", status))
+    open_ = F.when(F.col("refused").isNull() & F.col("doc_sha256").isNotNull(), F.struct("case_id", "file"))
+    first = F.min(open_).over(Window.partitionBy("doc_sha256"))
+    double = F.when(open_.isNotNull() & (open_ > first) & F.lit(not force), "the document of another case")
+    return out.withColumn("refused", F.coalesce("refused", double))

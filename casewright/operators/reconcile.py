@@ -71,38 +71,33 @@ def _hashed(rows: DataFrame, buckets: int) -> DataFrame:
 
 
 def _evaluated(hashes: DataFrame) -> DataFrame:
-    """(bucket, n, at): size and values of each bucket's polynomial. Repeated rows count once."""
+    """(bucket, n, at): size and values of each bucket's polynomial. Repeated rows count once.
+
+    Rows come sorted by bucket, so a bucket is finished when the next begins and a task holds no more than one batch.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pandas as pd
 
         points = np.array(POINTS, np.uint64)
-        kept_g, kept_v, kept_n = [], [], []
-
-        def merged():
-            g, v, n = np.concatenate(kept_g), np.concatenate(kept_v), np.concatenate(kept_n)
-            order = np.argsort(g, kind="stable")
-            g, v, n = g[order], v[order], n[order]
+        g, v, n = np.zeros(0, np.int64), np.zeros((0, len(POINTS)), np.uint64), np.zeros(0, np.int64)
+        frame = lambda g, v, n: pd.DataFrame({"bucket": g, "n": n, "at": list(v.astype(np.int64))})
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            h = pdf["h"].to_numpy().astype(np.uint64)
+            factors = field61.reduce(points[None, :] + np.uint64(field61.P) - h[:, None])
+            g, v, n = np.concatenate([g, pdf["bucket"].to_numpy()]), np.concatenate([v, factors]), np.concatenate([n, np.ones(len(pdf), np.int64)])
             sizes = np.add.reduceat(n, np.flatnonzero(np.append(True, g[1:] != g[:-1])))
             g, v = field61.products(g, v)
-            return g, v, sizes
+            n = sizes
+            yield frame(g[:-1], v[:-1], n[:-1])
+            g, v, n = g[-1:], v[-1:], n[-1:]
+        if len(g):
+            yield frame(g, v, n)
 
-        for pdf in batches:
-            if len(pdf):
-                h = pdf["h"].to_numpy().astype(np.uint64)
-                factors = field61.reduce(points[None, :] + np.uint64(field61.P) - h[:, None])
-                kept_g.append(pdf["bucket"].to_numpy())
-                kept_v.append(factors)
-                kept_n.append(np.ones(len(pdf), np.int64))
-                g, v, n = merged()
-                kept_g, kept_v, kept_n = [g], [v], [n]
-        if kept_g:
-            g, v, n = merged()
-            for i in range(0, len(g), 10_000):
-                yield pd.DataFrame({"bucket": g[i : i + 10_000], "n": n[i : i + 10_000], "at": list(v[i : i + 10_000].astype(np.int64))})
-
-    one = hashes.select("bucket", "h").repartition("bucket").distinct()
+    one = hashes.select("bucket", "h").repartition("bucket").distinct().sortWithinPartitions("bucket")
     return one.mapInPandas(run, "bucket long, n long, at array<long>")
 
 

@@ -140,3 +140,37 @@ def prioritized(*sources: DataFrame, key: str) -> DataFrame:
         out = part if out is None else out.unionByName(part)
     row = F.struct(*[F.col(c) for c in sources[0].columns])
     return out.groupBy(key).agg(F.min_by(row, "_rank").alias("r")).select("r.*")
+
+
+#: Where a record's page holds its fields.
+HTML_FIELDS = {"coram": r"(?s)Coram\s*:\s*(.*?)</strong>", "case_number": r"Case No :</span><font[^>]*>\s*(.*?)</font>", "bench_size": r"Bench :</span><font[^>]*>\s*(\d+)", "headnote": r"(?s)</strong><br>(.*?)<br><strong class='caseDetailsTD'"}
+HEADNOTE_LENGTH = 600
+
+
+def html_fields(html: Column) -> Column:
+    """struct(bench, author, case_number, bench_size, headnote) of a record's HTML; the author is the first name with a star or a
+    tooltip. What isn't there is null, the bench empty; null HTML has nothing."""
+    part = lambda name: F.nullif(F.regexp_extract(F.coalesce(html, F.lit("")), HTML_FIELDS[name], 1), F.lit(""))
+    pieces = F.split(F.coalesce(part("coram"), F.lit("")), ",")
+    name = lambda x: F.trim(F.replace(tx.strip_html(x), F.lit("*"), F.lit("")))
+    named = F.filter(F.transform(pieces, lambda x: F.struct(name(x).alias("name"), (x.contains("tooltip-sup") | tx.strip_html(x).contains("*")).alias("marked"))), lambda x: x["name"] != "")
+    return F.struct(
+        F.transform(named, lambda x: x["name"]).alias("bench"),
+        F.get(F.filter(named, lambda x: x["marked"]), F.lit(0))["name"].alias("author"),
+        F.nullif(tx.strip_html(part("case_number")), F.lit("")).alias("case_number"),
+        part("bench_size").cast("int").alias("bench_size"),
+        F.nullif(F.substring(tx.strip_html(part("headnote")), 1, HEADNOTE_LENGTH), F.lit("")).alias("headnote"),
+    )
+
+
+def authors_on_bench(opinions: DataFrame, cases: DataFrame) -> DataFrame:
+    """(opinion_id, author, member): the first member of its case's bench with an opinion's author's surname, else null.
+
+    opinions(opinion_id, case_id, author); cases(case_id, bench). Names meet only within a case, and likeness is asked only of
+    those. Null authors and benches have no member.
+    """
+    seats = cases.select("case_id", F.posexplode("bench").alias("pos", "seat")).where("seat IS NOT NULL")
+    asked = opinions.select("opinion_id", "case_id", "author")
+    met = asked.where("author IS NOT NULL").join(seats, "case_id")
+    found = met.where(tx.same_surname(F.col("author"), F.col("seat"))).groupBy("opinion_id").agg(F.min_by("seat", "pos").alias("member"))
+    return asked.select("opinion_id", "author").join(found, "opinion_id", "left")

@@ -90,3 +90,15 @@ def match_questions(questions: DataFrame, judgments: DataFrame) -> DataFrame:
     best = agreed.groupBy("question_id").agg(F.max("score").alias("most"))
     top = agreed.join(best, "question_id").where("score = most").groupBy("question_id").agg(F.min("path").alias("path"), F.count(F.lit(1)).alias("n"))
     return top.where("n = 1").select("question_id", "path")
+
+
+def limited(df: DataFrame, key: str, size: int, seed: int = 20261007) -> DataFrame:
+    """At most size rows of df in a seeded order; null keys are left out."""
+    return df.where(F.col(key).isNotNull()).orderBy(hash_order(F.col(key).cast("string"), seed), key).limit(size)
+
+
+def question_set(questions: DataFrame, matched: DataFrame, cases: DataFrame) -> DataFrame:
+    """(query, case_id, paragraphs): the rows of a question file: questions(question_id, query) whose judgment is known by
+    matched(question_id, path) and cases(path, case_id). No paragraph is known, so any passage of the case is an answer."""
+    found = questions.join(matched, "question_id").join(cases.select("path", "case_id").distinct(), "path")
+    return found.select("query", "case_id", F.array().cast("array<int>").alias("paragraphs"))

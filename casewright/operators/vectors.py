@@ -135,3 +135,17 @@ def keyword_search(df: DataFrame, text: str, words: list[str]) -> DataFrame:
     for w in words:
         cond = cond & F.array_contains(have, w.lower())
     return df.where(cond)
+
+
+def checked_size(points: DataFrame, vector: str, size: int) -> DataFrame:
+    """The points, if all their vectors have the size of the collection; a ValueError names the other sizes."""
+    other = [r[0] for r in points.where(F.col(vector).isNotNull() & (F.size(vector) != size)).select(F.size(vector).alias("n")).distinct().limit(5).collect()]
+    if other:
+        raise ValueError(f"vectors of {sorted(other)} places don't fit a collection of {size}")
+    return points
+
+
+def blocks_of(hits: DataFrame, passages: DataFrame) -> DataFrame:
+    """All passages(chunk_id, block_id, ...) of the blocks in which the hits(chunk_id) lie, each once."""
+    blocks = passages.join(hits.select("chunk_id").distinct(), "chunk_id", "left_semi").select("block_id").distinct()
+    return passages.join(blocks, "block_id", "left_semi")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, ids, maths
 from ..functions import text as tx
+from ..operators import records
 from ..sources.tables import one_per_key, table
 
 QUERIES: dict = {}
@@ -98,6 +99,35 @@ over("fn_state_case_id", "judgment_sample", "file",
      lambda: {"case_id": ids.case_slug(F.trim(F.split(c("title"), " versus ")[0]), F.trim(F.get(F.split(c("title"), " versus "), F.lit(1))), c("decision_year"), c("file"))},
      {"case_id": "array_to_string(string_split(" + SLUG.format("regexp_replace(regexp_replace(CASE WHEN regexp_matches(trim(string_split(title, ' versus ')[1]), '(?i)^(state|union|commissioner|director|collector)\\b') THEN trim(string_split(title, ' versus ')[1]) || ' v ' || trim(string_split(title, ' versus ')[2]) ELSE trim(string_split(title, ' versus ')[1]) END, '(?i)^(justice|dr|shri|smt|mr|mrs|ms|m/s|his holiness|sri)\\.?\\s+', ''), '\\(.*?\\)', '', 'g')") + ", '_')[1:6], '_') || coalesce('_' || decision_year, '')"}, where="title IS NOT NULL")
 
+KNOWN = ["submissions of the appellant", "the statutory scheme", "conclusion", "analysis", "facts"]
+over("fn_letters", "cases", "case_id", lambda: {"letters": tx.letters(c("case_name"))}, {"letters": "regexp_replace(lower(case_name), '[^a-z]', '', 'g')"})
+HKEY = "trim(regexp_replace(lower(heading), '[^a-z0-9]+', ' ', 'g'))"
+over("fn_known_heading", "paragraphs", "para_id", lambda: {"known": tx.known_heading(c("heading"), F.array(*[F.lit(k) for k in KNOWN]))},
+     {"known": f"coalesce({HKEY} <> '' AND len(list_filter({KNOWN}, lambda k: k = {HKEY} OR (len({HKEY}) >= 12 AND len(k) >= 12 AND (starts_with(k, {HKEY}) OR starts_with({HKEY}, k))))) > 0, false)"})
+over("fn_header_judge", "case_pages", "page_id", lambda: {"judge": tx.header_judge(F.get("lines", F.lit(0)))},
+     {"judge": "trim(nullif(CASE WHEN regexp_matches(regexp_extract(lines[1], '" + tx.HEADER_JUDGE + "', 1), '" + tx.NO_HEADER_JUDGE + "') THEN NULL ELSE regexp_extract(lines[1], '" + tx.HEADER_JUDGE + "', 1) END, ''))"})
+over("fn_report_header", "case_pages", "page_id", lambda: {"report": tx.report_header(F.get("lines", F.lit(0)))}, {})
+over("fn_date_line", "law_reports", "case_id", lambda: {"dates": F.array_join(F.transform(F.array_compact(F.transform(F.split("header", "\n"), lambda x: dates.date_line(dates.repaired_year(x)))), lambda d: d.cast("string")), ",")}, {})
+over("rec_html", "judgment_sample", "file",
+     lambda: {"bench": F.array_join(c("h.bench"), "; "), "author": c("h.author"), "case_number": c("h.case_number"), "bench_size": c("h.bench_size")},
+     {"bench": "array_to_string(list_filter(list_transform(string_split(coalesce(replace(bench, ';', ','), ''), ','), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> ''), '; ')",
+      "author": "nullif(trim(regexp_replace(string_split(replace(bench, ';', ','), ',')[1], '\\s+', ' ', 'g')), '')", "case_number": "nullif(trim(regexp_replace(case_number, '\\s+', ' ', 'g')), '')", "bench_size": "bench_size"})
+
+
+def rec_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields read back from records' pages, which are written here from the stored fields, as no table holds pages."""
+    s = one_per_key(table(spark, sf_dir, "judgment_sample"), "file")
+    some = lambda x: F.coalesce(x, F.lit(""))
+    coram = F.regexp_replace(F.replace(some(c("bench")), F.lit(";"), F.lit(",")), "^([^,]+)", "<b>$1</b>*")
+    html = F.concat(
+        F.lit("<strong>Coram : "), coram, F.lit("</strong><span>Case No :</span><font size=2> "), some(c("case_number")), F.lit("</font><span>Bench :</span><font> "), some(c("bench_size").cast("string")), F.lit("</font>")
+    )
+    rows = s.select(c("file").alias("id"), records.html_fields(html).alias("h"))
+    return rows.select("id", F.array_join("h.bench", "; ").alias("bench"), "h.author", "h.case_number", "h.bench_size")
+
+
+QUERIES["rec_html"] = rec_html
+
 # built by construction: both engines write the text, Spark must read it
 N = "hash_n"
 

@@ -453,3 +453,91 @@ def eval_measures(spark, sf_dir):
     hits = h.select(c("case_id").alias("question"), "rank", "case_id", c("para_start").alias("paragraph_num"), "para_end", c("segment").alias("opinion_index"), F.lit("judgment").alias("doc_type"))
     asked = h.select(c("case_id").alias("question"), "case_id").distinct().withColumn("paragraphs", F.array(F.lit(2))).withColumn("opinion_index", F.lit(None).cast("int"))
     return vectors.measures(hits, asked, 3)
+
+
+@query("top_statutes", f"SELECT code, section, count(*) AS mentions FROM ({DOC_REFS}) GROUP BY 1, 2 ORDER BY mentions DESC, code, section LIMIT 10")
+def top_statutes(spark, sf_dir):
+    """The ten provisions cited most: a report, so the limit is its feature."""
+    return refs(spark, sf_dir).groupBy("code", "section").agg(F.count(F.lit(1)).alias("mentions")).orderBy(F.desc("mentions"), "code", "section").limit(10)
+
+
+@query("flt_active", f"SELECT code, count(*) AS mentions FROM ({DOC_REFS}) WHERE code NOT IN ('IPC', 'CrPC') GROUP BY 1")
+def flt_active(spark, sf_dir):
+    """Mentions by the Acts that are in force: all but the replaced codes."""
+    return refs(spark, sf_dir).where(~c("code").isin(*mapping.SUCCESSOR)).groupBy("code").agg(F.count(F.lit(1)).alias("mentions"))
+
+
+@query("jn_blocks", f"WITH c AS (SELECT chunk_id, regexp_replace(chunk_id, '_\\d+$', '') AS block FROM {CHUNKS} c WHERE true), h AS (SELECT DISTINCT block FROM c JOIN {CHUNKS} d USING (chunk_id) WHERE contains(lower(d.text), 'overdraft')) SELECT chunk_id, block AS block_id FROM c JOIN h USING (block)")
+def jn_blocks(spark, sf_dir):
+    """All passages of the blocks in which a searched word stands."""
+    rows = chunks(spark, sf_dir).select("chunk_id", ids.parent_id(c("chunk_id")).alias("block_id"), "text")
+    hits = rows.where(F.lower("text").contains("overdraft"))
+    return vectors.blocks_of(hits, rows.select("chunk_id", "block_id"))
+
+
+@query("jn_author_bench")
+def jn_author_bench(spark, sf_dir):
+    """Members of the bench that the opinions' authors are, by surname and likeness."""
+    from ..operators import records
+
+    return records.authors_on_bench(one_per_key(table(spark, sf_dir, "opinions"), "opinion_id"), one_per_key(table(spark, sf_dir, "cases"), "case_id"))
+
+
+@query("agg_modal", "SELECT court, doc_type, n FROM (SELECT court, doc_type, count(*) AS n, row_number() OVER (PARTITION BY court ORDER BY count(*) DESC, min(doc_id)) AS r FROM documents WHERE doc_type IS NOT NULL GROUP BY 1, 2) WHERE r = 1")
+def agg_modal(spark, sf_dir):
+    """The kind of document that each court has most of."""
+    return quality.modal(table(spark, sf_dir, "documents"), "court", "doc_type", "doc_id")
+
+
+PAIR_WORDS = "SELECT unnest(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z0-9]+')) AS word FROM "
+
+
+@query("set_multiset", f"SELECT word, count(*) AS n FROM ({PAIR_WORDS} {PARAS} UNION ALL {PAIR_WORDS} {CHUNKS}) WHERE word <> '' GROUP BY 1")
+def set_multiset(spark, sf_dir):
+    """Words of paragraphs and passages, counts added up."""
+    of = lambda df: df.select(F.explode(F.split(F.lower("text"), "[^a-z0-9]+")).alias("word")).where("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return quality.multiset_union(of(paragraphs(spark, sf_dir)), of(chunks(spark, sf_dir)), "word")
+
+
+@query("smp_limited", "SELECT file FROM (SELECT DISTINCT file FROM judgment_sample WHERE file IS NOT NULL) ORDER BY md5(file || '|20261007'), file LIMIT 25")
+def smp_limited(spark, sf_dir):
+    """Twenty-five judgments in seeded order."""
+    return sampling.limited(one_per_key(table(spark, sf_dir, "judgment_sample"), "file"), "file", 25).select("file")
+
+
+STATUS = "CASE WHEN len(missing) > 1 THEN 'reject' WHEN len(missing) = 1 OR len(conflicts) > 0 THEN 'review' ELSE 'ok' END"
+
+
+@query("ing_gates", f"""
+    WITH f AS (SELECT DISTINCT ON (case_id) case_id, coalesce(file, '') AS file, {STATUS} AS status, sha256(coalesce(summary, case_name)) AS sha FROM cases WHERE case_id IS NOT NULL),
+         o AS (SELECT *, CASE WHEN sha IS NOT NULL AND status <> 'reject' THEN row_number() OVER (PARTITION BY sha, status = 'reject' ORDER BY case_id, file) END AS r FROM f)
+    SELECT case_id, status, CASE WHEN status = 'reject' THEN 'rejected' WHEN r > 1 THEN 'the document of another case' END AS refused FROM o""")
+def ing_gates(spark, sf_dir):
+    """Which case records would be ingested, and why the others are refused."""
+    n = lambda x: F.coalesce(F.size(x), F.lit(0))
+    status = F.when(n("missing") > 1, "reject").when((n("missing") == 1) | (n("conflicts") > 0), "review").otherwise("ok")
+    rows = one_per_key(table(spark, sf_dir, "cases"), "case_id").select("case_id", F.coalesce("file", F.lit("")).alias("file"), status.alias("status"), F.sha2(F.coalesce("summary", "case_name"), 256).alias("doc_sha256"))
+    return quality.admitted(rows).select("case_id", "status", "refused")
+
+
+@query("agg_verdicts", f"SELECT status, count(*) AS n FROM (SELECT DISTINCT ON (case_id) {STATUS} AS status FROM cases WHERE case_id IS NOT NULL) GROUP BY 1")
+def agg_verdicts(spark, sf_dir):
+    """Number of case records by status."""
+    return ing_gates(spark, sf_dir).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("snk_drafts", "SELECT DISTINCT ON (case_id) case_id, case_name, case_date::VARCHAR AS date, array_to_string(bench, '; ') AS bench, array_to_string(missing, ',') AS missing FROM cases WHERE source = 'auto' AND case_id IS NOT NULL")
+def snk_drafts(spark, sf_dir):
+    """Draft records of the cases that were read automatically, to be checked by hand."""
+    rows = one_per_key(table(spark, sf_dir, "cases"), "case_id").where("source = 'auto'")
+    return rows.select("case_id", "case_name", c("case_date").cast("string").alias("date"), F.array_join("bench", "; ").alias("bench"), F.array_join("missing", ",").alias("missing"))
+
+
+@query("src_words", "SELECT page_id, i - 1 AS line_no, array_to_string(list_filter(string_split(x, ' '), lambda w: trim(w) <> ''), ' ') AS text FROM (SELECT page_id, unnest(list_filter(lines, lambda l: l IS NOT NULL AND trim(l) <> '')) AS x, generate_subscripts(list_filter(lines, lambda l: l IS NOT NULL AND trim(l) <> ''), 1) AS i FROM (SELECT DISTINCT ON (page_id) * FROM case_pages WHERE page_id IS NOT NULL))")
+def src_words(spark, sf_dir):
+    """Lines put together again from the words of the pages, as a recogniser gives them."""
+    from ..operators import layout
+
+    pages = one_per_key(table(spark, sf_dir, "case_pages"), "page_id").select("page_id", F.posexplode("lines").alias("line", "x"))
+    words = pages.select("page_id", F.lit(0).alias("block"), F.lit(0).alias("par"), "line", F.posexplode(F.split("x", " ")).alias("left", "word"), (c("line") * 40).alias("top"))
+    return layout.lines_of_words(words).select("page_id", c("line_no").cast("long").alias("line_no"), "text")
