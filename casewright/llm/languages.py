@@ -2,8 +2,9 @@
 
 Each language has a codeword of bits. For each bit a binary logistic classifier over hashed character n-grams tells
 on which side of the bit the text's language lies; the decoder takes the codeword with the least total logistic loss
-over the bits, and the gap to the next one gives the confidence. Classifiers are fitted on a bounded sample of labelled
-documents in two rounds, the second without the sentences whose label the first contradicts. N-grams lie within words, so
+over the bits, and the gap to the next one gives the confidence. The languages are those that documents are labelled with
+and that classifiers fitted on one half of the sentences confirm on the other. The final classifiers are fitted on a bounded
+sample of labelled documents in two rounds, the second without the sentences whose label the first contradicts. N-grams lie within words, so
 a word is scored once and a text is the sum of its words.
 """
 
@@ -15,10 +16,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..sources.tables import one_per_key, table
 
-LANGUAGES = ("de", "en", "es", "fr", "hi", "mr", "pt", "ta", "ur")
+#: A label names a language of the corpus if at least this share of its held-out sentences is found to be in it.
+CONFIRMED = 0.5
 BITS, BUCKETS, ORDERS = 16, 1 << 16, (2, 3, 4)
 #: Documents of each label, about, that the classifiers are fitted on; sentences of each label at most.
 SAMPLE_DOCUMENTS, SAMPLE_SENTENCES = 250, 900
@@ -39,6 +42,7 @@ class Model:
     weights: object
     bias: object
     codes: object
+    languages: tuple[str, ...] = ()
 
 
 def codebook(n: int, bits: int = BITS):
@@ -53,6 +57,9 @@ def codebook(n: int, bits: int = BITS):
         d = apart.min() if (abs(code.sum(axis=0)) < n - 1).all() else -1
         if d > best_d:
             best, best_d = code, d
+    if best is None:  # few languages: all ways to part them in two, in turn
+        ways = max(1, 2 ** (n - 1) - 1)
+        best = np.array([[1 if ((j % ways + 1) >> k) & 1 else -1 for j in range(bits)] for k in range(n)])
     return best.astype(np.float32)
 
 
@@ -207,30 +214,54 @@ def label_of(column: Column) -> Column:
     return F.when(code.rlike("^[a-z]{2,3}$") & ~code.isin("und", "mul", "zxx", "mis"), code)
 
 
+def confirmed(texts: list[list[str]], labels: list[str], halves: list[int]) -> list[str]:
+    """The labels whose sentences of one half are found to be in that language by classifiers fitted on the other half."""
+    import numpy as np
+
+    names = sorted(set(labels))
+    y, half = np.array([names.index(x) for x in labels], int), np.array(halves)
+    codes = codebook(len(names))
+    kept = []
+    train, test = np.flatnonzero(half == 0), np.flatnonzero(half == 1)
+    if not len(train) or not len(test):
+        return names
+    found = decode(Scorer(fit_once([texts[i] for i in train], y[train], codes, epochs=3)).outputs([texts[i] for i in test]), codes)[0]
+    for k, name in enumerate(names):
+        own = y[test] == k
+        if not own.any() or (found[own] == k).mean() >= CONFIRMED:
+            kept.append(name)
+    return kept or names
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Model:
     """Fit on about `sample` documents of each label, picked by a hash of the id."""
     import numpy as np
 
-    known = docs.select("doc_id", "text", label_of("lang").alias("label")).where(F.col("label").isin(*LANGUAGES) & (F.length("text") > 20))
-    sizes = {r[0]: r[1] for r in known.groupBy("label").count().collect()}  # nine rows
+    known = docs.select("doc_id", "text", label_of("lang").alias("label")).where(F.col("label").isNotNull() & (F.length("text") > 20))
+    sizes = {r[0]: r[1] for r in known.groupBy("label").count().collect()}  # one row a label
     span = 1 << 30
     share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(span, span * sample // n))]) if sizes else None
-    texts, labels, taken = [], [], {}
+    texts, labels, halves, taken, seen = [], [], [], {}, {}
     if share is not None:
         picked = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(span)) < share[F.col("label")]).select("text", "label", F.xxhash64("doc_id").alias("h"))
         for text, label, _ in sorted(picked.collect(), key=lambda r: (r[2], r[1], r[0])):
-            for _, _, whole, words in segments(text):
+            nth = seen[label] = seen.get(label, -1) + 1
+            for k, (_, _, whole, words) in enumerate(segments(text)):
                 if whole and taken.get(label, 0) < SAMPLE_SENTENCES:
                     taken[label] = taken.get(label, 0) + 1
                     texts.append(words)
-                    labels.append(LANGUAGES.index(label))
-    codes, y = codebook(len(LANGUAGES)), np.array(labels, int)
+                    labels.append(label)
+                    halves.append((nth + k) % 2)
     if not texts:
-        return Model(np.zeros((BUCKETS, BITS), np.float32), np.zeros(BITS, np.float32), codes)
+        return Model(np.zeros((BUCKETS, BITS), np.float32), np.zeros(BITS, np.float32), codebook(2), ("und", "und"))
+    names = confirmed(texts, labels, halves)
+    use = [i for i, x in enumerate(labels) if x in names]
+    texts, y, codes = [texts[i] for i in use], np.array([names.index(labels[i]) for i in use], int), codebook(max(2, len(names)))
     model = fit_once(texts, y, codes, epochs=3)
     agree = np.flatnonzero(decode(Scorer(model).outputs(texts), codes)[0] == y)
     if len(agree):
         model = fit_once([texts[i] for i in agree], y[agree], codes)
+    model.languages = tuple(names) if len(names) > 1 else (*names, *names)
     return model
 
 
@@ -253,7 +284,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 continue
             best, sure, _ = decode(scorer.outputs(texts), shared.value.codes)
             out = pd.DataFrame(rows, columns=["doc_id", "segment", "start", "end", "whole"])
-            out["lang"] = np.array(LANGUAGES, dtype=object)[best]
+            out["lang"] = np.array(shared.value.languages, dtype=object)[best]
             out["confidence"] = sure.astype(float)
             out["ambiguous"] = sure < AMBIGUOUS
             yield out[["doc_id", "segment", "start", "end", "lang", "confidence", "ambiguous", "whole"]]
@@ -312,20 +343,17 @@ def p10_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "label", "lang", F.round("confidence", 4).alias("confidence"), F.array_join("languages", ",").alias("languages"), "status")
 
 
+def joined_segments(each: DataFrame) -> DataFrame:
+    """(doc_id, segment, start, end, lang, confidence): neighbouring stretches of one language joined, the least confidence kept."""
+    order = Window.partitionBy("doc_id").orderBy("segment")  # the stretches of one document
+    new = F.when(F.lag("lang").over(order).eqNullSafe(F.col("lang")), 0).otherwise(1)
+    runs = each.withColumn("new", new).withColumn("run", F.sum("new").over(order))
+    return runs.groupBy("doc_id", (F.col("run") - 1).cast("int").alias("segment")).agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.first("lang").alias("lang"), F.round(F.min("confidence"), 4).alias("confidence")
+    )
+
+
 def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments of one language: neighbouring stretches joined."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    each = identify(docs, fit(docs)).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("segment", "start", "end", "lang", "confidence"))).alias("s"))
-    joined = F.aggregate(
-        F.col("s"),
-        F.array().cast("array<struct<start:int,end:int,lang:string,confidence:double>>"),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["lang"] == x["lang"]),
-            F.concat(
-                F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))),
-                F.array(F.struct(F.try_element_at(acc, F.lit(-1))["start"].alias("start"), x["end"].alias("end"), x["lang"].alias("lang"), F.least(F.try_element_at(acc, F.lit(-1))["confidence"], x["confidence"]).alias("confidence"))),
-            ),
-        ).otherwise(F.concat(acc, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"), x["lang"].alias("lang"), x["confidence"].alias("confidence"))))),
-    )
-    out = each.select("doc_id", F.posexplode(joined).alias("segment", "x"))
-    return out.select("doc_id", "segment", "x.start", "x.end", "x.lang", F.round("x.confidence", 4).alias("confidence"))
+    return joined_segments(identify(docs, fit(docs)))

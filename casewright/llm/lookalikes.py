@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +20,6 @@ from ..sources.tables import checkpointed, table
 from .encoding import classify, fit, non_ascii, page_entries, sampled
 
 ACCENT_COST, MOST_COST = 0.3, 0.9
-FLUSH = 400_000
 
 #: Letters of other scripts that look like Latin letters.
 CONFUSABLE = dict(
@@ -31,20 +29,25 @@ CONFUSABLE = dict(
         strict=True,
     )
 )
+#: The same for Armenian and Cherokee letters.
+CONFUSABLE |= dict(zip("օոսհցյզՕՍՏԼ" "ᎠᎡᎢᎥᎩᎪᎫᎬᎳᎷᎻᎽᏀᏃᏙᏚᏞᏟᏢᏦᏴ", "onuhgjqOUSL" "DRTiyAJEWMHYGZVSLCPKB", strict=True))
+#: Letterlike, Roman-numeral and mathematical signs that stand for Latin letters, by rule: their compatibility form is made of those.
+SIGNS = {c: k for a, b in ((0x2100, 0x2150), (0x2160, 0x2180), (0x1D400, 0x1D6A6)) for c in map(chr, range(a, b)) if (k := unicodedata.normalize("NFKC", c)).isascii() and k.isalpha() and k != c and c not in "℀℁℅℆℡™℠℻№"}
 INVISIBLE = "\u00ad\u180e\u200b\u200c\u200d\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2060\u2061\u2062\u2063\u2064\u2066\u2067\u2068\u2069\ufeff"
 SPACES = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 HYPHENS = "\u2010\u2011\u2012\u2043\u2212\ufe63\uff0d"
 #: Regular expressions, for Java and Python alike, of what makes an entry a candidate.
-ODD = "[" + INVISIBLE.replace("\u200c", "").replace("\u200d", "") + SPACES + HYPHENS + "\uff01-\uff5e\ufb00-\ufb06]"
+ODD = "[" + INVISIBLE.replace("\u200c", "").replace("\u200d", "") + SPACES + HYPHENS + "\uff01-\uff5e\ufb00-\ufb06" + "".join(c for c in SIGNS if ord(c) < 0x10000) + "\U0001d400-\U0001d6a5]"
 #: Joiners stay between letters of scripts that need them.
 JOINER = "(?<![\u0600-\u06ff\u0900-\u0dff])[\u200c\u200d]"
 LATIN = "[A-Za-zÀ-ɏ]"
 ACCENT = LATIN + "[̀-ͯ]"
-MIXED = LATIN + "[Ͱ-ԯ]|[Ͱ-ԯ]" + LATIN
+OTHER_SCRIPT = "[Ͱ-\u058f\u13a0-\u13ff]"
+MIXED = LATIN + OTHER_SCRIPT + "|" + OTHER_SCRIPT + LATIN
 SUSPECT = f"{ODD}|{JOINER}|{ACCENT}|{MIXED}"
 #: A plain class of all characters that can make an entry suspect: cheap for the JVM; the exact test follows in Python.
-COARSE = "[" + INVISIBLE + SPACES + HYPHENS + "\uff01-\uff5e\ufb00-\ufb06\u0300-\u036f\u0370-\u052f]"
-HAS_LATIN = "[A-Za-zＡ-Ｚａ-ｚÀ-ɏﬀ-ﬆ]"
+COARSE = "[" + INVISIBLE + SPACES + HYPHENS + "\uff01-\uff5e\ufb00-\ufb06\u0300-\u036f\u0370-\u058f\u13a0-\u13ff\u2100-\u218f\U0001d400-\U0001d6a5]"
+HAS_LATIN = "[A-Za-zＡ-Ｚａ-ｚÀ-ɏﬀ-ﬆ" + "".join(SIGNS) + "]"
 GAP = re.compile(f"[ \n\t{SPACES}]+")
 _SUSPECT = re.compile(SUSPECT)
 _LATIN = re.compile(HAS_LATIN)
@@ -67,6 +70,8 @@ def alternatives(token: str) -> list[list[tuple[str, float]]]:
                 options.append((whole, cost) if len(whole) == len(text) else (text + c, cost))
                 options.append((text, cost + ACCENT_COST))
             out[-1] = options
+        elif c in SIGNS:
+            out.append([(SIGNS[c], 0.0)])
         elif c in CONFUSABLE:
             out.append([(CONFUSABLE[c], 0.0), (c, 0.5)])
         elif (k := unicodedata.normalize("NFKC", c)) != c and not unicodedata.combining(k[0]) and ("！" <= c <= "～" or "ﬀ" <= c <= "ﬆ"):
@@ -171,36 +176,29 @@ def suspects(entries: DataFrame) -> DataFrame:
 
 
 def ordinary_words(texts: DataFrame) -> DataFrame:
-    """(word, skeleton, n): the ordinary words of all texts with their counts, combined before the shuffle."""
+    """(word, skeleton, n): the ordinary words of all texts with their counts; tokens are counted in the JVM, with partial
+    sums before the shuffle, and only distinct tokens are read."""
+    spaced = F.col("text")
+    for blank in "\n\t\r":
+        spaced = F.replace(spaced, F.lit(blank), F.lit(" "))
+    token = F.explode(F.split(spaced, " ")).alias("token")
+    each = texts.where(F.col("text").isNotNull()).select(token).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
     def run(batches: Iterator) -> Iterator:
-        import pandas as pd
+        for pdf in batches:
+            found = [m.group(1) if (m := _ASCII_WORD.match(t)) and not _SUSPECT.search(m.group(1)) and not _OTHER.search(m.group(1)) else None for t in pdf["token"]]
+            pdf["word"], pdf["skeleton"] = found, [None if w is None else skeleton(w) for w in found]
+            yield pdf.loc[pdf["word"].notna(), ["word", "skeleton", "n"]]
 
-        def flush():
-            words: Counter = Counter()
-            for token, n in counts.items():
-                m = _ASCII_WORD.match(token)
-                if m and not _SUSPECT.search(m.group(1)) and not _OTHER.search(m.group(1)):
-                    words[m.group(1)] += n
-            return pd.DataFrame({"word": list(words), "skeleton": [skeleton(w) for w in words], "n": list(words.values())})
+    return each.mapInPandas(run, "word string, skeleton string, n long").groupBy("word", "skeleton").agg(F.sum("n").alias("n"))
 
-        counts: Counter = Counter()
-        for pdf in batches:
-            for text in pdf["text"]:
-                counts.update(text.split())
-            if len(counts) > FLUSH:
-                yield flush()
-                counts.clear()
-        if counts:
-            yield flush()
 
-    each = texts.where(F.col("text").isNotNull()).select("text").mapInPandas(run, "word string, skeleton string, n long")
-    return each.groupBy("word", "skeleton").agg(F.sum("n").alias("n"))
+#: Distinct suspect tokens in a bucket, about.
+TOKENS_A_BUCKET = 5000
 
 
 def canonical_tokens(found: DataFrame, words: DataFrame, buckets: int | None = None) -> DataFrame:
-    """(token, canonical) of the distinct suspect tokens of found."""
-    buckets = buckets or 4 * int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """(token, canonical) of the distinct suspect tokens of found; the number of buckets follows from that of the tokens."""
 
     @F.pandas_udf("struct<word:string,skeleton:string>")
     def folded(column):
@@ -209,7 +207,8 @@ def canonical_tokens(found: DataFrame, words: DataFrame, buckets: int | None = N
         parts = [split_token(t)[1] for t in column]
         return pd.DataFrame({"word": parts, "skeleton": [skeleton(p) for p in parts]})
 
-    odd = found.select(F.explode("tokens").alias("token")).distinct()
+    odd = checkpointed(found.select(F.explode("tokens").alias("token")).distinct())
+    buckets = buckets or max(4 * int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), odd.count() // TOKENS_A_BUCKET)
     odd = odd.select("token", folded("token").alias("f")).select("token", "f.word", "f.skeleton")
     odd = odd.withColumn("bucket", F.pmod(F.xxhash64("skeleton"), F.lit(buckets)))
     near = words.join(odd.select("skeleton").distinct(), "skeleton", "left_semi").withColumn("bucket", F.pmod(F.xxhash64("skeleton"), F.lit(buckets)))
@@ -262,7 +261,9 @@ def canonical_texts(entries: DataFrame, texts: DataFrame) -> DataFrame:
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate lines of pages without those that are wrongly decoded."""
     pages = table(spark, sf_dir, "case_pages")
-    odd = checkpointed(page_entries(pages, ("lines",), coarse).dropDuplicates(["page_id", "pos"]))
+    # few bytes but much work behind: spread by number, which adaptive execution leaves alone
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    odd = checkpointed(page_entries(pages, ("lines",), coarse).repartition(spread, "page_id", "pos").dropDuplicates(["page_id", "pos"]))
     garbled = classify(odd, fit(sampled(pages))).select("page_id", "pos")
     kept = odd.join(garbled, ["page_id", "pos"], "left_anti")
     return kept.select(F.lit("case_pages").alias("record_table"), F.col("page_id").alias("record_id"), "pos", "text")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import importlib
-import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ MODULES = ("names", "encoding", "split", "lookalikes", "scans", "spans", "bpe",
 
 
 def _modules() -> list:
-    return [importlib.import_module(f"{__package__}.{m}") for m in MODULES if importlib.util.find_spec(f"{__package__}.{m}")]
+    return [importlib.import_module(f"{__package__}.{m}") for m in MODULES]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

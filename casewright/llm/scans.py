@@ -384,6 +384,8 @@ def middles(rows: DataFrame, keys: frozenset[str]) -> tuple[dict[str, int], int]
 
         asked = send.value
         heads = frozenset(k[1:].split(" ", 1)[0] for k in asked if k.startswith(">"))
+        begins = frozenset(k.split(" ", 1)[0] + "|" + k.split(" ", 2)[1] for k in asked if k.count(" ") > 1 and k[0] != ">")
+        brief = frozenset(k for k in asked if k.count(" ") < 2 and k[:1] != ">")
         kinds, folded, seen, size = Kept(word_kind), Kept(lambda w: w.translate(FOLD)), Counter(), 0
         for batch in batches:
             for line in batch.column(0).flatten().to_pylist():
@@ -393,8 +395,10 @@ def middles(rows: DataFrame, keys: frozenset[str]) -> tuple[dict[str, int], int]
                     key = opening(line)
                     if key in asked:
                         seen[key] += 1
+                if len(first) > 2 and kinds[first[0]] + "|" + kinds[first[1]] not in begins:
+                    continue  # no asked shape begins so
                 key = " ".join(map(kinds.__getitem__, first))
-                if key in asked:
+                if key in (asked if len(first) > 2 else brief):
                     seen[key] += 1
             if len(kinds) > FLUSH:
                 kinds.clear()
@@ -422,11 +426,16 @@ def bare_column(token):
     return F.when(word.endswith("’s"), F.substring(word, F.lit(1), F.length(word) - 2)).otherwise(word)
 
 
+def spaced(text):
+    """A text with blanks for line ends and tabs."""
+    return F.replace(F.replace(text, F.lit("\n"), F.lit(" ")), F.lit("\t"), F.lit(" "))
+
+
 def word_counts(rows: DataFrame) -> DataFrame:
     """(word, n, joined): how often each word stands whole and how often joined over a line end, counted in the JVM with
     partial sums before the shuffle."""
     text = F.regexp_replace(F.array_join("lines", "\n"), BROKEN, JOINED)
-    each = rows.select(F.explode(F.split(F.translate(text, "\n\t", "  "), " ")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    each = rows.select(F.explode(F.split(spaced(text), " ")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     over_end = F.col("token").contains(JOINED)
     words = each.select(bare_column(F.translate("token", JOINED, "")).alias("word"), "n", over_end.alias("over"))
     known = (F.length("word") > 1) & F.col("word").rlike(r"\p{L}") & F.col("word").rlike(r"^[\x00-}\x7FÀ-ɏ]+$")

@@ -50,6 +50,10 @@ def test_lookalikes(spark):
     got = {r["record_id"]: r["canonical"] for r in lookalikes.canonical_texts(df, words).collect()}
     assert got == {"a": "the clear order", "b": "affidavit that", "d": "wide space", "e": "café Zoë", "h": "self-help"}
     assert lookalikes.canonical_texts(df.where("false"), words).count() == 0
+    other = [("t", "k", 0, "the 𝐜𝐥𝐞𝐚𝐫 ℴrder"), ("t", "l", 0, "the clear օrder"), ("t", "m", 0, "the Ꮯlear order"), ("t", "n", 0, "chapter Ⅳ"), ("t", "o", 0, "brand™ № 5 ᏣᎳᎩ հայ")]
+    df = spark.createDataFrame(other, "record_table string, record_id string, pos int, text string")
+    got = {r["record_id"]: r["canonical"] for r in lookalikes.canonical_texts(df, words).collect()}
+    assert got == {"k": "the clear order", "l": "the clear order", "m": "the Clear order", "n": "chapter IV"}
     trie = lookalikes.Trie([("resume", 9), ("resumé", 1)])
     assert trie.best("resumé") == "resumé" and trie.best("rеsume") == "resume" and trie.best("other") is None
 
@@ -165,3 +169,24 @@ def test_languages(spark):
     assert got[100] == ("wrong", ["en"]) and got[101] == ("missing", ["fr"]) and got[102] == ("mixed", ["en", "hi"]) and got[107] == ("no language", ["hi"])
     assert all(got[i][0] == "right" for i in [*range(36), 103, 108]) and not {104, 105, 106} & got.keys()
     assert languages.document_languages(df.where("false")).count() == 0
+
+
+def test_languages_follow_the_labels(spark):
+    # languages that the corpus holds are learned from its labels; a label that its own texts contradict is no language
+    dutch = "De rechter heeft de vordering van de huurder afgewezen. De advocaat van het bedrijf werd gisteren gehoord. "
+    swahili = "Mahakama ilikataa madai ya mpangaji huyo. Hakimu alimsikiliza wakili wa kampuni kwa muda mrefu. "
+    english = "The court rejected the claim of the tenant. The judge heard the counsel for the company at length. "
+    rows = [(i, t, label) for i, (t, label) in enumerate([(dutch, "nl"), (swahili, "sw"), (english, "en")] * 14)]
+    rows += [(200 + i, english, "la") for i in range(6)] + [(300, swahili, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert languages.fit(df).languages == ("en", "nl", "sw")
+    got = {r["doc_id"]: (r["status"], r["languages"]) for r in languages.document_languages(df).collect()}
+    assert got[300] == ("missing", ["sw"]) and got[200] == ("wrong", ["en"]) and all(got[i][0] == "right" for i in range(42))
+
+
+def test_segments_join_neighbours(spark):
+    rows = [(1, 0, 0, 5, "en", 0.9), (1, 1, 5, 9, "en", 0.8), (1, 2, 9, 12, "fr", 0.7), (1, 3, 12, 20, "en", 1.0), (2, 0, 0, 4, "fr", 0.6)]
+    df = spark.createDataFrame(rows, "doc_id long, segment int, start int, end int, lang string, confidence double")
+    got = sorted(tuple(r) for r in languages.joined_segments(df).collect())
+    assert got == [(1, 0, 0, 9, "en", 0.8), (1, 1, 9, 12, "fr", 0.7), (1, 2, 12, 20, "en", 1.0), (2, 0, 0, 4, "fr", 0.6)]
+    assert languages.joined_segments(df.where("false")).count() == 0
