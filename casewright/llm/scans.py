@@ -31,6 +31,9 @@ RATIO, LEAST = 8, 4
 #: Sure words kept by every worker: the most frequent ones; all others are looked up by a join.
 SURE_WORDS = 40_000
 FLUSH = 300_000
+#: Words of a line's shape; lines that begin with a small letter have none, as no header does.
+SHAPE = 8
+NO_SHAPE = "~"
 
 #: Letters that scanners take for one another, one group a class; pairs that look like one letter.
 CLASSES = ["tl1Ii!fj|L", "ceo0OCGQD", "hb", "un", "sS5$", "gq9", "EFB8", "RK", "zZ2", "aA4"]
@@ -88,7 +91,8 @@ def word_kind(w: str) -> str:
 
 def shape(line: str) -> str:
     """Kinds of the first words of a line."""
-    return " ".join(map(word_kind, line.split()[:8]))
+    words = line.split(None, SHAPE)[:SHAPE]
+    return NO_SHAPE if words and words[0][0].islower() else " ".join(map(word_kind, words))
 
 
 def opening(line: str) -> str:
@@ -149,8 +153,8 @@ class Reader:
         if len(self.kinds) > FLUSH:
             self.kinds.clear()
             self.folded.clear()
-        words = words[:8]
-        seen = self.odds.get(" ".join(map(self.kinds.__getitem__, words)))
+        words = words[:SHAPE]
+        seen = None if words and words[0][0].islower() else self.odds.get(" ".join(map(self.kinds.__getitem__, words)))
         if words and self.folded[words[0]] in self.heads and (o := self.odds.get(opening(line))) is not None:
             seen = o if seen is None else max(o, seen)
         return 1 if seen is None else 2 if seen > 1.5 else 0
@@ -176,12 +180,15 @@ class Reader:
                 first.append(BODY)
                 continue
             number = clear_number(line) if len(line) <= LONGEST_NUMBER or line[0].isspace() else 0
-            plain = line.encode("ascii", "replace")
-            share = (len(plain) - len(plain.translate(None, CAPITALS))) / (len(plain) - len(words[i]) + 1)
-            capitals = 2 if share > 0.55 else 1 if share > 0.28 else 0
+            lower = words[i][0][0].islower()
+            capitals = 0
+            if place != 5 or not lower:
+                plain = line.encode("ascii", "replace")
+                share = (len(plain) - len(plain.translate(None, CAPITALS))) / (len(plain) - len(words[i]) + 1)
+                capitals = 2 if share > 0.55 else 1 if share > 0.28 else 0
             parties = int("v. " in line and " v. " in line or " V. " in line)
             numbered = starts[i]
-            # in the midst of a page only lines with many capitals can be like those at page tops
+            # in the midst of a page only lines with many capitals can be like those at page tops, and those begin with one
             top = self.top(line, words[i]) if place != 5 or capitals else 1
             if number and place != 6 and (place != 5 or number == 1) and not (number == 3 and place == 4):
                 state = NUMBER
@@ -201,10 +208,13 @@ class Reader:
                 else:
                     begins = heading > 0 or (numbered and (apart or ended == DONE)) or (apart and ended == DONE)
                 state = BREAK if begins else BODY
-            out.append(packed(place, number, top, capitals, parties, layout(numbered, page_numbered, indent, gap, ended, heading, words[i][0][0].islower())))
+            # packed(..., layout(...)), written out
+            around = (((((numbered * 2 + page_numbered) * 3 + indent) * 3 + gap) * 3 + ended) * 3 + heading) * 2 + lower
+            out.append(((((place * 4 + number) * 3 + top) * 3 + capitals) * 2 + parties) * 648 + around)
             first.append(state)
-            if state in (BREAK, BODY):
-                before, before_heading, ended = True, here, DONE if finished_line(line) else UNFINISHED
+            if state > NUMBER:
+                before, before_heading = True, here
+                ended = UNFINISHED if line[-1].isalpha() else DONE if finished_line(line) else UNFINISHED
         return out, first
 
     def pages(self, pages: list[tuple]):
@@ -359,7 +369,7 @@ def tops(rows: DataFrame) -> tuple[dict[str, int], int]:
     lines = rows.where("record_table = 'case_pages' AND size(lines) > 0").select(F.coalesce(F.get("lines", F.lit(0)), F.lit("")).alias("line"))
     each = checkpointed(lines.mapInPandas(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n")))
     spaces = F.length("key") - F.length(F.replace("key", F.lit(" "), F.lit("")))
-    kept = each.where(F.when(F.col("key").startswith(">"), (F.col("n") > 4) & (spaces == 2)).otherwise(F.col("n") > 2))
+    kept = each.where(F.col("key") != NO_SHAPE).where(F.when(F.col("key").startswith(">"), (F.col("n") > 4) & (spaces == 2)).otherwise(F.col("n") > 2))
     return {r[0]: r[1] for r in kept.collect()}, each.agg(F.sum("n")).first()[0] or 0
 
 
@@ -390,11 +400,13 @@ def middles(rows: DataFrame, keys: frozenset[str]) -> tuple[dict[str, int], int]
         for batch in batches:
             for line in batch.column(0).flatten().to_pylist():
                 size += 2
-                first = line.split(None, 8)[:8] if line else []
+                first = line.split(None, SHAPE)[:SHAPE] if line else []
                 if first and folded[first[0]] in heads:
                     key = opening(line)
                     if key in asked:
                         seen[key] += 1
+                if first and first[0][0].islower():
+                    continue
                 if len(first) > 2 and kinds[first[0]] + "|" + kinds[first[1]] not in begins:
                     continue  # no asked shape begins so
                 key = " ".join(map(kinds.__getitem__, first))
@@ -506,7 +518,7 @@ def scan_lines(rows: DataFrame, model: Model, sure: frozenset[str]) -> DataFrame
                     words = split[i]
                     if not words:
                         continue
-                    m = BREAKS.search(line) if line.rstrip()[-1:] in ENDS else None
+                    m = BREAKS.search(line) if not line[-1].isalpha() and line.rstrip()[-1:] in ENDS else None
                     if carried:
                         f = FIRST.match(line)
                         if f:
