@@ -54,10 +54,14 @@ def garbled_share(pages: DataFrame, group: str, page: str, text: str, sample: in
 
 def sizes(df: DataFrame, group: str, size: str) -> DataFrame:
     """(group, n, least, middle, upper, most): middle is the whole part of the median, upper the upper middle element."""
-    upper = F.element_at(F.sort_array(F.collect_list(size)), (F.floor(F.count(size) / 2) + 1).cast("int"))
-    return df.where(F.col(size).isNotNull()).groupBy(group).agg(
-        F.count(size).alias("n"), F.min(size).alias("least"), F.floor(F.percentile(size, 0.5)).cast("int").alias("middle"), upper.alias("upper"), F.max(size).alias("most")
-    )
+    from pyspark.sql.window import Window
+
+    each = df.where(F.col(size).isNotNull()).groupBy(group, F.col(size).alias("v")).agg(F.count(F.lit(1)).alias("k"))  # a row for each distinct size
+    up_to = F.sum("k").over(Window.partitionBy(group).orderBy("v"))
+    ranked = each.withColumn("to", up_to).withColumn("n", F.sum("k").over(Window.partitionBy(group)))
+    at = lambda rank: F.min(F.when(F.col("to") >= rank, F.col("v")))
+    found = ranked.groupBy(group).agg(F.max("n").alias("n"), F.min("v").alias("least"), at(F.floor((F.col("n") + 1) / 2)).alias("lower"), at(F.floor(F.col("n") / 2) + 1).alias("upper"), F.max("v").alias("most"))
+    return found.select(group, "n", "least", F.floor((F.col("lower") + F.col("upper")) / 2).cast("int").alias("middle"), "upper", "most")
 
 
 def verdict(figures: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import text as tx
 from .sequences import near_end
@@ -128,15 +129,16 @@ def label(df: DataFrame, has_statute: Column, has_case: Column) -> DataFrame:
         F.when(speaks, F.try_element_at(found, F.lit(1))["role"]).otherwise(later).alias("role"),
         F.when(party(named), named).otherwise("argument").alias("fallback"),
     )
-    lists = cues.groupBy("case_id", "segment").agg(F.array_sort(F.collect_list(F.struct("para_seq", "cue", "role", "fallback"))).alias("ps"))
-
-    def step(a: Column, p: Column) -> Column:
-        before = F.try_element_at(a, F.lit(-1))["role"]
-        contra = F.when(before == "argument_petitioner", "argument_respondent").when(before == "argument_respondent", "argument_petitioner").otherwise("argument")
-        role = F.when(p["cue"] == "contra", contra).when(p["cue"] == "goes_on", F.when(party(before), before).otherwise(p["fallback"])).otherwise(p["role"])
-        return F.concat(a, F.array(F.struct(p["para_seq"].alias("para_seq"), role.alias("role"))))
-
-    kind = dict(cues.dtypes)["para_seq"]
-    roles = F.aggregate("ps", F.array().cast(f"array<struct<para_seq:{kind},role:string>>"), step)
-    flat = lists.select("case_id", "segment", F.explode(roles).alias("r")).select("case_id", "segment", "r.*")
+    # A paragraph whose role doesn't lean on the one before is an anchor. Behind it the first paragraph that does settles a party,
+    # and each later change of sides turns it; so running counts tell every role, and no opinion is gathered.
+    anchor = F.col("cue").isin("said", "other")
+    line = Window.partitionBy("case_id", "segment").orderBy("para_seq")
+    run = Window.partitionBy("case_id", "segment", "run").orderBy("para_seq").rowsBetween(Window.unboundedPreceding, 0)
+    turned = lambda r: F.when(r == "argument_petitioner", "argument_respondent").when(r == "argument_respondent", "argument_petitioner").otherwise("argument")
+    cues = cues.withColumn("run", F.sum(anchor.cast("int")).over(line))
+    cues = cues.withColumn("before", F.first(F.when(anchor, F.col("role")), True).over(run)).withColumn("nth", F.sum((~anchor).cast("int")).over(run))
+    settled = F.when(F.col("cue") == "contra", turned(F.col("before"))).otherwise(F.when(party(F.col("before")), F.col("before")).otherwise(F.col("fallback")))
+    cues = cues.withColumn("settled", F.first(F.when(F.col("nth") == 1, settled), True).over(run)).withColumn("turns", F.sum(((F.col("cue") == "contra") & (F.col("nth") > 1)).cast("int")).over(run))
+    role = F.when(anchor, F.col("role")).when(F.col("turns") % 2 == 0, F.col("settled")).otherwise(turned(F.col("settled")))
+    flat = cues.select("case_id", "segment", "para_seq", role.alias("role"))
     return df.join(flat, ["case_id", "segment", "para_seq"])

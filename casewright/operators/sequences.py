@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,7 +68,7 @@ def notes_to_paragraphs(notes: DataFrame, paragraphs: DataFrame) -> DataFrame:
 
 
 def pack(df: DataFrame, target: int = 200, most: int = 384, tiny: int = 30) -> DataFrame:
-    """Chunks packed from the paragraphs of each (case_id, segment), as a native fold over the ordered paragraphs.
+    """Chunks packed from the paragraphs of each (case_id, segment), by a fold that streams through the ordered paragraphs.
 
     df: case_id, segment, para_seq, number, label, page, text, role, heading. A chunk holds whole neighbouring paragraphs of
     one role and heading up to `target` tokens; tiny unlabelled ones at its head ride with what follows; a paragraph of
@@ -78,34 +79,33 @@ def pack(df: DataFrame, target: int = 200, most: int = 384, tiny: int = 30) -> D
         "case_id", F.coalesce("segment", F.lit(0)).alias("segment"), "para_seq", "number", F.coalesce("label", F.col("number").cast("string")).alias("label"), "page",
         F.coalesce("text", F.lit("")).alias("text"), F.coalesce("role", F.lit("unlabelled")).alias("role"), "heading",
     )
-    # the fold sees a few bytes a paragraph; texts stay where they are and are joined back
-    item = F.struct("para_seq", F.length("text").alias("chars"), "role", "heading")
-    lists = df.groupBy("case_id", "segment").agg(F.array_sort(F.collect_list(item)).alias("ps"))
+    # the fold sees a few bytes a paragraph, in order, and holds one chunk's state; texts stay where they are and are joined back
     tokens = lambda n: F.greatest(F.lit(1), F.bround(n / F.lit(4.0))).cast("int")
-    kind = "struct<n:int,chars:int,tiny:boolean,role:string,heading:string>"
-    state = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(None).cast(kind).alias("g"))
-
-    def step(a: Column, p: Column) -> Column:
-        g, chars = a["g"], p["chars"]
-        size = tokens(chars)
-        fits = (tokens(g["chars"]) + size <= target) & (size <= most)
-        alike = g["tiny"] | ((p["role"] == g["role"]) & p["heading"].eqNullSafe(g["heading"]))
-        goes_on = g.isNotNull() & (g["n"] >= 0) & fits & alike
-        small = (p["role"] == "unlabelled") & (size < tiny)
-        joined = F.struct(
-            (g["n"] + 1).alias("n"), (g["chars"] + 1 + chars).alias("chars"), (g["tiny"] & small).alias("tiny"),
-            F.when(g["role"] != "unlabelled", g["role"]).otherwise(p["role"]).alias("role"), p["heading"].alias("heading"),
-        )
-        fresh = F.struct(F.when(size > most, -1).otherwise(1).alias("n"), chars.alias("chars"), small.alias("tiny"), p["role"].alias("role"), p["heading"].alias("heading"))
-        return F.struct(
-            F.concat(a["starts"], F.array(F.when(goes_on, 0).otherwise(1))).alias("starts"), F.when(goes_on, joined).otherwise(fresh).alias("g")
-        )
-
-    starts = F.aggregate("ps", state, step, lambda a: a["starts"])
-    flat = lists.select("case_id", "segment", F.posexplode(F.arrays_zip(F.col("ps"), starts.alias("starts"))).alias("at", "x"))
-    flat = flat.select("case_id", "segment", "at", F.col("x.ps.para_seq").alias("para_seq"), F.col("x.starts").alias("new"))
-    w = Window.partitionBy("case_id", "segment").orderBy("at")
-    flat = flat.withColumn("chunk", F.sum("new").over(w) - 1).join(df, ["case_id", "segment", "para_seq"])
+
+    def fold(batches: Iterator) -> Iterator:
+        key, at, chunk, open_, chars, little, role, heading = None, 0, -1, False, 0, False, None, None
+        for pdf in batches:
+            out = []
+            for case, segment, size, said, head in zip(pdf["case_id"], pdf["segment"], pdf["chars"], pdf["role"], pdf["heading"], strict=True):
+                head = head if isinstance(head, str) else None
+                if (case, segment) != key:
+                    key, at, chunk, open_ = (case, segment), 0, -1, False
+                mine = _tokens(size)
+                small = said == "unlabelled" and mine < tiny
+                if open_ and mine <= most and _tokens(chars) + mine <= target and (little or (said == role and head == heading)):
+                    chars, little, role, heading = chars + 1 + size, little and small, role if role != "unlabelled" else said, head
+                else:
+                    chunk += 1
+                    open_, chars, little, role, heading = mine <= most, size, small, said, head
+                out.append((at, chunk))
+                at += 1
+            pdf["at"], pdf["chunk"] = [a for a, _ in out], [k for _, k in out]
+            yield pdf[["case_id", "segment", "para_seq", "at", "chunk"]]
+
+    kinds = dict(df.dtypes)
+    order = df.where("case_id IS NOT NULL").select("case_id", "segment", "para_seq", F.length("text").alias("chars"), "role", "heading")
+    order = order.repartition("case_id", "segment").sortWithinPartitions("case_id", "segment", "para_seq")
+    flat = order.mapInPandas(fold, f"case_id {kinds['case_id']}, segment {kinds['segment']}, para_seq {kinds['para_seq']}, at int, chunk long").join(df, ["case_id", "segment", "para_seq"])
     return flat.groupBy("case_id", "segment", "chunk").agg(
         F.min_by("label", "at").alias("first"), F.max_by("label", "at").alias("last"), F.min_by("number", "at").alias("para_start"), F.max_by("number", "at").alias("para_end"),
         F.min_by("page", "at").alias("page_start"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]), " ").alias("text"),
