@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -99,3 +99,8 @@ def lines_of_words(words: DataFrame) -> DataFrame:
     )  # a line's words
     order = Window.partitionBy("page_id").orderBy("top", "x0", "block", "par", "line")
     return rows.select("page_id", (F.row_number().over(order) - 1).alias("line_no"), "text", "x0", "top")
+
+
+def line_number(page: Column, line: Column) -> Column:
+    """One number for the place of a line in a document, in order of pages and lines, whatever their numbers."""
+    return F.shiftleft(page.cast("long"), 31) + line

@@ -44,7 +44,7 @@ def seg_furniture(spark, sf_dir):
 def seg_paragraphs(spark, sf_dir):
     """Paragraphs read from the printed lines of each case."""
     kept = layout.without_furniture(page_lines(spark, sf_dir))
-    lines = kept.withColumn("line_no", c("page") * 10_000 + c("line"))
+    lines = kept.withColumn("line_no", layout.line_number(c("page"), c("line")))
     return segmentation.paragraphs(lines.select("doc_id", "line_no", "page", "text", "x0", "gap")).select("doc_id", "para_seq", "segment", "number", "page", "heading", "numbering", F.length("text").alias("chars"))
 
 
@@ -52,7 +52,7 @@ def seg_paragraphs(spark, sf_dir):
 def seg_headers(spark, sf_dir):
     """What stands before the first opinion of each case."""
     kept = layout.without_furniture(page_lines(spark, sf_dir))
-    lines = kept.withColumn("line_no", c("page") * 10_000 + c("line"))
+    lines = kept.withColumn("line_no", layout.line_number(c("page"), c("line")))
     return segmentation.headers(lines.select("doc_id", "line_no", "page", "text", "x0", "gap"))
 
 
@@ -238,7 +238,10 @@ def pay_pipeline(spark, sf_dir):
 
     cases = one_per_key(table(spark, sf_dir, "cases"), "case_id").select("case_id", "case_name", "court", "case_date", "citations", "bench", "summary")
     rows = pipeline.passages(page_lines(spark, sf_dir), cases, examples(spark))
-    return rows.select("chunk_id", "case_id", "chunk_part", "long", "role", "tokens", "substantive", "block_id", "block_index", "prev_chunk_id", "next_chunk_id", F.length("context").alias("context_chars"))
+    return rows.select(
+        "chunk_id", "case_id", "chunk_part", "long", "role", "tokens", "substantive", "block_id", "block_index", "prev_chunk_id", "next_chunk_id", F.length("context").alias("context_chars"),
+        "para_numbering", "opinion_author", F.array_join("cited_cases", "|").alias("cited_cases"), F.array_join("keywords", "|").alias("keywords"), "cite_as", "parse_quality",
+    )
 
 
 @query("pay_cards", f"""
