@@ -9,7 +9,7 @@ from ..functions import ids
 from ..functions import text as tx
 from ..operators import extract, layout, roles, segmentation, sequences
 from ..sources.tables import one_per_key, table
-from .relational_q import CHUNKS, chunks, paragraphs
+from .relational_q import CHUNKS, CITED, chunks, paragraphs
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -126,7 +126,12 @@ def pay_passages(spark, sf_dir):
     return rows.join(meta, "case_id", "left")
 
 
-@query("ext_paragraph_refs")
+CITED_IN_PARAS = rf"""
+    SELECT case_id, number, regexp_replace(regexp_extract(m, 'of\s+the\s+(.*)$', 1, 's'), '\s+', ' ', 'g') AS code, regexp_replace(regexp_extract(m, '\d{{1,3}}[A-Z]{{0,2}}(?:\s?\([0-9A-Za-z]{{1,3}}\))*'), '\s', '', 'g') AS section
+    FROM (SELECT case_id, number, unnest(regexp_extract_all(text, '{CITED}')) AS m FROM (SELECT DISTINCT ON (para_id) * FROM paragraphs WHERE para_id IS NOT NULL))"""
+
+
+@query("ext_paragraph_refs", f"SELECT case_id, code, section, count(*) AS mentions, coalesce(array_to_string(list_sort(list(DISTINCT number) FILTER (WHERE number IS NOT NULL)), ','), '') AS paragraphs FROM ({CITED_IN_PARAS}) GROUP BY 1, 2, 3")
 def ext_paragraph_refs(spark, sf_dir):
     """Provisions of the codes that the paragraphs cite, by case."""
     p = paragraphs(spark, sf_dir).select("case_id", "number", "text")
@@ -281,3 +286,12 @@ def seg_footnotes(spark, sf_dir):
 
     lines = F.array(F.lit("stray"), F.lit("1"), F.lit("1st note"), F.lit("goes on"), F.lit("2 second"), F.lit(""))
     return table(spark, sf_dir, "cases").where("case_id IS NOT NULL").select("case_id").distinct().select("case_id", F.array_join(cards.footnotes(lines), "|").alias("notes"))
+
+
+@query("win_judge_runs")
+def win_judge_runs(spark, sf_dir):
+    """Runs of pages whose running headers name one judge."""
+    from ..operators import reports
+
+    pages = one_per_key(table(spark, sf_dir, "case_pages").select("page_id", "case_id", c("page_number").alias("page"), "lines"), "page_id")
+    return reports.judge_runs(reports.header_names(pages))

@@ -348,7 +348,16 @@ def smp_described(spark, sf_dir):
     return sampling.described(one_per_key(table(spark, sf_dir, "judgment_sample"), "file").withColumn("year", c("decision_year")))
 
 
-@query("smp_balanced")
+@query("smp_balanced", """
+    WITH s AS (SELECT DISTINCT ON (file) *, CASE WHEN decision_year BETWEEN 1950 AND 1989 THEN '1950-1989' WHEN decision_year BETWEEN 1990 AND 2009 THEN '1990-2009' WHEN decision_year BETWEEN 2010 AND 2025 THEN '2010-2025' END AS era,
+                      CASE WHEN pages <= 8 THEN 'short' WHEN pages >= 40 THEN 'long' ELSE 'medium' END AS length, coalesce(regexp_matches(case_number, '(?i)\\bCRIMINAL\\b|\\bCRL\\b'), false) AS crim, coalesce(bench_size >= 5, false) AS large
+               FROM judgment_sample WHERE file IS NOT NULL),
+         p AS (SELECT *, md5(path || '|20261007') AS h FROM s WHERE coalesce(bench, '') <> '' AND coalesce(decision_date, '') <> '' AND era IS NOT NULL),
+         f AS (SELECT *, large AND row_number() OVER (PARTITION BY era, large ORDER BY h NULLS FIRST, path NULLS FIRST) <= 3 AS top FROM p),
+         t AS (SELECT *, CASE WHEN top THEN '0' ELSE (CASE WHEN crim THEN '1-' ELSE '2-' END) || length END AS tier FROM f),
+         k AS (SELECT *, top OR row_number() OVER (PARTITION BY era, tier ORDER BY h NULLS FIRST, path NULLS FIRST) <= round_even(20 * (CASE WHEN length = 'medium' THEN 0.5 ELSE 0.25 END) * (CASE WHEN crim THEN 0.4 ELSE 0.6 END), 0) AS within FROM t),
+         n AS (SELECT *, row_number() OVER (PARTITION BY era ORDER BY CASE WHEN top THEN 0 WHEN within AND crim THEN 1 WHEN within THEN 2 ELSE 3 END, h NULLS FIRST, path NULLS FIRST) AS n FROM k)
+    SELECT era, file, decision_year AS year FROM n WHERE n <= 20""")
 def smp_balanced(spark, sf_dir):
     df = one_per_key(table(spark, sf_dir, "judgment_sample"), "file").withColumn("year", c("decision_year"))
     return sampling.balanced(df, 60).select("era", "file", "year")
@@ -384,7 +393,7 @@ def refs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: The stored texts cite sections of named Acts only; the extractor's other forms are covered by its unit tests.
-CITED = r"(?:Sections?|§)\s*\d{1,3}[A-Z]{0,2}(?:\s?\([0-9A-Za-z]{1,3}\))*\s+of\s+the\s+(?:[A-Z][A-Za-z]*\s+)+Act,\s+\d{4}"
+CITED = r"(?:Sections?|§)\s*\d{1,3}[A-Z]{0,2}(?:\s?\([0-9A-Za-z]{1,3}\))*\s+of\s+the\s+(?:[A-Z][A-Za-z]*\s+)+Act,?\s+\d{4}"
 DOC_REFS = rf"""
     SELECT doc_id, regexp_replace(regexp_extract(m, 'of\s+the\s+(.*)$', 1, 's'), '\s+', ' ', 'g') AS code, regexp_replace(regexp_extract(m, '\d{{1,3}}[A-Z]{{0,2}}(?:\s?\([0-9A-Za-z]{{1,3}}\))*'), '\s', '', 'g') AS section
     FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{CITED}')) AS m FROM documents)"""

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from casewright.functions import dates
 from casewright.functions import text as tx
-from casewright.operators import layout, quality, records, roles, sampling, segmentation, sequences, vectors
+from casewright.operators import layout, quality, records, reports, roles, sampling, segmentation, sequences, vectors
 from casewright.operators.segmentation import Line
 from pyspark.sql import functions as F
 
@@ -103,3 +103,13 @@ def test_roles_and_packing_of_a_long_opinion(spark):
     paras = df.select("case_id", "segment", "para_seq", F.col("para_seq").alias("number"), F.lit(None).cast("string").alias("label"), F.lit(1).alias("page"), "text", F.lit("facts").alias("role"), "heading")
     packed = sequences.pack(paras).orderBy("chunk").collect()
     assert sum(len(r["labels"]) for r in packed) == 300 and all(len(r["text"]) <= 804 for r in packed) and [r["chunk"] for r in packed] == list(range(len(packed)))
+
+
+def test_judge_runs(spark):
+    named = ["Khanna", "Khanua", "Kxqzz", "Khanna", "Ray", "Ray", "Rav", "J", "Khanna", None]
+    df = spark.createDataFrame([("c", i, n) for i, n in enumerate(named)] + [("d", 1, "Bose"), (None, 1, "X"), ("d", None, "Bose"), ("d", 1, "Bose")], "case_id string, page int, name string")
+    got = sorted(tuple(r) for r in reports.judge_runs(df).collect())
+    assert got == [("c", 0, "Khanna", 0, 3, 3), ("c", 1, "Ray", 4, 6, 3), ("c", 2, "Khanna", 8, 8, 1), ("d", 0, "Bose", 1, 1, 1)]
+    assert reports.judge_runs(df.where("false")).count() == 0
+    pages = spark.createDataFrame([("c", 1, ["REPORTS 1973", "A v. B (Khanna, J.) 12", "text"]), ("c", 2, None), ("c", 3, [None, "text"])], "case_id string, page int, lines array<string>")
+    assert [tuple(r) for r in reports.header_names(pages).collect()] == [("c", 1, "Khanna")]
