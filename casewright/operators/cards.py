@@ -72,3 +72,20 @@ def footnotes(lines: Column) -> Column:
         )
 
     return F.aggregate(F.filter(lines, lambda x: x.isNotNull() & (F.trim(x) != "")), state, step, lambda a: a["done"])
+
+
+def case_figures(pages: DataFrame, paragraphs: DataFrame, passages: DataFrame) -> DataFrame:
+    """The figures of a case's build in one row: pages, paragraphs, opinion segments, numbering, headings found, passages with their least, middle and
+    greatest size, provisions and cases cited, blocks, passages that are not substantive, and passages by role.
+
+    pages(case_id, page_id); paragraphs(case_id, para_id, segment, numbering, heading); passages(case_id, role, tokens, substantive, block_id,
+    statutes, cited_cases). Each table is summed up by itself before the join; a case without rows in one has 0 there.
+    """
+    several = F.count_distinct("numbering") > 1
+    a = pages.groupBy("case_id").agg(F.count_distinct("page_id").alias("pages"))
+    b = paragraphs.groupBy("case_id").agg(
+        F.count_distinct("para_id").alias("paragraphs"), F.count_distinct("segment").alias("opinion_segments"), F.when(several, "mixed").otherwise(F.max("numbering")).alias("para_numbering"), F.count_distinct(F.nullif("heading", F.lit(""))).alias("headings_found")
+    )
+    size = lambda name: F.coalesce(F.sum(F.size(name)), F.lit(0))
+    c = build_figures(passages).join(passages.groupBy("case_id").agg(size("statutes").alias("statutes_cited"), size("cited_cases").alias("cases_cited"), F.count_distinct("block_id").alias("blocks")), "case_id")
+    return a.join(b, "case_id", "full").join(c, "case_id", "full").fillna(0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids
@@ -99,3 +99,17 @@ def node_counts(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def alerts(provisions: DataFrame, mapping: DataFrame, active: Column) -> DataFrame:
+    """(statute_id, ..., new_id): the provisions that are no longer in force, each with its successors, or null where it has none.
+
+    provisions(statute_id, ...); mapping(old_id, new_id).
+    """
+    follow = mapping.select(F.col("old_id").alias("statute_id"), "new_id").distinct()
+    return provisions.where(~active).join(follow, "statute_id", "left")
+
+
+def edges_around(edges: DataFrame, case_id: str, source: str = "case_id", target: str = "target") -> DataFrame:
+    """The edges that begin or end at one case."""
+    return edges.where((F.col(source) == case_id) | (F.col(target) == case_id))

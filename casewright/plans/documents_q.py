@@ -295,3 +295,28 @@ def win_judge_runs(spark, sf_dir):
 
     pages = one_per_key(table(spark, sf_dir, "case_pages").select("page_id", "case_id", c("page_number").alias("page"), "lines"), "page_id")
     return reports.judge_runs(reports.header_names(pages))
+
+
+@query("agg_case_figures", f"""
+    WITH g AS (SELECT case_id, count(DISTINCT page_id) AS pages FROM case_pages WHERE case_id IS NOT NULL GROUP BY 1),
+         o AS (SELECT DISTINCT case_id, opinion_index AS segment, numbering FROM opinions WHERE numbering IS NOT NULL),
+         n AS (SELECT case_id, CASE WHEN count(DISTINCT numbering) > 1 THEN 'mixed' ELSE max(numbering) END AS para_numbering FROM (SELECT p.case_id, o.numbering FROM (SELECT DISTINCT case_id, segment FROM paragraphs) p JOIN o ON o.case_id = p.case_id AND o.segment = p.segment) GROUP BY 1),
+         a AS (SELECT case_id, count(DISTINCT para_id) AS paragraphs, count(DISTINCT segment) AS opinion_segments, count(DISTINCT nullif(heading, '')) AS headings_found FROM paragraphs WHERE case_id IS NOT NULL GROUP BY 1),
+         c AS (SELECT *, greatest(1, round_even(len(text) / 4.0, 0))::INT AS t, len(regexp_extract_all(text, '{CITED}')) AS refs FROM {CHUNKS} WHERE text IS NOT NULL AND case_id IS NOT NULL AND rhetorical_role IS NOT NULL),
+         f AS (SELECT case_id, count(*) AS chunks, min(t) AS tokens_min, floor(median(t))::INT AS tokens_median, max(t) AS tokens_max, count(*) FILTER (WHERE t < 25) AS not_substantive, sum(refs)::BIGINT AS statutes_cited, count(DISTINCT section_heading) AS blocks FROM c GROUP BY 1),
+         r AS (SELECT case_id, string_agg(rhetorical_role || '=' || k, ',' ORDER BY rhetorical_role) AS roles FROM (SELECT case_id, rhetorical_role, count(*) AS k FROM c GROUP BY 1, 2) GROUP BY 1)
+    SELECT case_id, coalesce(pages, 0) AS pages, coalesce(paragraphs, 0) AS paragraphs, coalesce(opinion_segments, 0) AS opinion_segments, para_numbering, coalesce(headings_found, 0) AS headings_found, coalesce(chunks, 0) AS chunks, coalesce(tokens_min, 0) AS tokens_min,
+           coalesce(tokens_median, 0) AS tokens_median, coalesce(tokens_max, 0) AS tokens_max, coalesce(statutes_cited, 0) AS statutes_cited, coalesce(blocks, 0) AS blocks, coalesce(not_substantive, 0) AS not_substantive, coalesce(roles, '') AS roles
+    FROM g FULL JOIN a USING (case_id) FULL JOIN f USING (case_id) LEFT JOIN n USING (case_id) LEFT JOIN r USING (case_id)""")
+def agg_case_figures(spark, sf_dir):
+    """Figures of each case's build from the stored pages, paragraphs and passages."""
+    from ..operators import cards
+
+    pages = table(spark, sf_dir, "case_pages").where("case_id IS NOT NULL").select("case_id", "page_id")
+    numbered = table(spark, sf_dir, "opinions").where("numbering IS NOT NULL").select("case_id", c("opinion_index").alias("segment"), "numbering").distinct()
+    paras = table(spark, sf_dir, "paragraphs").where("case_id IS NOT NULL").select("case_id", "para_id", "segment", "heading").join(numbered, ["case_id", "segment"], "left")
+    p = chunks(spark, sf_dir).where("text IS NOT NULL AND case_id IS NOT NULL AND rhetorical_role IS NOT NULL")
+    p = p.select("case_id", c("rhetorical_role").alias("role"), tx.tokens(c("text")).alias("tokens"), c("section_heading").alias("block_id"), F.regexp_extract_all("text", F.lit(CITED), F.lit(0)).alias("statutes"), F.array().cast("array<string>").alias("cited_cases"))
+    found = cards.case_figures(pages, paras, p.withColumn("substantive", c("tokens") >= 25))
+    roles_ = F.array_join(F.transform(F.map_entries("roles"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
+    return found.withColumn("roles", F.coalesce(roles_, F.lit(""))).drop("cases_cited")

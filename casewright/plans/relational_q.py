@@ -550,3 +550,26 @@ def src_words(spark, sf_dir):
     pages = one_per_key(table(spark, sf_dir, "case_pages"), "page_id").select("page_id", F.posexplode("lines").alias("line", "x"))
     words = pages.select("page_id", F.lit(0).alias("block"), F.lit(0).alias("par"), "line", F.posexplode(F.split("x", " ")).alias("left", "word"), (c("line") * 40).alias("top"))
     return layout.lines_of_words(words).select("page_id", c("line_no").cast("long").alias("line_no"), "text")
+
+
+@query("gr_alerts", f"""
+    WITH {LOOKED_UP}, p AS (SELECT DISTINCT code || ':' || regexp_replace(section, '\\(.*$', '') AS statute_id FROM r WHERE code LIKE '% Levy Act, %')
+    SELECT p.statute_id, m.new AS new_id FROM p LEFT JOIN m ON m.old = p.statute_id""")
+def gr_alerts(spark, sf_dir):
+    """Cited provisions of the Acts that were followed, with their successors where they have one."""
+    cited = checkpointed(refs(spark, sf_dir))
+    provisions = cited.select("code", F.concat_ws(":", "code", ids.base_section(c("section"))).alias("statute_id")).distinct()
+    return graph.alerts(provisions, followed(cited), ~c("code").contains(" Levy Act, ")).select("statute_id", "new_id")
+
+
+@query("gr_edges_around", f"""
+    WITH k AS (SELECT {KEY.format('x')} AS key, min(case_id) AS target FROM (SELECT case_id, unnest(citations) AS x FROM cases) GROUP BY 1),
+         o AS (SELECT DISTINCT case_id, {KEY.format('x')} AS key FROM (SELECT case_id, unnest(overrules) AS x FROM cases)),
+         e AS (SELECT DISTINCT o.case_id, coalesce(k.target, 'cite:' || o.key) AS target FROM o LEFT JOIN k USING (key) WHERE coalesce(k.target, 'cite:' || o.key) <> o.case_id),
+         x AS (SELECT min(target) AS id FROM e)
+    SELECT case_id, target FROM e, x WHERE case_id = id OR target = id""")
+def gr_edges_around(spark, sf_dir):
+    """The edges around one case: the least that any other overrules."""
+    edges = checkpointed(gr_overrules(spark, sf_dir).select("case_id", "target"))
+    least = edges.agg(F.min("target")).first()[0]
+    return graph.edges_around(edges, least or "")
