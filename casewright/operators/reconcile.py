@@ -156,7 +156,7 @@ def _vanishing(hashes: DataFrame, solved: DataFrame, which: str) -> DataFrame:
 def differing_keys(first: DataFrame, second: DataFrame) -> DataFrame:
     """Keys of the rows that only one side holds."""
     buckets = max(64, first.count() // ROWS_A_BUCKET)
-    sides = [_hashed(first, buckets), _hashed(second, buckets)]
+    sides = [checkpointed(_hashed(first, buckets)), checkpointed(_hashed(second, buckets))]  # rows are read and serialised once for all hashes
     keys = None
     for level in range(LEVELS):
         solved = checkpointed(_solved(*sides))
