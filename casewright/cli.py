@@ -59,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
         from .sources import sinks
 
         cases = table(spark, settings.data, "cases").select("case_id", "case_name", "court", "case_date", "citations", "bench", "summary")
-        sinks.export_lines(pipeline.passages(documents_q.page_lines(spark, settings.data), cases, relational_q.examples(spark)), args.output)
+        sinks.export_lines(pipeline.passages(documents_q.page_rows(spark, settings.data), cases, relational_q.examples(spark)), args.output)
     elif args.command == "sample":
         known["smp_balanced"](spark, settings.data).coalesce(1).write.mode("overwrite").option("header", True).csv(args.output)
     elif args.command == "check":

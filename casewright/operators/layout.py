@@ -63,26 +63,46 @@ def gutters(words: DataFrame) -> DataFrame:
     return ok.groupBy("doc_id", "page").agg(F.min(F.struct("crossed", "gutter")).alias("m")).select("doc_id", "page", F.col("m.gutter").alias("gutter"))
 
 
-def without_furniture(lines: DataFrame) -> DataFrame:
-    """Lines(doc_id, page, line, text, gap) without stamps, page numbers at the edges and headers that recur on most pages.
+def kept_pages(pages: DataFrame) -> DataFrame:
+    """(doc_id, page, kept) of pages(doc_id, page, lines) without stamps, page numbers at the edges and headers that recur on most pages; lines is an array
+    of structs line, text, gap, x0 in order, and kept one of structs x (a line), drop and after (whether the line before was dropped).
 
     A header is an edge line whose shape, digits masked, stands on at least three and on 60 percent of a document's pages. A gap
-    behind a dropped line, or before a page's first line, is none.
+    behind a dropped line, or before a page's first line, is none. Null and blank lines are left out. A page is read within its row; only
+    the shapes of its four edge lines are counted across pages, and a document has at most six headers.
     """
-    live = lines.where(F.trim("text") != "")
-    page = Window.partitionBy("doc_id", "page")
-    rank = F.least(F.row_number().over(page.orderBy("line")), F.row_number().over(page.orderBy(F.desc("line"))))
-    live = live.withColumn("edge", rank <= 2).withColumn("shape", F.regexp_replace(F.trim("text"), r"\d+", "#"))
-    pages = lines.groupBy("doc_id").agg(F.count_distinct("page").alias("pages"))
-    seen = live.where("edge AND length(shape) > 3").where(~F.col("text").rlike(r"^\s*\d{1,3}\.\s")).select("doc_id", "shape", "page").distinct().groupBy("doc_id", "shape").agg(F.count(F.lit(1)).alias("k"))
-    headers = seen.join(pages, "doc_id").where((F.col("pages") >= 3) & (F.col("k") >= F.greatest(F.lit(3.0), F.col("pages") * 0.6))).select("doc_id", "shape", F.lit(True).alias("header"))
-    marked = live.join(headers, ["doc_id", "shape"], "left")
-    drop = F.col("text").rlike(FURNITURE) | (F.col("edge") & (F.coalesce("header", F.lit(False)) | F.col("text").rlike(PAGE_NUMBER)))
-    order = page.orderBy("line")
-    marked = marked.withColumn("drop", drop).withColumn("after", F.coalesce(F.lag("drop").over(order), F.lit(True)))
-    kept = marked.where("NOT drop")
-    first = F.row_number().over(order) == 1
-    return kept.withColumn("gap", F.coalesce("gap", F.lit(False)) & ~F.col("after") & ~first).select(*lines.columns)
+    live = F.filter("lines", lambda x: F.coalesce(F.trim(x["text"]) != "", F.lit(False)))
+    shape = lambda x: F.regexp_replace(F.trim(x["text"]), r"\d+", "#")
+    rows = pages.where("doc_id IS NOT NULL").select("doc_id", "page", live.alias("live"))
+    edges = F.filter(F.concat(F.slice("live", 1, 2), F.slice("live", F.greatest(F.lit(3), F.size("live") - 1), 2)), lambda x: ~x["text"].rlike(r"^\s*\d{1,3}\.\s"))
+    shapes = rows.select("doc_id", "page", F.explode(F.array_distinct(F.transform(edges, shape))).alias("shape")).where("length(shape) > 3")
+    seen = shapes.distinct().groupBy("doc_id", "shape").agg(F.count(F.lit(1)).alias("k"))
+    count = pages.groupBy("doc_id").agg(F.count_distinct("page").alias("pages"))
+    often = seen.join(count, "doc_id").where((F.col("pages") >= 3) & (F.col("k") >= F.greatest(F.lit(3.0), F.col("pages") * 0.6)))
+    headers = often.groupBy("doc_id").agg(F.collect_set("shape").alias("headers"))
+
+    n = F.size("live")
+    dropped = lambda x, i: x["text"].rlike(FURNITURE) | (((i < 2) | (i >= n - 2)) & (F.coalesce(F.array_contains("headers", shape(x)), F.lit(False)) | x["text"].rlike(PAGE_NUMBER)))
+    marked = rows.join(headers, "doc_id", "left").select("doc_id", "page", "live", F.transform("live", dropped).alias("drop"))
+    each = F.arrays_zip(F.col("live").alias("x"), F.col("drop").alias("drop"), F.concat(F.array(F.lit(True)), "drop").alias("after"))
+    kept = F.filter(each, lambda e: ~e["drop"])  # the last place of `after` has no line
+    return marked.select("doc_id", "page", kept.alias("kept"))
+
+
+def kept_lines(pages: DataFrame) -> DataFrame:
+    """(doc_id, page, line, text, gap, x0): the lines of `kept_pages`."""
+    flat = kept_pages(pages).select("doc_id", "page", F.posexplode("kept").alias("nth", "e"))
+    gap = F.coalesce("e.x.gap", F.lit(False)) & ~F.col("e.after") & (F.col("nth") > 0)
+    return flat.select("doc_id", "page", "e.x.line", "e.x.text", gap.alias("gap"), "e.x.x0")
+
+
+def without_furniture(lines: DataFrame) -> DataFrame:
+    """The same for single lines(doc_id, page, line, text, gap, ...): they are put together by page first. Other columns than x0 are dropped."""
+    x0 = F.col("x0") if "x0" in lines.columns else F.lit(None).cast("double")
+    each = F.struct("line", "text", "gap", x0.alias("x0"))
+    pages = lines.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(each)).alias("lines"))  # a page's lines
+    out = kept_lines(pages)
+    return out if "x0" in lines.columns else out.drop("x0")
 
 
 #: Points of a recognised page, by its resolution of 300 to the inch.

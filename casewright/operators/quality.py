@@ -27,12 +27,11 @@ def words_lost(first: DataFrame, second: DataFrame, group: str) -> DataFrame:
     return both.groupBy(group).agg(F.sum("a").alias("total"), F.sum(gone).alias("lost"))
 
 
-def outside_share(lines: DataFrame, paragraphs: DataFrame) -> DataFrame:
-    """(case_id, outside): share of the words of a case's lines(doc_id, page, line, text) that are in no paragraph(case_id, number,
+def outside_share(pages: DataFrame, paragraphs: DataFrame) -> DataFrame:
+    """(case_id, outside): share of the words of a case's pages(doc_id, texts), the lines of a page in order, that are in no paragraph(case_id, number,
     text, heading), its number or heading, by multiset difference; words broken over lines are joined. A case without words on its
     pages has none."""
-    texts = F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"])
-    pages = lines.where("text IS NOT NULL").groupBy(F.col("doc_id").alias("case_id"), "page").agg(F.regexp_replace(tx.join_lines(texts), BROKEN, "").alias("t"))
+    pages = pages.select(F.col("doc_id").alias("case_id"), F.regexp_replace(tx.join_lines(F.col("texts")), BROKEN, "").alias("t"))
     said = paragraphs.select("case_id", F.concat_ws(" ", F.col("number").cast("string"), "text").alias("t"))
     heads = paragraphs.where("heading IS NOT NULL").select("case_id", F.col("heading").alias("t")).distinct()
     lost = words_lost(word_counts(pages, "case_id", "t"), word_counts(said.unionByName(heads), "case_id", "t"), "case_id")

@@ -26,24 +26,24 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
-def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, page, line, text, gap, x0) of all pages."""
+def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, page, lines) of all pages, a line with its number, text, gap and x0."""
     p = one_per_key(table(spark, sf_dir, "case_pages").select("page_id", "case_id", "page_number", "lines", "x0", "gap"), "page_id")
-    flat = p.select(c("case_id").alias("doc_id"), c("page_number").alias("page"), "x0", "gap", F.posexplode("lines").alias("line", "text"))
-    return flat.where("text IS NOT NULL").select("doc_id", "page", "line", "text", F.get("gap", "line").alias("gap"), F.get("x0", "line").alias("x0"))
+    line = lambda text, i: F.struct(i.alias("line"), text.alias("text"), F.get("gap", i).alias("gap"), F.get("x0", i).alias("x0"))
+    return p.select(c("case_id").alias("doc_id"), c("page_number").alias("page"), F.transform("lines", line).alias("lines"))
 
 
 @query("seg_furniture")
 def seg_furniture(spark, sf_dir):
     """Lines left on each page once its furniture is off."""
-    kept = layout.without_furniture(page_lines(spark, sf_dir))
+    kept = layout.kept_lines(page_rows(spark, sf_dir))
     return kept.groupBy("doc_id", "page").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if("gap").alias("gaps"))
 
 
 @query("seg_paragraphs")
 def seg_paragraphs(spark, sf_dir):
     """Paragraphs read from the printed lines of each case."""
-    kept = layout.without_furniture(page_lines(spark, sf_dir))
+    kept = layout.kept_lines(page_rows(spark, sf_dir))
     lines = kept.withColumn("line_no", layout.line_number(c("page"), c("line")))
     return segmentation.paragraphs(lines.select("doc_id", "line_no", "page", "text", "x0", "gap")).select("doc_id", "para_seq", "segment", "number", "page", "heading", "numbering", F.length("text").alias("chars"))
 
@@ -51,7 +51,7 @@ def seg_paragraphs(spark, sf_dir):
 @query("seg_headers")
 def seg_headers(spark, sf_dir):
     """What stands before the first opinion of each case."""
-    kept = layout.without_furniture(page_lines(spark, sf_dir))
+    kept = layout.kept_lines(page_rows(spark, sf_dir))
     lines = kept.withColumn("line_no", layout.line_number(c("page"), c("line")))
     return segmentation.headers(lines.select("doc_id", "line_no", "page", "text", "x0", "gap"))
 
@@ -218,7 +218,7 @@ def qua_verdicts(spark, sf_dir):
     df = cases
     for part in (words, read, bad, ops, sizes, counted, gaps):
         df = df.join(part, "case_id", "left")
-    outside = quality.outside_share(layout.without_furniture(page_lines(spark, sf_dir)), pa)
+    outside = quality.outside_share(layout.kept_pages(page_rows(spark, sf_dir)).select("doc_id", F.transform("kept", lambda e: e["x"]["text"]).alias("texts")), pa)
     df = df.join(outside, "case_id", "left")
     # no reader of these tables places openings approximately, so that rule isn't built
     df = df.withColumn("rough", F.lit(None).cast("int")).fillna(0, ["gap_opinions", "chunks", "words"])
@@ -242,7 +242,7 @@ def pay_pipeline(spark, sf_dir):
     from .relational_q import examples
 
     cases = one_per_key(table(spark, sf_dir, "cases"), "case_id").select("case_id", "case_name", "court", "case_date", "citations", "bench", "summary")
-    rows = pipeline.passages(page_lines(spark, sf_dir), cases, examples(spark))
+    rows = pipeline.passages(page_rows(spark, sf_dir), cases, examples(spark))
     return rows.select(
         "chunk_id", "case_id", "chunk_part", "long", "role", "tokens", "substantive", "block_id", "block_index", "prev_chunk_id", "next_chunk_id", F.length("context").alias("context_chars"),
         "para_numbering", "opinion_author", F.array_join("cited_cases", "|").alias("cited_cases"), F.array_join("keywords", "|").alias("keywords"), "cite_as", "parse_quality",

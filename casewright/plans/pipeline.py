@@ -11,15 +11,15 @@ from ..operators import extract, layout, mapping, roles, segmentation, sequences
 from ..sources.tables import checkpointed
 
 
-def passages(lines: DataFrame, cases: DataFrame, table: DataFrame) -> DataFrame:
-    """Passages with their payload from lines(doc_id, page, line, text, gap, x0), cases(case_id, case_name, court, case_date, citations,
+def passages(pages: DataFrame, cases: DataFrame, table: DataFrame) -> DataFrame:
+    """Passages with their payload from pages(doc_id, page, lines), the lines with line, text, gap and x0, cases(case_id, case_name, court, case_date, citations,
     bench, summary) and a mapping table. doc_id is the case_id. A paragraph above 384 tokens is cut into
     parts (chunk_part) at sentences. Paragraphs, their roles and the passages are checkpointed, as each is read several times.
 
     parse_quality is the state of the case's reading: reject without text or with a passage above the limit, review where numbers are
     lacking or missing, else ok. Keywords are the provisions, the cited cases' names and the heading, each once.
     """
-    kept = layout.without_furniture(lines).withColumn("line_no", layout.line_number(F.col("page"), F.col("line")))
+    kept = layout.kept_lines(pages).withColumn("line_no", layout.line_number(F.col("page"), F.col("line")))
     paras = segmentation.paragraphs(kept.select("doc_id", "line_no", "page", "text", "x0", "gap")).withColumnRenamed("doc_id", "case_id")
     paras = checkpointed(paras.join(cases.select("case_id", "case_name"), "case_id", "left"))
     labelled = roles.label(paras, F.col("text").rlike(extract.SIGNS), F.col("text").rlike(r"\d{4}.*(?:SCC|AIR|SCR|INSC)"))

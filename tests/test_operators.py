@@ -133,7 +133,8 @@ def test_passages_carry_parts(spark):
     said = ["A v. B", "JUDGMENT", "1. First para of the case.", *long, "3. Third para of the case.", "4. Fourth para of the case."]
     lines = spark.createDataFrame([("k", 1, i, t, False, 72.0) for i, t in enumerate(said)], "doc_id string, page int, line int, text string, gap boolean, x0 double")
     cases = spark.createDataFrame([("k", "A v. B", "Supreme Court", dt.date(2000, 1, 1), ["c"], ["X"], "s")], "case_id string, case_name string, court string, case_date date, citations array<string>, bench array<string>, summary string")
-    got = pipeline.passages(lines, cases, relational_q.examples(spark)).collect()
+    pages = lines.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(F.struct("line", "text", "gap", "x0"))).alias("lines"))
+    got = pipeline.passages(pages, cases, relational_q.examples(spark)).collect()
     names = [r["chunk_id"] for r in got]
     cut = sorted((r["chunk_part"], r["chunk_id"], r["parent_id"]) for r in got if r["chunk_part"] is not None)
     assert len(set(names)) == len(names) and len(cut) > 1 and max(r["tokens"] for r in got) <= 384
@@ -297,7 +298,8 @@ def test_text_outside_paragraphs(spark):
         [("a", 1, 0, "1. one two be-"), ("a", 1, 1, "fore FACTS"), ("a", 2, 0, "lost lost gone"), ("b", 1, 0, "1. all here"), ("c", 1, 0, "nothing kept"), (None, 1, 0, "x")], "doc_id string, page int, line int, text string"
     )
     paras = spark.createDataFrame([("a", 1, "one two before", "FACTS"), ("a", 2, "lost", "FACTS"), ("b", 1, "all here", None), ("b", 2, None, None)], "case_id string, number int, text string, heading string")
-    got = {r["case_id"]: round(r["outside"], 6) for r in quality.outside_share(lines, paras).collect() if r["case_id"]}
+    pages = lines.groupBy("doc_id", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]).alias("texts"))
+    got = {r["case_id"]: round(r["outside"], 6) for r in quality.outside_share(pages, paras).collect() if r["case_id"]}
     assert got == {"a": 0.25, "b": 0.0, "c": 1.0}
 
 
