@@ -214,22 +214,25 @@ def label_of(column: Column) -> Column:
     return F.when(code.rlike("^[a-z]{2,3}$") & ~code.isin("und", "mul", "zxx", "mis"), code)
 
 
-def confirmed(texts: list[list[str]], labels: list[str], halves: list[int]) -> list[str]:
-    """The labels whose sentences of one half are found to be in that language by classifiers fitted on the other half."""
+def confirmed(texts: list[list[str]], labels: list[str], halves: list[int], sizes: dict[str, int]) -> list[str]:
+    """The labels whose sentences of one half are found to be in that language by classifiers fitted on the other half.
+
+    The sample holds as many sentences of each label, so the labels' numbers of documents (sizes) count as odds: sentences that could be
+    of either of two labels are those of the more frequent one. A rare label that stands on another language's texts so confirms
+    nothing, while a rare language is told by its words, whose evidence exceeds the odds.
+    """
     import numpy as np
 
     names = sorted(set(labels))
     y, half = np.array([names.index(x) for x in labels], int), np.array(halves)
     codes = codebook(len(names))
-    kept = []
     train, test = np.flatnonzero(half == 0), np.flatnonzero(half == 1)
     if not len(train) or not len(test):
         return names
-    found = decode(Scorer(fit_once([texts[i] for i in train], y[train], codes, epochs=3)).outputs([texts[i] for i in test]), codes)[0]
-    for k, name in enumerate(names):
-        own = y[test] == k
-        if not own.any() or (found[own] == k).mean() >= CONFIRMED:
-            kept.append(name)
+    scores = Scorer(fit_once([texts[i] for i in train], y[train], codes, epochs=3)).outputs([texts[i] for i in test])
+    loss = np.logaddexp(0, -scores[:, None, :] * codes[None]).sum(axis=2) - np.log([max(1, sizes.get(n, 1)) for n in names])
+    found = loss.argmin(axis=1)
+    kept = [n for k, n in enumerate(names) if not (y[test] == k).any() or (found[y[test] == k] == k).mean() >= CONFIRMED]
     return kept or names
 
 
@@ -254,7 +257,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Model:
                     halves.append((nth + k) % 2)
     if not texts:
         return Model(np.zeros((BUCKETS, BITS), np.float32), np.zeros(BITS, np.float32), codebook(2), ("und", "und"))
-    names = confirmed(texts, labels, halves)
+    names = confirmed(texts, labels, halves, sizes)
     use = [i for i, x in enumerate(labels) if x in names]
     texts, y, codes = [texts[i] for i in use], np.array([names.index(labels[i]) for i in use], int), codebook(max(2, len(names)))
     model = fit_once(texts, y, codes, epochs=3)

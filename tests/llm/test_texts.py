@@ -180,6 +180,8 @@ def test_languages_follow_the_labels(spark):
     rows += [(200 + i, english, "la") for i in range(6)] + [(300, swahili, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert languages.fit(df).languages == ("en", "nl", "sw")
+    more = df.union(spark.createDataFrame([(1000 + i, english, "en") for i in range(200)], df.schema))
+    assert languages.fit(more, 6).languages == ("en", "nl", "sw")  # as many sentences of the wrong label as of the right one
     got = {r["doc_id"]: (r["status"], r["languages"]) for r in languages.document_languages(df).collect()}
     assert got[300] == ("missing", ["sw"]) and got[200] == ("wrong", ["en"]) and all(got[i][0] == "right" for i in range(42))
 
