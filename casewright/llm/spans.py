@@ -165,13 +165,15 @@ def colliding_pieces(texts: DataFrame, keys: DataFrame, least: int = LEAST, run:
                     ok[ok] = known[at[ok]] == key[ok]
                 hit.append(ok)
             keep = np.flatnonzero(hit[0] | hit[1])
+            if not len(keep):  # columns of no rows are no strings to Arrow
+                continue
             rows = []
             for i in keep.tolist():
                 row, offset = places[own[i]]
                 begin, size = offset + int(a[i]), int(z[i] - a[i]) + least
                 rows.append((row.tid, offset + int(pos[i]), int(pos[i] - a[i]), *(int(k[i]) if h[i] else None for (k, _), h in zip(bands, hit, strict=True)), begin, size, row.text[begin : begin + size] if small else None))
             names = [x.split()[0] for x in PIECE.split(", ")]
-            columns = dict(zip(names, zip(*rows, strict=True) if rows else [()] * len(names), strict=True))
+            columns = dict(zip(names, zip(*rows, strict=True), strict=True))
             yield pd.DataFrame({n: pd.array(c, "Int64") if n in ("right", "left") else list(c) for n, c in columns.items()})
 
     found = texts.select("tid", "text").mapInPandas(go, PIECE)

@@ -83,3 +83,17 @@ def test_hot_passage_is_whole(spark):
         assert spans.sharing_pairs(spark.createDataFrame(rows, "id string, text string"), "id", "text").count() == 80 * 79 // 2
     finally:
         spans.HOT = old
+
+
+def test_texts_that_share_nothing(spark):
+    # no band collides, in some parts of the texts or in all
+    rng = random.Random(10)
+    rows = [(f"u{i:02}", text(rng, 400)) for i in range(30)]
+    none = spark.createDataFrame(rows, "id string, text string").repartition(3)
+    two = none.unionByName(spark.createDataFrame([("a", rows[0][1][:300] + "x"), ("b", "y" * 250)], "id string, text string"))
+    for held in (spans.HELD, 0):
+        assert spans.Shared(none, "id", "text", held=held).pairs().count() == 0
+        assert spans.Shared(two, "id", "text", held=held).pairs().count() == 1
+    assert spans.sharing_pairs(none, "id", "text").count() == 0
+    assert {r["shared_chars"] for r in spans.shared_share(none, "id", "text").collect()} == {0}
+    assert {r["links"] for r in spans.passage_classes(none, "id", "text").collect()} == {0}
