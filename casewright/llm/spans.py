@@ -218,8 +218,10 @@ class Shared:
         high = F.when(F.col("right").isNotNull(), last).otherwise(F.least(last, F.col("at") - half))
         windows = self.pieces.where(low <= high).select("tid", "pos", "at", "piece", F.explode(F.sequence(low, high)).alias("k"))
         windows = windows.select("tid", "pos", (F.col("pos") - F.col("at") + F.col("k")).alias("start"), F.unhex(F.md5(F.substring("piece", F.col("k") + 1, F.lit(least)))).alias("window"))
-        met = windows.groupBy("window").agg(F.min(F.xxhash64("tid")).alias("a"), F.max(F.xxhash64("tid")).alias("z")).where("a <> z")
-        self.windows = checkpointed(windows.join(met.select("window"), "window"))
+        # one shuffle of the windows: each is told from the others of its hash where they meet
+        same = Window.partitionBy("window")
+        met = windows.withColumn("a", F.min(F.xxhash64("tid")).over(same)).withColumn("z", F.max(F.xxhash64("tid")).over(same)).where("a <> z")
+        self.windows = checkpointed(met.select("window", "tid", "pos", "start"))
 
     def pairs(self) -> DataFrame:
         """(tid_a, tid_b), tid_a < tid_b: texts that share a passage; only anchors with a shared window are joined."""
